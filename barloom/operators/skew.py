@@ -1,0 +1,46 @@
+"""Cutting hot keys into slices of bounded size."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot when it holds more than one row in HOT_SHARE. At most HOT_SHARE keys can,
+# so the table of hot keys is bounded: 4,000 keys x 1,024 boundaries x 8 bytes = 32 MB.
+HOT_SHARE = 4_000
+
+
+def hot_key_bounds(df: DataFrame, keys: Sequence[str], order: str,
+                   hot_rows: int, slices: int) -> DataFrame:
+    """The hot keys, each with the sorted `order` values that cut it into even slices.
+
+    The counts combine before the shuffle, so one key never travels as rows. The
+    quantiles are approximate; they only place the cuts, any cut gives the same result.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = df.agg(F.count("*")).scalar()
+    hot = counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") * HOT_SHARE > total))
+    at = [i / slices for i in range(1, slices)]
+    return (
+        df.select(*keys, order).join(F.broadcast(hot.select(*keys)), list(keys))
+        .groupBy(*keys)
+        .agg(F.percentile_approx(order, at, 10 * slices).alias("_bounds"))
+    )
+
+
+def slice_of(value: Column, bounds: Column, slices: int) -> Column:
+    """How many boundaries lie below `value`, by binary search; -1 without boundaries.
+
+    Equal values never part, so a slice border is a strict border in time.
+    """
+    steps, step = [], 1
+    while step < slices:
+        steps.append(step)
+        step *= 2
+    below = F.aggregate(
+        F.array(*(F.lit(s) for s in reversed(steps))), F.lit(0),
+        lambda at, s: F.when(F.get(bounds, at + s - 1) < value, at + s).otherwise(at),
+    )
+    return F.when(bounds.isNull(), -1).otherwise(below)
