@@ -18,19 +18,18 @@ def trailing(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), Window.currentRow)
 
 
-def simple_return(price: str, w: WindowSpec) -> Column:
-    """(p - previous p) / previous p; NULL on the first row and after a zero price."""
-    previous = F.lag(price).over(w)
-    return F.try_divide(F.col(price) - previous, previous)
+def change_from(previous: str, current: str) -> Column:
+    """(current - previous) / previous; NULL without a previous value or after a zero."""
+    return F.try_divide(F.col(current) - F.col(previous), F.col(previous))
 
 
-def rolling_mean(value: str, w: WindowSpec, n: int) -> Column:
+def rolling_mean(value: str, w: WindowSpec, n: int, place: str) -> Column:
     """Mean of the last n rows, NULL until n rows exist.
 
-    "n rows exist" is asked of row_number, which costs one increment per row; a
-    count(*) frame would be walked again for every row.
+    `place` is the row's number in its series. It answers "do n rows exist" once for all
+    frames; a count(*) per frame would be walked again for every row.
     """
-    return F.when(F.row_number().over(w) >= n, F.avg(value).over(trailing(w, n)))
+    return F.when(F.col(place) >= n, F.avg(value).over(trailing(w, n)))
 
 
 def rolling_stddev(value: str, w: WindowSpec, n: int) -> Column:
@@ -40,18 +39,21 @@ def rolling_stddev(value: str, w: WindowSpec, n: int) -> Column:
 
 
 def rolling_zscore(value: str, w: WindowSpec, n: int) -> Column:
-    """Distance of the current value from its n-row mean in n-row standard deviations."""
+    """Distance of the current value from its n-row mean in n-row standard deviations.
+
+    NULL unless all n values are non-null, which also makes the mean sum / n.
+    """
     frame = trailing(w, n)
-    spread = F.nullif(F.stddev_samp(value).over(frame), F.lit(0.0))
+    number = F.col(value).cast("double")
+    spread = F.nullif(F.stddev_samp(number).over(frame), F.lit(0.0))
     return F.when(F.count(value).over(frame) >= n,
-                  F.try_divide(F.col(value) - F.avg(value).over(frame), spread))
+                  F.try_divide(number - F.sum(number).over(frame) / n, spread))
 
 
-def next_higher(price: str, w: WindowSpec) -> Column:
-    """1 if the next row's price is higher, 0 if not, NULL on the last row."""
-    following = F.lead(price).over(w)
-    return (F.when(following.isNull(), None)
-            .when(following > F.col(price), 1).otherwise(0).cast("int"))
+def is_higher(following: str, current: str) -> Column:
+    """1 if the next row's value is higher, 0 if not, NULL without a next row."""
+    return (F.when(F.col(following).isNull(), None)
+            .when(F.col(following) > F.col(current), 1).otherwise(0).cast("int"))
 
 
 def clip_below(value: Column, floor: float = 0.0) -> Column:
@@ -67,9 +69,10 @@ def with_rsi(df: DataFrame, source: str, w: WindowSpec, n: int = 14,
     """
     frame, step = trailing(w, n), F.col("_step")
     complete = F.count("_step").over(frame) == n
+    # The two means have the same divisor, so their ratio is that of the sums.
     strength = F.try_divide(
-        F.avg(clip_below(step)).over(frame),
-        F.nullif(F.avg(clip_below(-step)).over(frame), F.lit(0.0)),
+        F.sum(clip_below(step)).over(frame),
+        F.nullif(F.sum(clip_below(-step)).over(frame), F.lit(0.0)),
     )
     return (
         df.withColumn("_step", F.col(source) - F.lag(source).over(w))

@@ -16,52 +16,72 @@ from pyspark.sql import functions as F
 from .skew import hot_key_bounds, slice_of
 
 
-def calendar(macro: DataFrame, columns: Mapping[str, str], lag_days: int = 1) -> DataFrame:
-    """One row per day with the value of each series visible on that day.
+def _spans(macro: DataFrame, columns: Mapping[str, str], lag_days: int) -> DataFrame:
+    """Each observation with the first and last day on which it is the visible one.
 
-    A value dated d is visible from d + lag_days until the series' next value is. Days
-    on which some series has no value yet are left out, and a NULL observation shows as
-    NULL, not as the older value.
+    `until` is NULL for a series' newest observation, and `last_year` is the year in which
+    the newest of all becomes visible. The input has one row per series and day, so the
+    chosen series fit one partition at any data volume, and every later step stays in it.
     """
-    chosen = macro.where(F.col("series_id").isin(list(columns)))
-    following = F.lead("date").over(Window.partitionBy("series_id").orderBy("date"))
-    spans = (
-        chosen.withColumn("next_date", F.coalesce(following, _last_date(chosen) + F.expr("INTERVAL 1 DAY")))
-        .where(F.col("next_date") > F.col("date"))
-        .select("series_id", "value", F.explode(F.sequence(
-            F.date_add("date", lag_days), F.date_add("next_date", lag_days - 1))).alias("day"))
+    by_date = Window.partitionBy("series_id").orderBy("date")
+    everything = Window.partitionBy(F.lit(0))
+    return (
+        macro.where(F.col("series_id").isin(list(columns))).repartition(1)
+        .select("series_id", "date", "value", F.lead("date").over(by_date).alias("next_date"))
+        .where(F.col("next_date").isNull() | (F.col("next_date") > F.col("date")))
+        .select("series_id", "value",
+                F.date_add("date", lag_days).alias("since"),
+                F.date_add("next_date", lag_days - 1).alias("until"))
+        .withColumn("last_year", F.year(F.max("since").over(everything)))
     )
-    values, present = [], []
-    for series_id, name in columns.items():
-        mine = F.col("series_id") == series_id
-        values.append(F.max(F.when(mine, F.col("value"))).alias(name))
-        present.append(F.count_if(mine) > 0)
-    seen = present[0]
-    for flag in present[1:]:
-        seen = seen & flag
-    return spans.groupBy("day").agg(*values, seen.alias("_seen")).where("_seen").drop("_seen")
 
 
-def _last_date(chosen: DataFrame):
-    return chosen.agg(F.max("date")).scalar()
+def _pivoted(spans: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """One row per key with a struct of all series' values; keys some series lacks go.
+
+    The spans of a series do not overlap, so each gives a key one row; counting rows
+    apart from values lets a NULL observation count as present.
+    """
+    mine = {name: F.col("series_id") == series_id for series_id, name in columns.items()}
+    wide = spans.groupBy(key).agg(
+        *(F.max(F.when(own, F.col("value"))).alias(name) for name, own in mine.items()),
+        F.count("*").alias("_series"))
+    return (wide.where(F.col("_series") == len(columns))
+            .select(key, F.struct(*columns.values()).alias(f"_at_{key}")))
+
+
+def calendar(macro: DataFrame, columns: Mapping[str, str],
+             lag_days: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The values visible on each day, as two lookup tables: by day and by later year.
+
+    A value dated d is visible from d + lag_days until the series' next one is. The day
+    table runs to the end of the year in which the newest observation becomes visible;
+    the year table holds the final values for every year after that, to 9999. A NULL
+    observation shows as NULL, not as the older value.
+    """
+    spans = _spans(macro, columns, lag_days)
+    to = F.coalesce("until", F.make_date("last_year", F.lit(12), F.lit(31)))
+    days = spans.select("series_id", "value", F.explode(F.sequence("since", to)).alias("day"))
+    years = spans.where(F.col("until").isNull()).select(
+        "series_id", "value",
+        F.explode(F.sequence(F.col("last_year") + 1, F.lit(9999))).alias("year"))
+    return _pivoted(days, "day", columns), _pivoted(years, "year", columns)
 
 
 def asof_calendar(left: DataFrame, macro: DataFrame, columns: Mapping[str, str],
                   lag_days: int = 1) -> DataFrame:
     """Inner as-of join of `left` (by its date) with every series named in `columns`.
 
-    The broadcast side has one row per calendar day between the first and last macro
-    date, whatever the data volume: ten years are 3,653 rows, and all days that a date
-    can hold before 9999 are 3.65 million. Bars after the last macro date look up that
-    last day.
+    Both lookups are broadcast. Their size depends on the calendar, not on the data: one
+    row per day of macro history (ten years are 3,653 rows) and one per year to 9999.
     """
-    chosen = macro.where(F.col("series_id").isin(list(columns)))
-    last_day = F.date_add(_last_date(chosen), lag_days)
-    days = calendar(macro, columns, lag_days)
+    days, years = calendar(macro, columns, lag_days)
+    found = F.coalesce("_at_day", "_at_year")
     return (
-        left.withColumn("_day", F.least(F.col("date"), last_day))
-        .join(F.broadcast(days), F.col("_day") == F.col("day"))
-        .drop("_day", "day")
+        left.join(F.broadcast(days), F.col("date") == F.col("day"), "left")
+        .join(F.broadcast(years), F.year("date") == F.col("year"), "left")
+        .withColumn("_found", found).where(F.col("_found").isNotNull())
+        .select(*left.columns, *(F.col(f"_found.{name}").alias(name) for name in columns.values()))
     )
 
 

@@ -19,7 +19,9 @@ def by_chunks(df: DataFrame, key: str, order: str, chunk_rows: int,
     the columns to partition its windows by, and must keep the columns it is given.
 
     A row's place in its key comes from the row counts of earlier calendar slices plus
-    its place within its own slice, so no step sees a whole key at once.
+    its place within its own slice, so no step sees a whole key at once. The ranked rows
+    are already partitioned and sorted for the merge join with those counts, which moves
+    only the counts.
     """
     if chunk_rows <= max(lookback, lookahead):
         raise ValueError("a chunk must be longer than the rows it lends to its neighbours")
@@ -33,7 +35,7 @@ def by_chunks(df: DataFrame, key: str, order: str, chunk_rows: int,
     in_slice = Window.partitionBy(key, "_slice").orderBy(order)
     placed = (
         sliced.withColumn("_rank", F.row_number().over(in_slice))
-        .join(offsets, [key, "_slice"])
+        .join(offsets.hint("merge"), [key, "_slice"])
         .withColumn("_place", F.col("_before") + F.col("_rank") - 1)
         .withColumn("_home", F.floor(F.col("_place") / chunk_rows))
         .drop("_slice", "_rank", "_before")
@@ -44,7 +46,10 @@ def by_chunks(df: DataFrame, key: str, order: str, chunk_rows: int,
         F.when(within >= chunk_rows - lookback, F.col("_home") + 1),
         F.when((within < lookahead) & (F.col("_home") > 0), F.col("_home") - 1),
     ))
-    spread = placed.withColumn("_chunk", F.explode(copies)).drop("_place")
+    # Partitioned by chunk outright: a partitioning by key alone would also satisfy the
+    # windows, and would put a long series back into one task.
+    spread = (placed.withColumn("_chunk", F.explode(copies)).drop("_place")
+              .repartition(key, "_chunk"))
     return (
         transform(spread, (key, "_chunk"))
         .where(F.col("_chunk") == F.col("_home")).drop("_chunk", "_home")

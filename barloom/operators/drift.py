@@ -58,7 +58,8 @@ def ks_p_value(d: Column, n: Column, m: Column) -> Column:
         F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0)
         * F.exp(F.lit(-2.0) * k * k * scale * scale))
-    return F.when(scale < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * terms)))
+    bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * terms))
+    return F.when(scale < 0.2, 1.0).when(scale.isNotNull(), bounded)
 
 
 def drift_statistics(features: DataFrame, columns: Sequence[str], cutoff: date, as_of: date,

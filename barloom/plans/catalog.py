@@ -118,7 +118,7 @@ def _store(spark, name) -> Store:
 
 def _seeded(spark, feed: G.Feed, rows: DataFrame) -> Store:
     store = _store(spark, feed.table)
-    store.create_missing()
+    store.create_missing([feed.table])
     store.append(feed.table, rows.where(F.col("date") < F.lit(EXISTING_BEFORE)))
     return store
 
@@ -286,7 +286,8 @@ def window_column(name: str) -> Query:
 def rsi_14(spark, sf):
     """RSI of every bar."""
     w = S.ordered("ticker")
-    bars = src.bars(spark, sf).withColumn("return_1d", S.simple_return("adj_close", w))
+    bars = (src.bars(spark, sf).withColumn("_previous", F.lag("adj_close").over(w))
+            .withColumn("return_1d", S.change_from("_previous", "adj_close")))
     return rounded(S.with_rsi(bars, "return_1d", w).select("ticker", "date", "rsi_14"))
 
 

@@ -22,17 +22,20 @@ def add_windows(bars: DataFrame, keys: Sequence[str] = ("ticker",)) -> DataFrame
     loaded table's key, so a window group holds at most one row per calendar day.
     """
     w = S.ordered(*keys)
-    return (
-        bars.withColumn("return_1d", S.simple_return("adj_close", w))
+    rolled = (
+        bars.withColumn("_previous", F.lag("adj_close").over(w))
+        .withColumn("return_1d", S.change_from("_previous", "adj_close"))
+        .withColumns({"_place": F.row_number().over(w), "_next": F.lead("adj_close").over(w)})
         .withColumns({
-            "ma_5": S.rolling_mean("adj_close", w, 5),
-            "ma_20": S.rolling_mean("adj_close", w, 20),
-            "ma_50": S.rolling_mean("adj_close", w, 50),
+            "ma_5": S.rolling_mean("adj_close", w, 5, "_place"),
+            "ma_20": S.rolling_mean("adj_close", w, 20, "_place"),
+            "ma_50": S.rolling_mean("adj_close", w, 50, "_place"),
             "volatility_20": S.rolling_stddev("return_1d", w, 20),
             "volume_zscore": S.rolling_zscore("volume", w, 20),
-            "target": S.next_higher("adj_close", w),
+            "target": S.is_higher("_next", "adj_close"),
         })
     )
+    return rolled.drop("_previous", "_place", "_next")
 
 
 def _assemble(bars: DataFrame, macro: DataFrame, lag_days: int, keys: Sequence[str]) -> DataFrame:

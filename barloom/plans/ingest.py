@@ -49,7 +49,7 @@ def run_load(store: Store, feed: Feed, batch: DataFrame, settings: Settings, run
     read that copy instead of the source. Running the same load again adds nothing.
     """
     spark = store.spark
-    store.create_missing()
+    store.create_missing([feed.table, "ingestion_log"])
     entities = entity_frame(spark, feed.key, configured(feed, settings))
     batch = batch.select(*feed.columns, "ingest_seq", "_bad")
     if incremental:

@@ -14,6 +14,10 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A ticker's history fits in memory; the default spills window groups above 4,096 rows.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
+    # Plans here have hundreds of columns; recording the Python line of each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

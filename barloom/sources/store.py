@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,10 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def create_missing(self) -> None:
+    def create_missing(self, names: Iterable[str] = BASE_TABLES) -> None:
         """Create the base tables that do not exist; existing ones stay as they are."""
-        for name, schema in BASE_TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
+        for name in names:
+            empty = self.spark.createDataFrame([], BASE_TABLES[name])
             self._writer(name, empty).mode("ignore").parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
