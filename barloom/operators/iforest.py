@@ -63,6 +63,10 @@ def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_r
     columns, key = list(columns), list(key)
     size = min(tree_rows, n_rows)
     depth_limit = math.ceil(math.log2(max(size, 2)))
+    # The functions below travel to the executors by value: they use nothing of this
+    # package, which need not be installed there.
+    leaf_paths = [average_path(rest) for rest in range(size + 1)]
+    names = [field.split()[0] for field in NODE_SCHEMA.split(", ")]
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(key)
@@ -77,7 +81,7 @@ def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_r
             splittable = np.flatnonzero(high > low)
             if depth >= depth_limit or len(members) <= 1 or not len(splittable):
                 nodes.append((tree_id, node_id, -1, 0.0, -1, -1,
-                              depth + average_path(len(members))))
+                              depth + leaf_paths[len(members)]))
                 continue
             feature = int(rng.choice(splittable))
             threshold = float(rng.uniform(low[feature], high[feature]))
@@ -86,7 +90,7 @@ def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_r
             todo.append((next_id, members[goes_left], depth + 1))
             todo.append((next_id + 1, members[~goes_left], depth + 1))
             next_id += 2
-        return pd.DataFrame(nodes, columns=[f.split()[0] for f in NODE_SCHEMA.split(", ")])
+        return pd.DataFrame(nodes, columns=names)
 
     samples = tree_samples(train, columns, key, n_rows, trees, size, seed)
     return samples.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA)

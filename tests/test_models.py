@@ -1,5 +1,8 @@
 """Scaling, regression, forest, metrics, drift and scoring."""
 
+import os
+import subprocess
+import sys
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -144,6 +147,26 @@ def test_forest_score_of_missing_input_is_null(spark):
     assert scores[0] is None and 0 < scores[1] < 1
 
 
+def test_executors_need_not_have_the_package(tmp_path):
+    """Only the driver's sys.path names the repository; workers start in another folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from barloom.operators.iforest import ForestScorer, fit_forest
+from barloom.session import local_session
+spark = local_session(2, partitions=2)
+df = spark.range(500).withColumn("a", F.rand(1)).withColumn("b", F.rand(2))
+scorer = ForestScorer(fit_forest(df, ["a", "b"], ["id"], 500, trees=3), 500)
+print("scored", df.select(scorer.score({{"a": F.col("a"), "b": F.col("b")}}).alias("s")).dropna().count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, text=True,
+                          capture_output=True, timeout=300)
+    assert "scored 500" in done.stdout, done.stderr[-2000:]
+
+
 def test_flagged_share_of_training_rows(spark, trained):
     df, model, *_ = trained
     train = df.where(R.is_train(SETTINGS))
