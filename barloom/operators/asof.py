@@ -23,16 +23,14 @@ def _spans(macro: DataFrame, columns: Mapping[str, str], lag_days: int) -> DataF
     the newest of all becomes visible. The input has one row per series and day, so the
     chosen series fit one partition at any data volume, and every later step stays in it.
     """
-    by_date = Window.partitionBy("series_id").orderBy("date")
-    everything = Window.partitionBy(F.lit(0))
     return (
         macro.where(F.col("series_id").isin(list(columns))).repartition(1)
-        .select("series_id", "date", "value", F.lead("date").over(by_date).alias("next_date"))
-        .where(F.col("next_date").isNull() | (F.col("next_date") > F.col("date")))
-        .select("series_id", "value",
-                F.date_add("date", lag_days).alias("since"),
-                F.date_add("next_date", lag_days - 1).alias("until"))
-        .withColumn("last_year", F.year(F.max("since").over(everything)))
+        .selectExpr("series_id", "date", "value",
+                    "lead(date) OVER (PARTITION BY series_id ORDER BY date) AS next_date")
+        .where("next_date IS NULL OR next_date > date")
+        .selectExpr("series_id", "value", f"date_add(date, {lag_days}) AS since",
+                    f"date_add(next_date, {lag_days - 1}) AS until",
+                    f"year(max(date_add(date, {lag_days})) OVER ()) AS last_year")
     )
 
 
@@ -42,12 +40,13 @@ def _pivoted(spans: DataFrame, key: str, columns: Mapping[str, str]) -> DataFram
     The spans of a series do not overlap, so each gives a key one row; counting rows
     apart from values lets a NULL observation count as present.
     """
-    mine = {name: F.col("series_id") == series_id for series_id, name in columns.items()}
-    wide = spans.groupBy(key).agg(
-        *(F.max(F.when(own, F.col("value"))).alias(name) for name, own in mine.items()),
-        F.count("*").alias("_series"))
-    return (wide.where(F.col("_series") == len(columns))
-            .select(key, F.struct(*columns.values()).alias(f"_at_{key}")))
+    per_series = [F.expr(f"max(CASE WHEN series_id = '{series_id}' THEN value END) AS {name}")
+                  for series_id, name in columns.items()]
+    return (
+        spans.groupBy(key).agg(*per_series, F.count("*").alias("_series"))
+        .where(f"_series = {len(columns)}")
+        .selectExpr(key, f"struct({', '.join(columns.values())}) AS _at_{key}")
+    )
 
 
 def calendar(macro: DataFrame, columns: Mapping[str, str],
@@ -60,11 +59,10 @@ def calendar(macro: DataFrame, columns: Mapping[str, str],
     observation shows as NULL, not as the older value.
     """
     spans = _spans(macro, columns, lag_days)
-    to = F.coalesce("until", F.make_date("last_year", F.lit(12), F.lit(31)))
-    days = spans.select("series_id", "value", F.explode(F.sequence("since", to)).alias("day"))
-    years = spans.where(F.col("until").isNull()).select(
-        "series_id", "value",
-        F.explode(F.sequence(F.col("last_year") + 1, F.lit(9999))).alias("year"))
+    days = spans.selectExpr("series_id", "value", """
+        explode(sequence(since, coalesce(until, make_date(last_year, 12, 31)))) AS day""")
+    years = spans.where("until IS NULL").selectExpr(
+        "series_id", "value", "explode(sequence(last_year + 1, 9999)) AS year")
     return _pivoted(days, "day", columns), _pivoted(years, "year", columns)
 
 
@@ -76,12 +74,11 @@ def asof_calendar(left: DataFrame, macro: DataFrame, columns: Mapping[str, str],
     row per day of macro history (ten years are 3,653 rows) and one per year to 9999.
     """
     days, years = calendar(macro, columns, lag_days)
-    found = F.coalesce("_at_day", "_at_year")
     return (
-        left.join(F.broadcast(days), F.col("date") == F.col("day"), "left")
-        .join(F.broadcast(years), F.year("date") == F.col("year"), "left")
-        .withColumn("_found", found).where(F.col("_found").isNotNull())
-        .select(*left.columns, *(F.col(f"_found.{name}").alias(name) for name in columns.values()))
+        left.join(F.broadcast(days), F.expr("date = day"), "left")
+        .join(F.broadcast(years), F.expr("year(date) = year"), "left")
+        .withColumn("_found", F.expr("coalesce(_at_day, _at_year)")).where("_found IS NOT NULL")
+        .select(*left.columns, "_found.*")
     )
 
 

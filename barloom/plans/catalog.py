@@ -52,15 +52,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 def rounded(df: DataFrame) -> DataFrame:
     """Round every double, for comparison with another engine."""
     doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*(F.round(c, DIGITS).alias(c) if c in doubles else c for c in df.columns))
+    return df.selectExpr(*(f"round({c}, {DIGITS}) AS {c}" if c in doubles else c for c in df.columns))
 
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return P.build_features(src.bars(spark, sf), src.macro(spark, sf))
+    lines = src.table(spark, sf, "lineitem")
+    return P.build_features(src.bars(spark, sf, lines), src.macro(spark, sf, lines))
 
 
 def _features_wide(spark: SparkSession, sf: str, chunk_rows: int | None = None) -> DataFrame:
-    return P.build_features(src.bars_wide(spark, sf), src.macro(spark, sf), chunk_rows=chunk_rows)
+    lines = src.table(spark, sf, "lineitem")
+    return P.build_features(src.bars_wide(spark, sf, lines), src.macro(spark, sf, lines),
+                            chunk_rows=chunk_rows)
 
 
 def _expected(spark: SparkSession) -> DataFrame:
@@ -286,7 +289,7 @@ def window_column(name: str) -> Query:
 def rsi_14(spark, sf):
     """RSI of every bar."""
     w = S.ordered("ticker")
-    bars = (src.bars(spark, sf).withColumn("_previous", F.lag("adj_close").over(w))
+    bars = (src.bars(spark, sf).withColumn("_previous", S.previous("adj_close", w))
             .withColumn("return_1d", S.change_from("_previous", "adj_close")))
     return rounded(S.with_rsi(bars, "return_1d", w).select("ticker", "date", "rsi_14"))
 

@@ -23,9 +23,9 @@ def add_windows(bars: DataFrame, keys: Sequence[str] = ("ticker",)) -> DataFrame
     """
     w = S.ordered(*keys)
     rolled = (
-        bars.withColumn("_previous", F.lag("adj_close").over(w))
+        bars.withColumn("_previous", S.previous("adj_close", w))
         .withColumn("return_1d", S.change_from("_previous", "adj_close"))
-        .withColumns({"_place": F.row_number().over(w), "_next": F.lead("adj_close").over(w)})
+        .withColumns({"_place": S.place(w), "_next": S.following("adj_close", w)})
         .withColumns({
             "ma_5": S.rolling_mean("adj_close", w, 5, "_place"),
             "ma_20": S.rolling_mean("adj_close", w, 20, "_place"),

@@ -14,39 +14,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None) -> DataFrame:
+    return table(spark, sf_dir, "lineitem") if lines is None else lines
+
+
+def bars(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Daily bars, one ticker per order priority; the price is the day's last order.
 
     Lineitem is reduced to one row per order first, so the order join is one-to-one and
     the join reuses the aggregate's partitioning.
     """
     quantity = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey").agg(F.sum("l_quantity").cast("bigint").alias("quantity"))
-    )
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_orderpriority").alias("ticker"),
-        F.to_date("o_orderdate").alias("date"), "o_totalprice",
+        _lines(spark, sf_dir, lines)
+        .groupBy("l_orderkey").agg(F.expr("CAST(sum(l_quantity) AS BIGINT) AS quantity"))
     )
-    last_price = F.max_by("o_totalprice", "o_orderkey")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_orderpriority AS ticker", "to_date(o_orderdate) AS date", "o_totalprice")
     return (
-        orders.join(quantity, F.col("o_orderkey") == F.col("l_orderkey"))
+        orders.join(quantity, F.expr("o_orderkey = l_orderkey"))
         .groupBy("ticker", "date")
         .agg(
-            F.min_by("o_totalprice", "o_orderkey").alias("open"),
-            F.max("o_totalprice").alias("high"),
-            F.min("o_totalprice").alias("low"),
-            last_price.alias("close"),
-            last_price.alias("adj_close"),
-            F.sum("quantity").alias("volume"),
+            F.expr("min_by(o_totalprice, o_orderkey) AS open"),
+            F.expr("max(o_totalprice) AS high"),
+            F.expr("min(o_totalprice) AS low"),
+            F.expr("max_by(o_totalprice, o_orderkey) AS close"),
+            F.expr("max_by(o_totalprice, o_orderkey) AS adj_close"),
+            F.expr("sum(quantity) AS volume"),
         )
     )
 
 
-def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars_wide(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Daily bars with one ticker per supplier: many keys."""
     return (
-        table(spark, sf_dir, "lineitem")
+        _lines(spark, sf_dir, lines)
         .groupBy(F.col("l_suppkey").cast("string").alias("ticker"),
                  F.to_date("l_shipdate").alias("date"))
         .agg(F.max("l_extendedprice").alias("adj_close"),
@@ -54,35 +55,30 @@ def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+def macro(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Two monthly and two daily series, from one scan of lineitem.
 
     The first aggregate leaves at most one row per flag pair and day; the four series
     are cut from that, not from four scans.
     """
     daily = (
-        table(spark, sf_dir, "lineitem")
+        _lines(spark, sf_dir, lines)
         .groupBy("l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("day"))
         .agg(F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"))
     )
-    flag, month = F.col("l_returnflag"), F.trunc("day", "month")
-    by_flag = F.struct(
-        F.when(flag == "A", "FEDFUNDS").when(flag == "N", "CPIAUCSL").when(flag == "R", "VIXCLS")
-        .alias("series_id"),
-        F.when(flag == "R", F.col("day")).otherwise(month).alias("date"),
-        F.col("high").alias("value"),
-    )
-    by_status = F.struct(
-        F.when(F.col("l_linestatus") == "F", "T10Y2Y").alias("series_id"),
-        F.col("day").alias("date"),
-        F.col("low").alias("value"),
-    )
     return (
-        daily.select(F.inline(F.array(by_flag, by_status)))
-        .where(F.col("series_id").isNotNull())
+        daily.selectExpr("""
+            inline(array(
+                named_struct(
+                    'series_id', CASE l_returnflag WHEN 'A' THEN 'FEDFUNDS'
+                                 WHEN 'N' THEN 'CPIAUCSL' WHEN 'R' THEN 'VIXCLS' END,
+                    'date', CASE WHEN l_returnflag = 'R' THEN day ELSE trunc(day, 'month') END,
+                    'value', high),
+                named_struct('series_id', CASE WHEN l_linestatus = 'F' THEN 'T10Y2Y' END,
+                             'date', day, 'value', low)))""")
+        .where("series_id IS NOT NULL")
         .groupBy("series_id", "date")
-        .agg(F.when(F.col("series_id") == "T10Y2Y", F.min("value"))
-             .otherwise(F.max("value")).alias("value"))
+        .agg(F.expr("CASE WHEN series_id = 'T10Y2Y' THEN min(value) ELSE max(value) END AS value"))
     )
 
 
