@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import slice_of
+from .skew import even_bounds, slice_of
 
 
 def cumulative_counts(values: DataFrame, group: str, value: str, counts: Sequence[str],
@@ -19,9 +19,7 @@ def cumulative_counts(values: DataFrame, group: str, value: str, counts: Sequenc
     The broadcast tables have one row per group and one per (group, bucket); use it with
     few groups. `values` is read three times, so pass a stored table.
     """
-    at = [i / buckets for i in range(1, buckets)]
-    bounds = values.groupBy(group).agg(
-        F.percentile_approx(value, at, 10 * buckets).alias("_bounds"))
+    bounds = values.groupBy(group).agg(even_bounds(value, buckets).alias("_bounds"))
     bucketed = (
         values.join(F.broadcast(bounds), group)
         .withColumn("_bucket", slice_of(F.col(value), F.col("_bounds"), buckets))
@@ -47,20 +45,35 @@ def cumulative_counts(values: DataFrame, group: str, value: str, counts: Sequenc
 
 
 def exact_quantile(values: DataFrame, value: str, q: float, buckets: int = 256) -> float | None:
-    """The q-quantile with linear interpolation. Returns at most two rows to the driver.
+    """The q-quantile with linear interpolation, as a number on the driver.
 
-    Takes a table with one row per distinct value and its count in column `n`.
+    Takes a stored table with one row per distinct value and its count in column `n`. The
+    first pass places bucket borders, the second counts the buckets, the third sorts only
+    the buckets that hold the two ranks asked for. The driver sees one number per bucket.
     """
-    total = values.agg(F.sum("n")).first()[0]
+    total, bounds = values.agg(F.sum("n"), even_bounds(value, buckets)).first()
     if not total:
         return None
     place = q * (total - 1)
     low = int(place)
     high = min(low + 1, total - 1)
-    ranked = cumulative_counts(values.withColumn("_all", F.lit(0)), "_all", value, ["n"], buckets)
-    first = F.col("cum_n") - F.col("n")
+
+    cuts = F.expr(f"array({', '.join(f'{b!r}D' for b in bounds)})")
+    bucketed = values.withColumn("_bucket", slice_of(F.col(value), cuts, buckets))
+    sizes = sorted(bucketed.groupBy("_bucket").agg(F.sum("n").alias("n")).collect())
+    below, wanted = 0, {}                # bucket -> rows in the buckets below it
+    for bucket, n in sizes:
+        if below <= high and below + n > low:
+            wanted[bucket] = below
+        below += n
+    start = F.expr("CASE _bucket " + " ".join(f"WHEN {b} THEN {n}" for b, n in wanted.items()) + " END")
+    inside = (Window.partitionBy("_bucket").orderBy(value)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    upto = F.col("_upto")
     hits = (
-        ranked.where((first <= high) & (F.col("cum_n") > low))
+        bucketed.where(F.col("_bucket").isin(list(wanted)))
+        .withColumn("_upto", start + F.sum("n").over(inside))
+        .where((upto - F.col("n") <= high) & (upto > low))
         .select(value).orderBy(value).collect()
     )
     lowest, highest = hits[0][0], hits[-1][0]

@@ -51,7 +51,8 @@ def tree_samples(train: DataFrame, columns: Sequence[str], key: Sequence[str], n
         .select(*key, *columns, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
         .withColumn("_draw", _share(F.lit(seed), F.col("tree_id"), *keys))
         .where(F.col("_draw") < pick_share)
-        .repartition(trees, "tree_id")
+        # AQE would pack samples this small into one task, but the work is in the building.
+        .repartition(min(trees, train.sparkSession.sparkContext.defaultParallelism), "tree_id")
     )
     by_draw = Window.partitionBy("tree_id").orderBy("_draw", *key)
     return (drawn.withColumn("_n", F.row_number().over(by_draw))
@@ -93,8 +94,6 @@ def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_r
             next_id += 2
         return pd.DataFrame(nodes, columns=names)
 
-    # One group per tree in its own partition where possible: AQE would pack the small
-    # samples into few tasks, but the work is the building, not the bytes.
     samples = tree_samples(train, columns, key, n_rows, trees, size, seed)
     return samples.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA)
 

@@ -22,14 +22,18 @@ def hot_key_bounds(df: DataFrame, keys: Sequence[str], order: str,
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*")).scalar()
     hot = counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") * HOT_SHARE > total))
-    at = [i / slices for i in range(1, slices)]
     return (
         df.select(*keys, order).join(F.broadcast(hot.select(*keys)), list(keys))
-        .groupBy(*keys)
-        .agg(F.percentile_approx(order, at, 10 * slices).alias("_bounds"))
+        .groupBy(*keys).agg(even_bounds(order, slices).alias("_bounds"))
     )
 
 
+def even_bounds(value: str, slices: int) -> Column:
+    """Aggregate: the sorted values that cut the rows into about even slices."""
+    at = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    return F.expr(f"percentile_approx({value}, array({at}), {10 * slices})")
+
+
 def slice_of(value: Column, bounds: Column, slices: int) -> Column:
     """How many boundaries lie below `value`, by binary search; -1 without boundaries.
 
@@ -40,7 +44,7 @@ def slice_of(value: Column, bounds: Column, slices: int) -> Column:
         steps.append(step)
         step *= 2
     below = F.aggregate(
-        F.array(*(F.lit(s) for s in reversed(steps))), F.lit(0),
+        F.expr(f"array({', '.join(str(s) for s in reversed(steps))})"), F.lit(0),
         lambda at, s: F.when(F.get(bounds, at + s - 1) < value, at + s).otherwise(at),
     )
     return F.when(bounds.isNull(), -1).otherwise(below)

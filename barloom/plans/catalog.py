@@ -21,7 +21,7 @@ from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators.asof import asof_calendar, asof_keyed
 from ..operators.audit import audit_rows
-from ..operators.logistic import feature_weights
+from ..operators.logistic import as_expression, feature_weights, fit_logistic
 from ..operators.recent import last_rows_per_key, latest_per_key
 from ..operators.scaler import fit_scaler, scaler_params
 from ..schemas import BAR_COLS, BASE_TABLES, MACRO_COLS, PRIMARY_KEYS
@@ -466,14 +466,17 @@ def _trained(spark, sf):
     return feats, rows, R.train(rows, SETTINGS)
 
 
-def _fit_logistic(spark, sf):
-    """Rows and a model without a forest, for queries that need only the regression."""
-    from ..operators.logistic import as_expression, fit_logistic
-    rows = materialize(R.training_rows(_features(spark, sf)), "training_rows")
+def _with_logistic(rows: DataFrame) -> R.Model:
+    """A model without a forest, for queries that need only the regression."""
     train = rows.where(R.is_train(SETTINGS))
     scaler = fit_scaler(train, FEATURE_COLS)
     fitted = fit_logistic(scaler.transform(train), FEATURE_COLS, train.count())
-    return rows, R.Model(scaler, as_expression(fitted, FEATURE_COLS), None, fitted)
+    return R.Model(scaler, as_expression(fitted, FEATURE_COLS), None, fitted)
+
+
+def _fit_logistic(spark, sf):
+    rows = materialize(R.training_rows(_features(spark, sf)), "training_rows")
+    return rows, _with_logistic(rows)
 
 
 def logistic_fit(spark, sf):
@@ -558,12 +561,7 @@ def model_status(spark, sf):
 
 def score_latest(spark, sf):
     feats = _stored_features(spark, sf)
-    rows = materialize(R.training_rows(feats), "training_rows")
-    train = rows.where(R.is_train(SETTINGS))
-    scaler = fit_scaler(train, FEATURE_COLS)
-    from ..operators.logistic import as_expression, fit_logistic
-    fitted = fit_logistic(scaler.transform(train), FEATURE_COLS, train.count())
-    model = R.Model(scaler, as_expression(fitted, FEATURE_COLS), None, fitted)
+    model = _with_logistic(R.training_rows(feats))
     return rounded(V.score_latest(feats, model, SETTINGS, _expected(spark)).drop("model_train_date"))
 
 

@@ -56,7 +56,6 @@ def _windows(source: str) -> dict[str, str]:
     return {
         "priced": f"""
             SELECT ticker, date, adj_close, volume,
-                   adj_close / NULLIF(lag(adj_close) OVER w, 0) AS growth,
                    (adj_close - lag(adj_close) OVER w) / NULLIF(lag(adj_close) OVER w, 0) AS return_1d
             FROM {source} WINDOW w AS (PARTITION BY ticker ORDER BY date)""",
         "rolled": """
