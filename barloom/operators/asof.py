@@ -88,7 +88,8 @@ def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
     """Left as-of join of two keyed tables, both free to be large.
 
     `values` maps right columns to their names in the result; they are NULL where no
-    right row is early enough. `strict` asks for right.ts < left.ts, else <=.
+    right row is early enough. `strict` asks for right.ts < left.ts, else <=. NULL keys and
+    times match nothing; of several right rows at one moment any may be taken.
 
     Most keys are one window group. A key with more than `hot_rows` rows and a visible
     share of the table is cut into time slices at its own quantiles; each slice is filled
@@ -101,7 +102,7 @@ def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
     merged = left.select(
         *keys, ts, F.lit(left_first).alias("_side"), F.struct(F.lit(1), *left_cols).alias("_left"),
         F.lit(None).alias("_right"),
-    ).unionByName(right.select(
+    ).unionByName(right.dropna(subset=[*keys, ts]).select(
         *keys, ts, F.lit(right_first).alias("_side"), F.lit(None).alias("_left"),
         F.struct(F.lit(1).alias("_hit"), *(F.col(c).alias(n) for c, n in values.items())).alias("_right"),
     ))

@@ -121,3 +121,12 @@ def test_one_key_holding_most_rows(spark, slices):
 def test_many_rows_at_one_moment(spark):
     left = [("hot", 5)] * 60 + [("hot", 9)] * 60
     check_keyed(spark, left, {("hot", 5): 1.0, ("hot", 4): 2.0}, True, hot_rows=10, slices=8)
+
+
+def test_null_keys_and_times_match_nothing(spark):
+    lf = spark.createDataFrame([(None, moment(5), 1), ("a", None, 2), ("a", moment(5), 3)],
+                               "k string, ts timestamp, left_id int")
+    rf = spark.createDataFrame([(None, moment(1), 1.0), ("a", None, 2.0), ("b", moment(1), 3.0)],
+                               "k string, ts timestamp, v double")
+    got = asof_keyed(lf, rf, ["k"], "ts", {"v": "seen"})
+    assert {(r.left_id, r.seen) for r in got.collect()} == {(1, None), (2, None), (3, None)}

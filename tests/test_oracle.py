@@ -21,7 +21,7 @@ def test_every_sql_has_a_query():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, sf_dir, duck, name):
     got = QUERIES[name](spark, sf_dir).toArrow()
-    want = duck.execute(ORACLE[name]).to_arrow_table()
+    want = duck.sql(ORACLE[name]).to_arrow_table()
     assert differences(got, want) == []
     assert got.num_rows > 0
 

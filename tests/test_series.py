@@ -1,5 +1,6 @@
 """Window expressions on small hand-made series."""
 
+import re
 from datetime import date, timedelta
 
 import numpy as np
@@ -122,11 +123,13 @@ def test_chunks_equal_the_whole(spark):
     assert chunked.exceptAll(plain).count() == 0
 
 
-def test_chunks_spread_one_series_over_tasks(spark):
-    source = bars(spark, random_prices(2000))
-    parts = by_chunks(source, "ticker", "date", 100, 64, 1,
-                      lambda df, keys: df.withColumn("task", F.spark_partition_id()))
-    assert parts.select("task").distinct().count() > 1
+def test_windows_are_partitioned_by_chunk(spark):
+    built = P.build_features(bars(spark, random_prices(200)), flat_macro(spark), chunk_rows=100)
+    text = built._jdf.queryExecution().executedPlan().toString()
+    # All windows after the cut run on this one exchange; the only one by ticker alone
+    # carries the row counts.
+    assert len(re.findall(r"hashpartitioning\(ticker#\d+, _chunk#\d+", text)) == 1
+    assert len(re.findall(r"hashpartitioning\(ticker#\d+, \d+\)", text)) == 1
 
 
 def test_chunk_must_exceed_its_overlap(spark):
