@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,20 @@ def op2_warc(spark, sf):
         .alias("refers_to"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc)}
+def op3_language_id(spark, sf):
+    from . import language_id as L
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = L.fit_on(docs, ~held_out)
+    return L.identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op5_permutation_index(spark, sf):
+    from .permutation_index import search
+    return search(table(spark, sf, "embeddings"), lambda key: key % 20 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op5_permutation_index)}
 
 SQL = {}
