@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 
 MAX_TRANSITIONS = 400_000
+NEVER = 1 << 60
 
 
 def byte_symbols() -> dict[str, int]:
@@ -59,7 +60,7 @@ class Transducer:
             left, right = pair if isinstance(pair, (list, tuple)) else pair.split(" ")
             self.rank[read(left), read(right)] = order
         # Only what merging its own symbols yields can be a last token.
-        self.tokens = {t for t in self.ids if len(t) == 1 or self._merge(t) == [t]}
+        self.tokens = {t for t in self.ids if len(t) == 1 or self.merge(t) == [t]}
         self.prefixes = {t[:i] for t in self.tokens for i in range(1, len(t))} | {""}
         self.longest = max(map(len, self.tokens), default=1)
         self._edges: tuple[dict, dict] = ({}, {})
@@ -77,14 +78,21 @@ class Transducer:
         self.states = {("", self.start.chain): self.start}
         self.transitions = 0
 
-    def _merge(self, symbols: str) -> list[str]:
-        parts = list(symbols)
-        while len(parts) > 1:
-            best, at = min((self.rank.get((a, b), 1 << 60), i)
-                           for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if best == 1 << 60:
+    def merge(self, symbols: str) -> list[str]:
+        """The tokens of a short piece, by the merges themselves."""
+        parts, rank = list(symbols), self.rank.get
+        orders = [rank(pair, NEVER) for pair in zip(parts, parts[1:])]
+        while orders:
+            best = min(orders)
+            if best == NEVER:
                 break
+            at = orders.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del orders[at]
+            if at:
+                orders[at - 1] = rank((parts[at - 1], parts[at]), NEVER)
+            if at < len(orders):
+                orders[at] = rank((parts[at], parts[at + 1]), NEVER)
         return parts
 
     def _edge(self, token: str, side: int) -> list[tuple[str, float]]:
@@ -94,12 +102,12 @@ class Transducer:
         if known is None:
             parts, known = list(token), []
             while len(parts) > 1:
-                best, at = min((self.rank.get((a, b), 1 << 60), i)
+                best, at = min((self.rank.get((a, b), NEVER), i)
                                for i, (a, b) in enumerate(zip(parts, parts[1:])))
                 if at == (0 if side else len(parts) - 2):
                     known.append((parts[at + 1 - side], best))
                 parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            known.append((parts[0], 1 << 60))
+            known.append((parts[0], NEVER))
             self._edges[side][token] = known
         return known
 

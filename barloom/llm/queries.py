@@ -59,6 +59,25 @@ def op5_permutation_index(spark, sf):
     return search(table(spark, sf, "embeddings"), lambda key: key % 20 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op5_permutation_index)}
+def op8_best_fit(spark, sf):
+    from .packing import pack
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pack(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+def op9_decontaminate(spark, sf):
+    """Per document the benchmark items found in it, as ids, and the best match."""
+    from .decontaminate import find_overlaps
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = find_overlaps(docs, table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("overlaps") > 0).alias("contaminated"),
+        F.size("overlaps").cast("long").alias("n_items"),
+        F.concat_ws(",", F.transform("overlaps", lambda o: o["item_id"])).alias("item_ids"),
+        F.array_max(F.transform("overlaps", lambda o: o["matches"])).alias("most_matches"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op5_permutation_index,
+                                    op8_best_fit, op9_decontaminate)}
 
 SQL = {}
