@@ -187,8 +187,8 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[n
     out[long] = runs[source[long]]
     for i in np.flatnonzero((count > 0) & (count < width)):
         seq = words[bounds[i]:bounds[i + 1]]
-        out[out_bounds[i]] = mix((seq * (factors[:len(seq)] | U64(1))).sum(dtype=U64)
-                                 + U64(len(seq) + 1) * U64(_GOLDEN) ^ U64(0x5151))
+        total = (seq * (factors[:len(seq)] | U64(1))).sum(dtype=U64, keepdims=True)
+        out[out_bounds[i]] = mix(total + _stream(78, len(seq))[-1:])[0]
     return out, out_bounds
 
 

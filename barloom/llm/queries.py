@@ -59,6 +59,11 @@ def op5_permutation_index(spark, sf):
     return search(table(spark, sf, "embeddings"), lambda key: key % 20 == 0)
 
 
+def op7_ngram_join(spark, sf):
+    from .ngram_join import similar_groups
+    return similar_groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_best_fit(spark, sf):
     from .packing import pack
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -77,7 +82,17 @@ def op9_decontaminate(spark, sf):
         F.array_max(F.transform("overlaps", lambda o: o["matches"])).alias("most_matches"))
 
 
+def op10_suffix_tree(spark, sf):
+    from .suffix_tree import score
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    return score(docs, ~held_out).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op5_permutation_index,
-                                    op8_best_fit, op9_decontaminate)}
+                                    op7_ngram_join, op8_best_fit, op9_decontaminate,
+                                    op10_suffix_tree)}
 
 SQL = {}
