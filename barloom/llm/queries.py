@@ -54,6 +54,12 @@ def op3_language_id(spark, sf):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_kneser_ney(spark, sf):
+    from .kneser_ney import classify
+    good = table(spark, sf, "labels").where("quality = 1")
+    return classify(table(spark, sf, "documents"), good)
+
+
 def op5_permutation_index(spark, sf):
     from .permutation_index import search
     return search(table(spark, sf, "embeddings"), lambda key: key % 20 == 0)
@@ -91,7 +97,8 @@ def op10_suffix_tree(spark, sf):
         "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op5_permutation_index,
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op4_kneser_ney,
+                                    op5_permutation_index,
                                     op7_ngram_join, op8_best_fit, op9_decontaminate,
                                     op10_suffix_tree)}
 
