@@ -65,6 +65,18 @@ def op5_permutation_index(spark, sf):
     return search(table(spark, sf, "embeddings"), lambda key: key % 20 == 0)
 
 
+def op6_personal_data(spark, sf):
+    from . import personal_data as P
+    docs = P.find_spans(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["rank"] < len(P.KINDS))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    return docs.select(
+        "doc_id",
+        *[(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+          for kind in P.KINDS],
+        F.sha2(P.digest(base), 256).alias("base_sha256"), P.digest(F.col("spans")).alias("spans"))
+
+
 def op7_ngram_join(spark, sf):
     from .ngram_join import similar_groups
     return similar_groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -98,7 +110,7 @@ def op10_suffix_tree(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op4_kneser_ney,
-                                    op5_permutation_index,
+                                    op5_permutation_index, op6_personal_data,
                                     op7_ngram_join, op8_best_fit, op9_decontaminate,
                                     op10_suffix_tree)}
 
