@@ -1,11 +1,87 @@
-"""The corpus pipeline (its stages are added as the operators arrive)."""
+"""The corpus pipeline: language, near duplicates, benchmark passages, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
+and read again as the next stage's docs. All but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barloom.llm import language_id, ngram_join, packing, personal_data
+from barloom.llm.decontaminate import find_overlaps
+from barloom.session import materialize
+
+TOKENIZER = "word_bpe_49k.json"
+BROADCAST_IDS = 1_000_000
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognized; the others, and those without a letter, go."""
+    model = language_id.fit_on(docs, F.lit(True))
+    return language_id.identify(docs, model, lang="_lang", score="_score", accepted="_accepted").where(
+        "_accepted").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one of smallest id.
+
+    Rows without an id cannot be named and stay. Of rows that repeat an id, equal ones stay
+    once; different ones stay or go with their id.
+    """
+    groups = materialize(ngram_join.similar_groups(docs), "groups")
+    stay = F.col("doc_id") == F.col("component_id")
+    ids = materialize(groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max(stay).alias("stay"), F.count(F.lit(1)).alias("rows")), "ids")
+    go = ids.where("NOT stay").select("doc_id")
+    if go.count() <= BROADCAST_IDS:
+        go = F.broadcast(go)
+    kept = docs.join(go, "doc_id", "left_anti")
+    again = ids.where("stay AND rows > 1").select("doc_id")
+    if not again.isEmpty():
+        once = kept.join(again, "doc_id", "left_anti")
+        kept = once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates())
+    return kept.select(*docs.columns)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_overlaps(docs, benchmark, out="_overlaps").where(
+        F.size("_overlaps") == 0).select(*docs.columns)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with personal data replaced by its kind."""
+    found = personal_data.find_spans(docs, out="_spans")
+    text = personal_data.masked(F.col("text"), F.col("_spans"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return found.select("*", *[c.alias(f"_new_{n}") for n, c in changed.items()]).select(
+        *[F.col(f"_new_{c}").alias(c) if c in changed else F.col(c) for c in docs.columns])
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequence and offset."""
+    return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("private", private),
+    ("sequences", sequences),
+]
+# Language scores, exact similarity joins and tokenizing are not expressible in SQL.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
