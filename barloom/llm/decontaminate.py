@@ -126,18 +126,18 @@ class Block:
         return low + shift + begin, low + shift + end, matches
 
 
-def _blocks(spark, benchmark: DataFrame, item_id: str, text: str, settings: Settings) -> list[Block]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[Block]:
     """The benchmark in blocks, each read for itself, so that the driver holds one at a time."""
     rows = materialize(
         benchmark.where(F.col(text).isNotNull())
         .select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"),
                 (F.size(F.split(text, r"\s+")) * len(settings.masks)).alias("n")), "benchmark")
     seeds = rows.agg(F.sum("n")).first()[0] or 0
-    count = max(1, -(-2 * seeds // settings.block_seeds)) if seeds > settings.block_seeds else 1
-    part = F.pmod(F.xxhash64("i", "t"), F.lit(count))
-    return [(lambda k=k: Block(*(list(x) for x in zip(*[
-        (r["i"], r["t"].encode()) for r in rows.where(part == k).orderBy("i", "t").collect()])),
-        settings) if not rows.where(part == k).isEmpty() else None) for k in range(count)]
+    count = 1 if seeds <= settings.block_seeds else -(-2 * seeds // settings.block_seeds)
+    for k in range(count):
+        part = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k).orderBy("i", "t").collect()
+        if part:
+            yield Block([r["i"] for r in part], [r["t"].encode() for r in part], settings)
 
 
 OVERLAP = T.ArrayType(T.StructType([
@@ -150,15 +150,11 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                   settings: Settings = Settings()) -> DataFrame:
     """docs with an array of the verified overlaps of each text: item, first word, one past
     the last, matched words, by item. No shuffle of the documents."""
-    spark = docs.sparkSession
-    ship(spark)
-    out_of = docs.drop(out)
-    current = out_of.withColumn(out, F.array().cast(OVERLAP))
-    for make in _blocks(spark, benchmark, item_id, item_text, settings):
-        block = make()
-        if block is None or not len(block.hashes):
-            continue
-        current = _pass(current, block, text, out)
+    ship(docs.sparkSession)
+    current = docs.drop(out).withColumn(out, F.array().cast(OVERLAP))
+    for block in _blocks(benchmark, item_id, item_text, settings):
+        if len(block.hashes):
+            current = _pass(current, block, text, out)
     return current
 
 

@@ -35,7 +35,8 @@ class Settings:
     per_class: int = 600          # bound of the labelled sample, per language
     dimensions: int = 16
     epochs: int = 6
-    rate: float = 0.4
+    least_steps: int = 4000       # a small sample is read more often
+    rate: float = 1.0
     held_back: float = 0.25       # share of the sample that fits temperature and rejection
     reject_share: float = 0.0005  # of correctly read texts, at most this share is rejected
     floor: float = 0.35           # no score from here up is rejected
@@ -144,9 +145,10 @@ def fit(texts: list[str], labels: list[str], settings: Settings = Settings()) ->
         rows, times = np.unique(_of_text(grams, i), return_counts=True)
         if len(rows):
             bags[i] = rows, times / times.sum()
-    steps = max(1, settings.epochs * len(bags))
+    epochs = min(40, max(settings.epochs, -(-settings.least_steps // max(1, len(bags)))))
+    steps = max(1, epochs * len(bags))
     done = 0
-    for _ in range(settings.epochs):
+    for _ in range(epochs):
         for i in rng.permutation(list(bags)):
             rows, share = bags[i]
             rate = settings.rate * (1 - done / steps)
@@ -213,7 +215,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", lang: str = "lang_
     """df with the predicted language, its calibrated score and whether it is accepted."""
     ship(df.sparkSession)
     work = hidden(df, "text")["text"]
-    names = [c for c in df.columns if c not in (lang, score, accepted)]
+    names = [c for c in df.columns if c.lower() not in {lang, score, accepted}]
     plain = df.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias(work))
     schema = T.StructType([*[df.schema[c] for c in names], T.StructField(lang, T.StringType()),
                            T.StructField(score, T.DoubleType()),

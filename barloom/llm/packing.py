@@ -186,8 +186,9 @@ def cut_pieces(df: DataFrame, path: str, text: str = "text", capacity: int = CAP
 
 @dataclass(frozen=True)
 class Settings:
-    rounds: int = 100         # of multiplicative weights
-    decay: float = 3.0        # how fast a length's price falls as it is covered
+    rounds: int = 200         # of multiplicative weights
+    decay: float = 1.0        # how fast a length's price falls as it is covered
+    long: float = 0.3         # what the longest pieces are priced above their share
     shortest: int = 32        # lengths up to capacity / shortest are left to the best fit
 
 
@@ -224,8 +225,10 @@ def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int,
     covered = np.zeros(len(sizes))
     found: dict[bytes, list] = {}
     step = max(1.0, float((sizes * counts).sum()) / capacity) / settings.rounds
+    # A little more than in proportion: long pieces have fewer places they fit.
+    start = sizes * (1 + settings.long * sizes / capacity)
     for _ in range(settings.rounds):
-        weights = np.exp(-settings.decay * covered / counts) * sizes
+        weights = np.exp(-settings.decay * covered / counts) * start
         copies = price(weights, sizes, counts, capacity)
         if not copies.any():
             break

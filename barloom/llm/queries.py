@@ -114,4 +114,53 @@ QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id,
                                     op7_ngram_join, op8_best_fit, op9_decontaminate,
                                     op10_suffix_tree)}
 
-SQL = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_FIVE = " + ".join(f"{2 ** (4 - j)} * CAST(substr(bits, 1 + 5 * i + {j}, 1) AS INTEGER)" for j in range(5))
+
+SQL = {
+    "op2_warc": f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+         CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS bits
+  FROM p
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY bits, payload_bytes) AS first_id FROM d
+)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('{_BASE32}', 1 + {_FIVE}, 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM g""",
+    "op7_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), x AS (
+  SELECT doc_id, len(words) AS k, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w
+), u AS (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, k, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o,
+                                     lead(word, 3) OVER o, lead(word, 4) OVER o) AS shingle
+    FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY pos))
+  WHERE pos = 1 OR pos <= k - 4
+), n AS (
+  SELECT d.doc_id, CAST(count(u.shingle) AS BIGINT) AS n_shingles
+  FROM documents d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n_shingles, y.n_shingles
+  HAVING 100 * count(*) >= 80 * (x.n_shingles + y.n_shingles - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM n
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT n.doc_id, n.n_shingles, min(reach.b) AS component_id
+FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n_shingles""",
+}

@@ -191,7 +191,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
     ship(df.sparkSession)
     work = hidden(df, "text")["text"]
     schema = df.drop(out).schema.add(out, "long", False)
-    names = [c for c in df.columns if c != out]
+    names = [c for c in df.columns if c.lower() != out.lower()]
     plain = df.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias(work))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
