@@ -50,13 +50,19 @@ def load_watermark(existing: DataFrame, entities: DataFrame, key: str, as_of: da
     )
 
 
-def after_watermark(batch: DataFrame, watermark: DataFrame, key: str) -> DataFrame:
-    """Rows of configured entities dated on or after the entity's next start.
+def after_watermark(batch: DataFrame, watermark: DataFrame, key: str,
+                    end: date | None = None) -> DataFrame:
+    """Rows dated on or after their entity's next start, and before `end` if that is given.
 
-    Rows without a date stay in, for the audit to report.
+    Rows without a date or of entities that are not configured stay in, for the audit to
+    report.
     """
+    day = F.col("date")
+    inside = day >= F.col("next_start")
+    if end is not None:
+        inside = inside & (day < F.lit(end))
     return (
-        batch.join(watermark.select(key, "next_start"), key)
-        .where(F.col("date").isNull() | (F.col("date") >= F.col("next_start")))
+        batch.join(watermark.select(key, "next_start"), key, "left")
+        .where(day.isNull() | F.col("next_start").isNull() | inside)
         .drop("next_start")
     )

@@ -92,7 +92,7 @@ def scan_landing(fmt: str) -> Query:
     def run(spark, sf):
         path = scratch_path(spark, f"landing_{fmt}")
         src.bars(spark, sf).select(*BAR_COLS).write.partitionBy("ticker").format(fmt).save(path)
-        return L.read_landing(spark, path, fmt, L.BARS).where(F.col("_bad") == "").drop("_bad")
+        return L.read_landing(spark, path, fmt, L.BARS).where(F.col("_bad") == "").drop("_bad", "_raw")
     return run
 
 
@@ -151,9 +151,17 @@ load_macro = _load(G.MACRO, src.macro, incremental=False)
 
 
 def incremental_load(spark, sf):
-    """What the watermark lets through, from the stored table after the load."""
-    loaded = _load(G.PRICES, src.bars, incremental=True)(spark, sf)
-    return loaded.where(F.col("date") >= F.lit(INCOMING_FROM))
+    """The whole table after a load behind the watermark. Bars of today and later, planted
+    in the batch, must stay out."""
+    def with_later(spark, sf):
+        bars = src.bars(spark, sf).select(*BAR_COLS)
+        last = bars.where(F.col("date") >= F.lit(SETTINGS.as_of) - F.expr("INTERVAL 60 DAYS"))
+        later = [last.withColumn("date", F.date_add(F.lit(SETTINGS.as_of), n)) for n in (0, 1, 30)]
+        out = bars.where(F.col("date") < F.lit(SETTINGS.as_of))
+        for rows in later:
+            out = out.unionByName(rows.dropDuplicates(["ticker"]))
+        return out
+    return _load(G.PRICES, with_later, incremental=True)(spark, sf)
 
 
 def streaming_load(spark, sf):

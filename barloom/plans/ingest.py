@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.audit import audit_rows, loadable, raise_on_failures
+from ..operators.audit import audit_rows, loadable, raise_on_failures, rejected
 from ..operators.insert import after_watermark, insert_if_absent, load_watermark
 from ..schemas import BAR_COLS, MACRO_COLS
 from ..session import materialize
@@ -41,31 +41,44 @@ def configured(feed: Feed, settings: Settings) -> Sequence[str]:
 
 
 def run_load(store: Store, feed: Feed, batch: DataFrame, settings: Settings, run_id: str,
-             incremental: bool = True) -> DataFrame:
+             incremental: bool = True, pending: str | None = None) -> DataFrame:
     """Load one batch and return its audit rows.
 
     The batch needs the feed's columns, `_bad`, and `ingest_seq`, which orders copies of
     a key. It is written once to the scratch folder: audit, key check and append then
-    read that copy instead of the source. Running the same load again adds nothing.
+    read that copy instead of the source. Running the same load again adds nothing, and
+    the log keeps the first run of an id. Bars dated today or later wait for a later load.
+
+    Rows that cannot be loaded go to the run's folder of `rejected`. With `pending`, good rows
+    of failed entities are written there, for the caller to hand in again.
     """
     spark = store.spark
     store.create_missing([feed.table, "ingestion_log"])
     entities = entity_frame(spark, feed.key, configured(feed, settings))
-    batch = batch.select(*feed.columns, "ingest_seq", "_bad")
+    raw = F.col("_raw") if "_raw" in batch.columns else F.lit(None).cast("string").alias("_raw")
+    batch = batch.select(*feed.columns, "ingest_seq", "_bad", raw)
     if incremental:
         marks = load_watermark(store.read(feed.table), entities, feed.key, settings.as_of,
                                settings.lookback_years)
-        batch = after_watermark(batch, marks, feed.key)
+        batch = after_watermark(batch, marks, feed.key,
+                                settings.as_of if feed is PRICES else None)
     staged = materialize(batch, f"{feed.table}_batch")
 
     audit = materialize(
         audit_rows(staged, entities, feed.key, feed.required, feed.source, run_id)
         .withColumn("started_at", F.current_timestamp()), f"{feed.table}_audit")
     good = loadable(staged, audit, feed.key, [*feed.columns, "ingest_seq"], feed.required)
-    good = good.dropna(subset=[feed.key, "date"])
+    rejected(staged, entities, feed.key).write.mode("overwrite").parquet(
+        f"{store.path('rejected')}/table={feed.table}/run={run_id}")
+    if pending is not None:
+        loadable(staged, audit, feed.key, [*feed.columns, "ingest_seq"], feed.required,
+                 "failed").write.mode("overwrite").parquet(pending)
     store.append(feed.table, insert_if_absent(_overlap(store, feed, staged), good,
                                               [feed.key, "date"], "ingest_seq"))
-    store.append("ingestion_log", audit.withColumn("finished_at", F.current_timestamp()))
+    known = store.read("ingestion_log").where(
+        (F.col("run_id") == run_id) & (F.col("source") == feed.source))
+    if known.isEmpty():
+        store.append("ingestion_log", audit.withColumn("finished_at", F.current_timestamp()))
     return audit
 
 

@@ -320,7 +320,7 @@ def oracle_sql() -> dict[str, str]:
         "load_bars": _sql(loads["bars"], "SELECT * FROM loaded"),
         "load_macro": _sql(loads["macro"], "SELECT * FROM loaded"),
         "incremental_load": _sql(loads["incremental"],
-                                 f"SELECT * FROM loaded WHERE date >= {NEW_START}"),
+                                 "SELECT * FROM loaded"),
         "streaming_load": _sql(_named("bars"), f"SELECT {_BAR_COLS} FROM bars"),
         "load_watermark": _sql(_named("bars", "expected"), f"""
             SELECT ticker, last_date, CAST(last_date + 1 AS DATE) AS next_start FROM (

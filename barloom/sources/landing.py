@@ -14,47 +14,75 @@ from ..schemas import BAR_COLS, MACRO_COLS, RAW_MACRO, RAW_PRICES
 BARS = T.StructType([RAW_PRICES[c] for c in BAR_COLS])
 MACRO = T.StructType([RAW_MACRO[c] for c in MACRO_COLS])
 TEXT_FORMATS = ("csv", "json")
+CORRUPT = "_corrupt"
+UNREADABLE = "unreadable line"
 
 
-def as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
+def as_text(names: Sequence[str]) -> T.StructType:
+    """Text columns of these names, and one for lines that are no record."""
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, CORRUPT]])
 
 
 def parse_text(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast text columns to the schema's types, with the failures of a row in `_bad`.
 
-    A value that does not parse becomes NULL and its column is named in `_bad`; the row
-    stays, so that the load can report it against its entity.
+    A value that does not parse becomes NULL and its column is named in `_bad`; a line that
+    is no record, or has the wrong number of fields, is named as such. The row stays, with
+    its text in `_raw`, so that the load can report it against its entity.
     """
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema}
     failed = [
         F.when(F.col(name).isNotNull() & cast.isNull(), F.lit(name)) for name, cast in typed.items()
     ]
-    return df.withColumns({**typed, "_bad": F.concat_ws(",", *failed)})
+    text = F.to_json(F.struct(*schema.names))
+    if CORRUPT in df.columns:
+        failed = [F.when(F.col(CORRUPT).isNotNull(), F.lit(UNREADABLE)), *failed]
+        text = F.coalesce(F.col(CORRUPT), text)
+    bad = F.concat_ws(",", *failed)
+    return df.withColumns({**typed, "_bad": bad, "_raw": F.when(bad != "", text)})
+
+
+def _text_source(spark: SparkSession, reader, path: str, fmt: str, schema: T.StructType,
+                 options: dict[str, str]) -> DataFrame:
+    """A folder of text files with every column as text.
+
+    CSV files with a header are read by its names, in whatever order; Spark checks every
+    file against them and fails on one that differs. Without a header, columns go by position.
+    """
+    names = schema.names
+    if fmt == "csv" and str(options.get("header", "false")).lower() == "true":
+        # Partition columns come from the folders, not from the header.
+        names = (spark.read.options(**options).option("recursiveFileLookup", "true")
+                 .csv(path).columns)
+        options = {**options, "enforceSchema": "false"}
+    if fmt == "csv":
+        options = {**options, "columnPruning": "false"}
+    return (reader.format(fmt).options(**{"mode": "PERMISSIVE", **options})
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(as_text(names)).load(path))
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
                  **options: str) -> DataFrame:
-    """Read a folder in the table's schema plus `_bad` (empty where the row parsed).
+    """Read a folder in the table's schema plus `_bad` (empty where the row parsed) and `_raw`.
 
-    A `ticker=X/` folder level supplies the key column of files that lack it. CSV files
-    may carry a header; columns are taken by position.
+    A `ticker=X/` folder level supplies the key column of files that lack it.
     """
-    if fmt in TEXT_FORMATS:
-        raw = spark.read.format(fmt).options(**options).schema(as_text(schema)).load(path)
-        return parse_text(raw, schema).select(*schema.names, "_bad")
-    return (spark.read.format(fmt).options(**options).schema(schema).load(path)
-            .select(*schema.names, F.lit("").alias("_bad")))
+    return _read(spark, spark.read, path, fmt, schema, options)
 
 
 def stream_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
                    **options: str) -> DataFrame:
     """`read_landing` as a stream of newly arrived files."""
+    return _read(spark, spark.readStream, path, fmt, schema, options)
+
+
+def _read(spark: SparkSession, reader, path: str, fmt: str, schema: T.StructType,
+          options: dict[str, str]) -> DataFrame:
     if fmt in TEXT_FORMATS:
-        raw = spark.readStream.format(fmt).options(**options).schema(as_text(schema)).load(path)
-        return parse_text(raw, schema).select(*schema.names, "_bad")
-    return (spark.readStream.format(fmt).options(**options).schema(schema).load(path)
-            .select(*schema.names, F.lit("").alias("_bad")))
+        raw = _text_source(spark, reader, path, fmt, schema, options)
+        return parse_text(raw, schema).select(*schema.names, "_bad", "_raw")
+    return reader.format(fmt).options(**options).schema(schema).load(path).select(
+        *schema.names, F.lit("").alias("_bad"), F.lit(None).cast("string").alias("_raw"))
 
 
 def select_bars(bars: DataFrame, tickers: Sequence[str], start: date | None = None,
@@ -82,8 +110,3 @@ def select_macro(macro: DataFrame, series: Sequence[str], start: date | None = N
 def macro_series(macro: DataFrame, series_id: str, name: str) -> DataFrame:
     """One series as (date, name)."""
     return macro.where(F.col("series_id") == series_id).select("date", F.col("value").alias(name))
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to a table's columns, in order."""
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))

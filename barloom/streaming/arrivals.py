@@ -18,18 +18,26 @@ def load_arrivals(spark: SparkSession, path: str, fmt: str, store: Store, settin
 
     Each micro-batch is one run of the batch load without the date watermark: the file
     log decides what is new. A batch that is repeated after a failure inserts nothing
-    twice, because stored keys are left alone. Within a micro-batch the first copy of a
+    twice, because stored keys are left alone. Good rows of an entity that failed are held
+    and join the next micro-batch, since their files will not be read again. Within a micro-batch the first copy of a
     key is the one from the oldest file, the lowest file name among equals, and the
     earliest line in it.
     """
     schema = BARS if feed is PRICES else MACRO
     arrivals = stream_landing(spark, path, fmt, schema, **options)
 
+    def held_at(batch_id: int) -> str:
+        return f"{checkpoint.rstrip('/')}_held/batch={batch_id}"
+
     def load(batch: DataFrame, batch_id: int) -> None:
         in_order = F.struct("_modified", "_file", "_block",
                             F.monotonically_increasing_id().alias("_line"))
-        run_load(store, feed, batch.withColumn("ingest_seq", in_order), settings,
-                 run_id=f"stream_{batch_id}", incremental=False)
+        batch = batch.withColumn("ingest_seq", in_order)
+        if batch_id:
+            held = spark.read.parquet(held_at(batch_id - 1))
+            batch = batch.unionByName(held.withColumn("_bad", F.lit("")), allowMissingColumns=True)
+        run_load(store, feed, batch, settings, run_id=f"stream_{batch_id}", incremental=False,
+                 pending=held_at(batch_id))
 
     return (
         arrivals.withColumns({

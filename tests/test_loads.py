@@ -142,6 +142,70 @@ def test_stream_loads_each_file_once(spark, store, tmp_path):
     assert len(stored(store)) == 2
 
 
+def test_lines_that_are_no_record_are_reported(spark, store, tmp_path):
+    folder = tmp_path / "in" / "ticker=A"
+    folder.mkdir(parents=True)
+    good = '{"date":"2021-01-04","open":"1","high":"1","low":"1","close":"1","adj_close":"1.5","volume":"3"}'
+    (folder / "a.json").write_text(good + "\n" + '{"date":"2021-01-05","adj_close": 1.\n')
+    got = L.read_landing(spark, str(tmp_path / "in"), "json", L.BARS)
+    assert rows(got.select("ticker", "adj_close", "_bad")) == [
+        ("A", None, L.UNREADABLE), ("A", 1.5, "")]
+    G.run_load(store, G.PRICES, got.withColumn("ingest_seq", F.lit(1)), SETTINGS, "r1", False)
+    assert stored(store) == []
+    log = {r.ticker: r for r in store.read("ingestion_log").collect()}
+    assert log["A"].status == "failed"
+    kept = spark.read.parquet(store.path("rejected")).collect()
+    assert [(r.entity, r.reason, r.raw) for r in kept] == [
+        ("A", L.UNREADABLE, '{"date":"2021-01-05","adj_close": 1.')]
+
+
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,adj_close,open,high,low,close,volume,ticker\n"
+                                    "2021-01-04,4,1,2,0.5,1.5,10,A\n2021-01-05,1,2\n")
+    got = L.read_landing(spark, str(tmp_path), "csv", L.BARS, header="true")
+    assert rows(got.select("ticker", "open", "adj_close", "_bad", "_raw")) == [
+        (None, 2.0, 1.0, L.UNREADABLE, "2021-01-05,1,2"), ("A", 1.0, 4.0, "", None)]
+
+
+def test_every_row_is_accounted_for(spark, store):
+    d = date(2021, 1, 4)
+    items = batch(spark, bar("A", d, 1.0), bar("A", None, 2.0), bar("B", d, 1.0), bar("Z", d, 3.0),
+                  bar("B", SETTINGS.as_of, 9.0), bar("B", date(2021, 2, 20), 9.0), bar(None, d, 4.0))
+    for incremental in (True, False):
+        one = Store(spark, f"{store.root}/{incremental}")
+        kept_out = F.col("date") < F.lit(SETTINGS.as_of)
+        taken = items if incremental else items.where(F.col("date").isNull() | kept_out)
+        G.run_load(one, G.PRICES, taken, SETTINGS, "r1", incremental)
+        assert stored(one) == [("B", d, 1.0)]
+        log = {r.ticker: (r.rows_loaded, r.status) for r in one.read("ingestion_log").collect()}
+        assert log == {"A": (0, "failed"), "B": (1, "success"), "C": (0, "success"), "(unknown)": (0, "failed")}
+        reasons = spark.read.parquet(one.path("rejected")).select("entity", "reason")
+        assert rows(reasons) == [(None, "not configured"), ("A", "no date"), ("Z", "not configured")]
+
+
+def test_a_repeated_run_logs_once(spark, store):
+    items = batch(spark, bar("A", date(2021, 1, 4), 1.0))
+    for _ in range(2):
+        G.run_load(store, G.PRICES, items, SETTINGS, "same", False)
+    assert store.read("ingestion_log").count() == 3
+
+
+def test_stream_recovers_rows_of_a_failed_entity(spark, store, tmp_path):
+    landing, log = tmp_path / "in", str(tmp_path / "log")
+
+    def arrive(name, *lines):
+        folder = landing / "ticker=A"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text("\n".join(lines) + "\n")
+        load_arrivals(spark, str(landing), "json", store, SETTINGS, log).awaitTermination()
+
+    line = '{"date":"2021-01-0%d","adj_close":"1.5","volume":"3"}'
+    arrive("a.json", line % 4, "{broken")
+    assert stored(store) == []
+    arrive("b.json", line % 5)
+    assert stored(store) == [("A", date(2021, 1, 4), 1.5), ("A", date(2021, 1, 5), 1.5)]
+
+
 def test_quality_report_and_error(spark):
     bars = spark.createDataFrame(
         [("A", date(2021, 1, 30), 1.0), ("A", date(2021, 1, 29), None),
@@ -154,9 +218,9 @@ def test_quality_report_and_error(spark):
         ("B", 1, "Ticker B data is stale: latest date is 2021-01-20 (11 days ago)"),
         ("C", 1, "No rows found for ticker C"),
         ("X", 1, "Ticker X has 1 row(s) with NULL adj_close")]
-    with pytest.raises(Q.QualityError, match="No rows found for ticker C"):
-        Q.raise_on_findings(report)
-    Q.raise_on_findings(report.where("false"))
+    with pytest.raises(Q.QualityError, match=r"4 finding\(s\) for 4 ticker\(s\).*reports/x"):
+        Q.raise_on_findings(report, "reports/x")
+    Q.raise_on_findings(report.where("false"), "reports/x")
 
 
 def test_exactly_five_days_is_not_stale(spark):

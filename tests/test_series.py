@@ -74,16 +74,22 @@ def test_rsi_without_losses_is_null(spark):
     assert column(S.with_rsi(df, "return_1d", S.ordered("ticker")), "rsi_14") == [None] * 20
 
 
-def test_rsi_matches_a_rolling_computation(spark):
-    frame = pd.Series(random_prices(80)).pct_change()
-    step = frame.diff()
-    gain = step.clip(lower=0).rolling(14).mean()
-    loss = (-step.clip(upper=0)).rolling(14).mean()
-    want = (100 - 100 / (1 + gain / loss)).to_numpy()
-    out = S.with_rsi(P.add_windows(bars(spark, random_prices(80))), "return_1d", S.ordered("ticker"))
-    got = np.array(column(out, "rsi_14"), dtype=float)
-    assert np.isnan(got[:15]).all() and not np.isnan(got[15:]).any()
-    np.testing.assert_allclose(got[15:], want[15:], rtol=1e-9)
+def test_rsi_follows_its_definition(spark):
+    """Row by row from the definition: changes of the return, means of the last 14."""
+    prices = random_prices(80)
+    out = S.with_rsi(P.add_windows(bars(spark, prices)), "return_1d", S.ordered("ticker"))
+    got = column(out, "rsi_14")
+    returns = [None] + [b / a - 1 for a, b in zip(prices, prices[1:])]
+    assert got[:15] == [None] * 15
+    for day in range(15, len(prices)):
+        up = down = 0.0
+        for k in range(day - 13, day + 1):
+            change = returns[k] - returns[k - 1]
+            if change > 0:
+                up += change / 14
+            else:
+                down -= change / 14
+        assert got[day] == pytest.approx(100 * up / (up + down), rel=1e-9)
 
 
 @pytest.mark.parametrize("dropped", [0, 1, 7, 60])
