@@ -8,13 +8,11 @@ carried forward.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import hot_key_bounds, slice_of
-
 
 def _spans(macro: DataFrame, columns: Mapping[str, str], lag_days: int) -> DataFrame:
     """Each observation with the first and last day on which it is the visible one.
@@ -82,55 +80,59 @@ def asof_calendar(left: DataFrame, macro: DataFrame, columns: Mapping[str, str],
     )
 
 
+def by_day(ts: Column) -> Column:
+    return F.date_trunc("day", ts)
+
+
 def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
                values: Mapping[str, str], strict: bool = True,
-               hot_rows: int = 1_000_000, slices: int = 1024) -> DataFrame:
+               unit: Callable[[Column], Column] = by_day, tie: str | None = None) -> DataFrame:
     """Left as-of join of two keyed tables, both free to be large.
 
     `values` maps right columns to their names in the result; they are NULL where no
     right row is early enough. `strict` asks for right.ts < left.ts, else <=. NULL keys and
-    times match nothing; of several right rows at one moment any may be taken.
-
-    Most keys are one window group. A key with more than `hot_rows` rows and a visible
-    share of the table is cut into time slices at its own quantiles; each slice is filled
-    by itself, and the slices hand their last right row on through a small table with one
-    row per hot key and slice.
+    times match nothing. Of several right rows at one moment the one with the greatest
+    `tie`, then the greatest values, is taken.
+
+    Both sides shrink to one row per key and moment before the shuffle. Every key is cut by
+    the calendar (`unit`, a function of the time that keeps its order), so a window group
+    holds the moments of one unit; the last right row of each unit is carried on through a
+    table with one row per key and unit. Rows that share a moment meet its answer in an equi
+    join, which AQE splits where one moment is hot. NULL keys and times take no part in it.
     """
     keys = list(keys)
-    left_cols = [c for c in left.columns if c not in (*keys, ts)]
+    names = list(values.values())
+    whole = F.lit(True)
+    for c in (*keys, ts):
+        whole = whole & F.col(c).isNotNull()
+    found = F.struct(*([F.col(tie).alias("_tie")] if tie else []),
+                     *(F.col(c).alias(n) for c, n in values.items()))
+    moments = right.where(whole).groupBy(*keys, ts).agg(F.max(found).alias("_right"))
     left_first, right_first = (0, 1) if strict else (1, 0)
-    merged = left.select(
-        *keys, ts, F.lit(left_first).alias("_side"), F.struct(F.lit(1), *left_cols).alias("_left"),
-        F.lit(None).alias("_right"),
-    ).unionByName(right.dropna(subset=[*keys, ts]).select(
-        *keys, ts, F.lit(right_first).alias("_side"), F.lit(None).alias("_left"),
-        F.struct(F.lit(1).alias("_hit"), *(F.col(c).alias(n) for c, n in values.items())).alias("_right"),
-    ))
-
-    bounds = hot_key_bounds(merged, keys, ts, hot_rows, slices)
-    sliced = (
-        merged.join(F.broadcast(bounds), keys, "left")
-        .withColumn("_slice", slice_of(F.col(ts), F.col("_bounds"), slices))
-        .drop("_bounds")
+    asked = left.where(whole).select(*keys, ts).distinct()
+    merged = (
+        asked.select(*keys, ts, F.lit(left_first).alias("_side"), F.lit(None).alias("_right"))
+        .unionByName(moments.select(*keys, ts, F.lit(right_first).alias("_side"), "_right"))
+        .withColumn("_unit", unit(F.col(ts)))
     )
-    in_order = Window.partitionBy(*keys, "_slice").orderBy(ts, "_side")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = sliced.withColumn("_right", F.last("_right", ignorenulls=True).over(so_far))
-
-    # Hot keys only: the last right row of every earlier slice.
-    earlier = (Window.partitionBy(*keys).orderBy("_slice")
+    so_far = (Window.partitionBy(*keys, "_unit").orderBy(ts, "_side")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = merged.withColumn("_right", F.last("_right", ignorenulls=True).over(so_far)).where(
+        F.col("_side") == left_first)
+    earlier = (Window.partitionBy(*keys).orderBy("_unit")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (
-        sliced.where(F.col("_slice") >= 0)
-        .groupBy(*keys, "_slice")
+    units = (
+        merged.groupBy(*keys, "_unit")
         .agg(F.max_by("_right", F.when(F.col("_right").isNotNull(), F.col(ts))).alias("_last"))
         .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
-        .drop("_last")
-    )
-    return (
-        filled.where(F.col("_left").isNotNull())
-        .join(carry, [*keys, "_slice"], "left")
-        .withColumn("_right", F.coalesce("_right", "_carry"))
-        .select(*keys, ts, *(F.col(f"_left.{c}").alias(c) for c in left_cols),
-                *(F.col(f"_right.{n}").alias(n) for n in values.values()))
+        .where(F.col("_carry").isNotNull()).drop("_last")
     )
+    answers = inside.join(units, [*keys, "_unit"], "left").select(
+        *keys, ts, F.coalesce("_right", "_carry").alias("_right"))
+    rest = [c for c in left.columns if c not in (*keys, ts)]
+    joined = left.where(whole).join(answers, [*keys, ts], "left").select(
+        *keys, ts, *rest, *(F.col(f"_right.{n}").alias(n) for n in names))
+    kinds = {n: right.schema[c].dataType for c, n in values.items()}
+    alone = left.where(~whole).select(
+        *keys, ts, *rest, *(F.lit(None).cast(kinds[n]).alias(n) for n in names))
+    return joined.unionAll(alone)

@@ -1,33 +1,10 @@
-"""Cutting hot keys into slices of bounded size."""
+"""Cutting values into slices of about equal size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in HOT_SHARE. At most HOT_SHARE keys can,
-# so the table of hot keys is bounded: 4,000 keys x 1,024 boundaries x 8 bytes = 32 MB.
-HOT_SHARE = 4_000
-
-
-def hot_key_bounds(df: DataFrame, keys: Sequence[str], order: str,
-                   hot_rows: int, slices: int) -> DataFrame:
-    """The hot keys, each with the sorted `order` values that cut it into even slices.
-
-    The counts combine before the shuffle, so one key never travels as rows. The
-    quantiles are approximate; they only place the cuts, any cut gives the same result.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = df.agg(F.count("*")).scalar()
-    hot = counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") * HOT_SHARE > total))
-    return (
-        df.select(*keys, order).join(F.broadcast(hot.select(*keys)), list(keys))
-        .groupBy(*keys).agg(even_bounds(order, slices).alias("_bounds"))
-    )
-
-
 def even_bounds(value: str, slices: int) -> Column:
     """Aggregate: the sorted values that cut the rows into about even slices."""
     at = ", ".join(f"{i / slices}D" for i in range(1, slices))

@@ -278,10 +278,29 @@ def asof_keyed_query(spark, sf):
 
 
 def asof_keyed_sliced(spark, sf):
-    """The same join with every user treated as hot and cut into eight slices."""
+    """The same join with every user's history cut by the hour."""
     purchases, clicks = _purchases_and_clicks(spark, sf)
     return asof_keyed(purchases, clicks, ["user_id"], "ts",
-                      {"event_id": "click_id", "value": "click_value"}, hot_rows=10, slices=8)
+                      {"event_id": "click_id", "value": "click_value"},
+                      unit=lambda t: F.date_trunc("hour", t))
+
+
+def asof_keyed_ties(spark, sf):
+    """Both sides by day, so that many clicks share a moment: the greatest id wins."""
+    purchases, clicks = (d.withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+                         for d in _purchases_and_clicks(spark, sf))
+    return asof_keyed(purchases, clicks, ["user_id"], "ts",
+                      {"event_id": "click_id", "value": "click_value"}, tie="event_id",
+                      unit=lambda t: F.date_trunc("month", t))
+
+
+def asof_keyed_nulls(spark, sf):
+    """Purchases without a user or a time, which match nothing but stay."""
+    purchases, clicks = _purchases_and_clicks(spark, sf)
+    gone = lambda c, n: F.when(F.col("event_id") % n != 0, F.col(c)).alias(c)      # noqa: E731
+    return asof_keyed(purchases.select("event_id", gone("user_id", 7), gone("ts", 5), "value"),
+                      clicks.select("event_id", gone("user_id", 3), gone("ts", 4), "value"),
+                      ["user_id"], "ts", {"event_id": "click_id", "value": "click_value"})
 
 
 # --- windows ---------------------------------------------------------------------------
@@ -603,6 +622,8 @@ QUERIES: dict[str, Query] = {
     "asof_nulls": asof_nulls,
     "asof_keyed": asof_keyed_query,
     "asof_keyed_sliced": asof_keyed_sliced,
+    "asof_keyed_ties": asof_keyed_ties,
+    "asof_keyed_nulls": asof_keyed_nulls,
     "return_1d": window_column("return_1d"),
     "ma_5": window_column("ma_5"),
     "ma_20": window_column("ma_20"),

@@ -339,6 +339,22 @@ def oracle_sql() -> dict[str, str]:
         }, _asof("b", list(MACRO_SERIES), "late")),
         "asof_keyed": _keyed_sql(),
         "asof_keyed_sliced": _keyed_sql(),
+        "asof_keyed_ties": _sql(_named("purchases", "clicks"), """
+            SELECT p.user_id, p.ts, p.event_id, p.value, c.click_id, c.click_value
+            FROM (SELECT event_id, user_id, date_trunc('day', ts) AS ts, value FROM purchases) p
+            ASOF LEFT JOIN (
+                SELECT user_id, date_trunc('day', ts) AS ts, max(event_id) AS click_id,
+                       arg_max(value, event_id) AS click_value
+                FROM clicks GROUP BY 1, 2) c ON p.user_id = c.user_id AND p.ts > c.ts"""),
+        "asof_keyed_nulls": _sql(_named("purchases", "clicks"), """
+            SELECT p.user_id, p.ts, p.event_id, p.value, c.event_id AS click_id, c.value AS click_value
+            FROM (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id,
+                         CASE WHEN event_id % 5 <> 0 THEN ts END AS ts, value FROM purchases) p
+            LEFT JOIN LATERAL (
+                SELECT event_id, value FROM clicks c
+                WHERE c.event_id % 3 <> 0 AND c.event_id % 4 <> 0
+                  AND c.user_id = p.user_id AND c.ts < p.ts
+                ORDER BY c.ts DESC, c.event_id DESC LIMIT 1) c ON true"""),
         "rsi_14": _sql({**_named("bars"), **_windows("bars"), **_rsi("priced")},
                        f"SELECT ticker, date, {_round('rsi_14')} FROM with_rsi"),
         "features": _sql(_features(), feature_rows),

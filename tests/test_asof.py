@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from barloom.operators.asof import asof_calendar, asof_keyed
 
@@ -103,7 +104,8 @@ def check_keyed(spark, left, right, strict, **options):
 keyed = st.tuples(st.sampled_from("aab"), st.integers(0, 30))
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 3, "slices": 4}, {"hot_rows": 0, "slices": 16}])
+@pytest.mark.parametrize("options", [{}, {"unit": lambda t: F.date_trunc("minute", t)},
+                                     {"unit": lambda t: F.floor(F.minute(t) / 7)}])
 @FEW
 @given(left=st.lists(keyed, min_size=1, max_size=25),
        right=st.dictionaries(keyed, values, min_size=1, max_size=25), strict=st.booleans())
@@ -111,16 +113,36 @@ def test_keyed_equals_brute_force(spark, options, left, right, strict):
     check_keyed(spark, left, right, strict, **options)
 
 
-@pytest.mark.parametrize("slices", [2, 8])
-def test_one_key_holding_most_rows(spark, slices):
+@pytest.mark.parametrize("unit", ["minute", "hour", "year"])
+def test_one_key_holding_most_rows(spark, unit):
     left = [("hot", t) for t in range(1, 400, 3)] + [("cold", 50)]
     right = {("hot", t): float(t) for t in range(0, 400, 40)} | {("cold", 10): 1.0}
-    check_keyed(spark, left, right, True, hot_rows=50, slices=slices)
+    check_keyed(spark, left, right, True, unit=lambda t: F.date_trunc(unit, t))
 
 
 def test_many_rows_at_one_moment(spark):
     left = [("hot", 5)] * 60 + [("hot", 9)] * 60
-    check_keyed(spark, left, {("hot", 5): 1.0, ("hot", 4): 2.0}, True, hot_rows=10, slices=8)
+    check_keyed(spark, left, {("hot", 5): 1.0, ("hot", 4): 2.0}, True)
+
+
+def test_ties_do_not_depend_on_the_layout(spark):
+    lf, _ = keyed_frames(spark, [("a", 9)], {("a", 1): 0.0})
+    rf = spark.createDataFrame([("a", moment(3), float(i % 37), i) for i in range(50)],
+                               "k string, ts timestamp, v double, n int")
+    for parts in (1, 3, 7):
+        got = asof_keyed(lf, rf.repartition(parts), ["k"], "ts", {"v": "seen"}, tie="n").first()
+        assert got.seen == 12.0
+
+
+@pytest.mark.parametrize("key,when", [(None, "2020-01-01 00:05:00"), ("hot", None)])
+def test_rows_without_key_or_time_are_not_shuffled(spark, key, when):
+    left = spark.range(0, 20_000, 1, 8).select(
+        F.lit(key).cast("string").alias("k"), F.lit(when).cast("timestamp").alias("ts"), "id")
+    _, right = keyed_frames(spark, [("a", 9)], {("hot", 1): 1.0})
+    got = asof_keyed(left, right, ["k"], "ts", {"v": "seen"})
+    per_task = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_task) == 20_000 and max(per_task) <= 2 * sum(per_task) / len(per_task)
+    assert got.where("seen IS NOT NULL").count() == 0
 
 
 def test_null_keys_and_times_match_nothing(spark):
