@@ -7,72 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import even_bounds, slice_of
+from ..session import materialize
 
 
-def cumulative_counts(values: DataFrame, group: str, value: str, counts: Sequence[str],
-                      buckets: int = 256) -> DataFrame:
+def cumulative_counts(values: DataFrame, group: str, value: str, counts: Sequence[str]) -> DataFrame:
     """Running totals of `counts` in value order within each group, and the next value.
 
-    Takes one row per (group, value). Each group is cut into value buckets at approximate
-    quantiles; a bucket sums its own rows and adds the totals of the buckets below it.
-    The broadcast tables have one row per group and one per (group, bucket); use it with
-    few groups. `values` is read three times, so pass a stored table.
+    Takes one row per (group, value). The rows are partitioned by range, in as many
+    partitions as a shuffle has, and written once with the partition's number; a partition
+    sums its own rows of a group and adds the totals of the partitions before it. The table
+    of totals has one row per group and partition.
     """
-    bounds = values.groupBy(group).agg(even_bounds(value, buckets).alias("_bounds"))
-    bucketed = (
-        values.join(F.broadcast(bounds), group)
-        .withColumn("_bucket", slice_of(F.col(value), F.col("_bounds"), buckets))
-        .drop("_bounds")
-    )
-    across = Window.partitionBy(group).orderBy("_bucket")
+    ranged = materialize(
+        values.select(group, value, *counts).repartitionByRange(group, value)
+        .withColumn("_part", F.spark_partition_id()), "ranged")
+    across = Window.partitionBy(group).orderBy("_part")
     below = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(group, "_bucket")
+        ranged.groupBy(group, "_part")
         .agg(*(F.sum(c).alias(f"_sum_{c}") for c in counts), F.min(value).alias("_lowest"))
-        .select(group, "_bucket",
+        .select(group, "_part",
                 *(F.coalesce(F.sum(f"_sum_{c}").over(below), F.lit(0)).alias(f"_below_{c}")
                   for c in counts),
                 F.lead("_lowest").over(across).alias("_next_lowest"))
     )
-    inside = Window.partitionBy(group, "_bucket").orderBy(value)
+    inside = Window.partitionBy(group, "_part").orderBy(value)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return bucketed.join(F.broadcast(offsets), [group, "_bucket"]).select(
+    return ranged.join(offsets, [group, "_part"]).select(
         group, value, *counts,
         *((F.col(f"_below_{c}") + F.sum(c).over(running)).alias(f"cum_{c}") for c in counts),
         F.coalesce(F.lead(value).over(inside), F.col("_next_lowest")).alias("next_value"),
     )
 
 
-def exact_quantile(values: DataFrame, value: str, q: float, buckets: int = 256) -> float | None:
+def exact_quantile(values: DataFrame, value: str, q: float) -> float | None:
     """The q-quantile with linear interpolation, as a number on the driver.
 
-    Takes a stored table with one row per distinct value and its count in column `n`. The
-    first pass places bucket borders, the second counts the buckets, the third sorts only
-    the buckets that hold the two ranks asked for. The driver sees one number per bucket.
+    Takes one row per distinct value and its count in column `n`. The driver sees the two
+    values whose ranks are asked for.
     """
-    total, bounds = values.agg(F.sum("n"), even_bounds(value, buckets)).first()
+    total = values.agg(F.sum("n")).first()[0]
     if not total:
         return None
     place = q * (total - 1)
     low = int(place)
     high = min(low + 1, total - 1)
-
-    cuts = F.expr(f"array({', '.join(f'{b!r}D' for b in bounds)})")
-    bucketed = values.withColumn("_bucket", slice_of(F.col(value), cuts, buckets))
-    sizes = sorted(bucketed.groupBy("_bucket").agg(F.sum("n").alias("n")).collect())
-    below, wanted = 0, {}                # bucket -> rows in the buckets below it
-    for bucket, n in sizes:
-        if below <= high and below + n > low:
-            wanted[bucket] = below
-        below += n
-    start = F.expr("CASE _bucket " + " ".join(f"WHEN {b} THEN {n}" for b, n in wanted.items()) + " END")
-    inside = (Window.partitionBy("_bucket").orderBy(value)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    upto = F.col("_upto")
+    upto = F.col("cum_n")
     hits = (
-        bucketed.where(F.col("_bucket").isin(list(wanted)))
-        .withColumn("_upto", start + F.sum("n").over(inside))
+        cumulative_counts(values.withColumn("_all", F.lit(0)), "_all", value, ["n"])
         .where((upto - F.col("n") <= high) & (upto > low))
         .select(value).orderBy(value).collect()
     )

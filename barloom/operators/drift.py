@@ -63,7 +63,7 @@ def ks_p_value(d: Column, n: Column, m: Column) -> Column:
 
 
 def drift_statistics(features: DataFrame, columns: Sequence[str], cutoff: date, as_of: date,
-                     days: int, buckets: int = 256) -> DataFrame:
+                     days: int) -> DataFrame:
     """Per feature: sample sizes, KS statistic and p-value, normed Wasserstein distance.
 
     Both tests compare the same two empirical distributions F and G: KS takes the largest
@@ -74,7 +74,7 @@ def drift_statistics(features: DataFrame, columns: Sequence[str], cutoff: date,
     sizes = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("n"), F.sum("n_cur").alias("m"),
         F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("ref_mean"))
-    ranked = cumulative_counts(counts, "feature", "value", ["n_ref", "n_cur"], buckets)
+    ranked = cumulative_counts(counts, "feature", "value", ["n_ref", "n_cur"])
     gap = F.abs(F.try_divide("cum_n_ref", "n") - F.try_divide("cum_n_cur", "m"))
     centred = F.col("value") - F.col("ref_mean")
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))

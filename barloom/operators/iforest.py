@@ -36,21 +36,23 @@ def _share(*inputs: Column) -> Column:
 
 def tree_samples(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_rows: int,
                  trees: int, tree_rows: int, seed: int) -> DataFrame:
-    """`tree_rows` distinct rows for every tree, drawn by the lowest hash.
+    """`tree_rows` distinct rows for every tree, drawn from the whole table by hashes.
 
-    A first hash thins the table to a pool of about 4 x trees x tree_rows rows, a second
-    one per tree keeps about three times the rows that tree needs; the ranking that makes
-    the number exact then works on groups of that size.
+    A row is offered to so many trees that each tree is offered about three times the rows
+    it needs; the trees follow one another from one that the row's hash names, so they
+    differ. The ranking that makes the number exact works on groups of that size.
     """
     keys = [F.col(c) for c in key]
-    pool_share = min(1.0, 4.0 * trees * tree_rows / n_rows)
-    pool_rows = n_rows * pool_share
-    pick_share = min(1.0, 3.0 * tree_rows / pool_rows)
+    offered = trees * min(1.0, 3.0 * tree_rows / n_rows)         # trees a row, on average
+    draws = math.ceil(offered)
+    first = F.floor(_share(F.lit(seed), F.lit("first"), *keys) * trees)
     drawn = (
-        train.where(_share(F.lit(seed), *keys) < pool_share)
-        .select(*key, *columns, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
+        train.select(*key, *columns, first.alias("_first"),
+                     F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_step"))
+        .withColumn("tree_id", F.pmod(F.col("_first") + F.col("_step"), F.lit(trees)).cast("int"))
+        .where(_share(F.lit(seed), F.lit("offer"), F.col("tree_id"), *keys) < offered / draws)
         .withColumn("_draw", _share(F.lit(seed), F.col("tree_id"), *keys))
-        .where(F.col("_draw") < pick_share)
+        .drop("_first", "_step")
         # AQE would pack samples this small into one task, but the work is in the building.
         .repartition(min(trees, train.sparkSession.sparkContext.defaultParallelism), "tree_id")
     )

@@ -180,16 +180,19 @@ def test_exact_quantile(spark, q):
     for values in (rng.normal(size=777), rng.integers(0, 5, 400).astype(float), np.array([3.0])):
         df = spark.createDataFrame([(float(v),) for v in values], "v double").groupBy("v").agg(
             F.count("*").alias("n"))
-        assert exact_quantile(df, "v", q, buckets=16) == pytest.approx(np.quantile(values, q))
+        assert exact_quantile(df, "v", q) == pytest.approx(np.quantile(values, q))
 
 
-@pytest.mark.parametrize("buckets", [2, 8, 256])
-def test_cumulative_counts(spark, buckets):
+@pytest.mark.parametrize("partitions", ["1", "4", "32"])
+def test_cumulative_counts(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     values = spark.range(1, 301).select(
         (F.col("id") % 3).cast("string").alias("g"), F.col("id").cast("double").alias("v"),
         F.lit(2).cast("long").alias("n"))
     got = {(r.g, r.v): (r.cum_n, r.next_value)
-           for r in cumulative_counts(values, "g", "v", ["n"], buckets).collect()}
+           for r in cumulative_counts(values, "g", "v", ["n"]).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(got) == 300
     for (g, v), (cum, following) in got.items():
         assert cum == 2 * sum(1 for i in range(1, 301) if str(i % 3) == g and i <= v)
@@ -201,7 +204,7 @@ def drift_case(spark, ref, cur):
     data = [(old, None if v is None else float(v)) for v in ref]
     data += [(new, None if v is None else float(v)) for v in cur]
     df = spark.createDataFrame(data, "date date, x double")
-    return D.drift_statistics(df, ["x"], SETTINGS.cutoff, SETTINGS.as_of, 30, buckets=8)
+    return D.drift_statistics(df, ["x"], SETTINGS.cutoff, SETTINGS.as_of, 30)
 
 
 def ecdf_gap(ref, cur):
