@@ -15,20 +15,27 @@ from pyspark.sql import functions as F
 
 
 def _spans(macro: DataFrame, columns: Mapping[str, str], lag_days: int) -> DataFrame:
-    """Each observation with the first and last day on which it is the visible one.
+    """Each observation with the first and last day on which it is the visible one, one row
+    per year of that span.
 
-    `until` is NULL for a series' newest observation, and `last_year` is the year in which
-    the newest of all becomes visible. The input has one row per series and day, so the
-    chosen series fit one partition at any data volume, and every later step stays in it.
+    A year is `marked` when some observation begins or ends to be visible in it. The input
+    has one row per series and day, so the chosen series fit one partition at any data
+    volume, and every later step stays in it.
     """
-    return (
+    spans = (
         macro.where(F.col("series_id").isin(list(columns))).repartition(1)
         .selectExpr("series_id", "date", "value",
                     "lead(date) OVER (PARTITION BY series_id ORDER BY date) AS next_date")
         .where("next_date IS NULL OR next_date > date")
         .selectExpr("series_id", "value", f"date_add(date, {lag_days}) AS since",
-                    f"date_add(next_date, {lag_days - 1}) AS until",
-                    f"year(max(date_add(date, {lag_days})) OVER ()) AS last_year")
+                    f"coalesce(date_add(next_date, {lag_days - 1}), DATE '9999-12-31') AS until")
+        .where("since <= until")
+    )
+    marked = spans.selectExpr("explode(array(year(since), year(until))) AS year").distinct()
+    return (
+        spans.selectExpr("*", "explode(sequence(year(since), year(until))) AS year")
+        # One row per calendar year at most.
+        .join(F.broadcast(marked.selectExpr("year", "true AS marked")), "year", "left")
     )
 
 
@@ -49,18 +56,17 @@ def _pivoted(spans: DataFrame, key: str, columns: Mapping[str, str]) -> DataFram
 
 def calendar(macro: DataFrame, columns: Mapping[str, str],
              lag_days: int = 1) -> tuple[DataFrame, DataFrame]:
-    """The values visible on each day, as two lookup tables: by day and by later year.
+    """The values visible on each day, as two lookup tables: by day and by whole year.
 
-    A value dated d is visible from d + lag_days until the series' next one is. The day
-    table runs to the end of the year in which the newest observation becomes visible;
-    the year table holds the final values for every year after that, to 9999. A NULL
-    observation shows as NULL, not as the older value.
+    A value dated d is visible from d + lag_days until the series' next one is. Years in
+    which nothing changes are one row each, to 9999, so a date far from the others costs its
+    own year and no more. A NULL observation shows as NULL, not as the older value.
     """
     spans = _spans(macro, columns, lag_days)
-    days = spans.selectExpr("series_id", "value", """
-        explode(sequence(since, coalesce(until, make_date(last_year, 12, 31)))) AS day""")
-    years = spans.where("until IS NULL").selectExpr(
-        "series_id", "value", "explode(sequence(last_year + 1, 9999)) AS year")
+    days = spans.where("marked").selectExpr("series_id", "value", """
+        explode(sequence(greatest(since, make_date(year, 1, 1)),
+                         least(until, make_date(year, 12, 31)))) AS day""")
+    years = spans.where("marked IS NULL").select("series_id", "value", "year")
     return _pivoted(days, "day", columns), _pivoted(years, "year", columns)
 
 
@@ -69,7 +75,8 @@ def asof_calendar(left: DataFrame, macro: DataFrame, columns: Mapping[str, str],
     """Inner as-of join of `left` (by its date) with every series named in `columns`.
 
     Both lookups are broadcast. Their size depends on the calendar, not on the data: one
-    row per day of macro history (ten years are 3,653 rows) and one per year to 9999.
+    row per day of the years with observations (ten years are 3,653 rows) and one per other
+    year to 9999.
     """
     days, years = calendar(macro, columns, lag_days)
     return (

@@ -265,6 +265,14 @@ def asof_nulls(spark, sf):
     return asof_calendar(bars, late, P.MACRO_COLUMNS)
 
 
+def asof_far_date(spark, sf):
+    """A stray observation at the end of the calendar changes no bar before it."""
+    macro = src.macro(spark, sf)
+    stray = spark.createDataFrame([("FEDFUNDS", date(9999, 12, 30), 99.0)], "series_id string, date date, value double")
+    bars = src.bars(spark, sf).select("ticker", "date", "adj_close")
+    return asof_calendar(bars, macro.select("series_id", "date", "value").unionByName(stray), P.MACRO_COLUMNS)
+
+
 def _purchases_and_clicks(spark, sf):
     events = src.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
     of = lambda kind: events.where(F.col("event_type") == kind).drop("event_type")
@@ -620,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "asof_t10y2y": asof_one("T10Y2Y"),
     "asof_chain": asof_chain,
     "asof_nulls": asof_nulls,
+    "asof_far_date": asof_far_date,
     "asof_keyed": asof_keyed_query,
     "asof_keyed_sliced": asof_keyed_sliced,
     "asof_keyed_ties": asof_keyed_ties,

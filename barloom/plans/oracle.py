@@ -330,6 +330,7 @@ def oracle_sql() -> dict[str, str]:
                 GROUP BY e.ticker)"""),
         "ingestion_audit": _audit_sql(),
         "asof_chain": _asof_sql(list(MACRO_SERIES)),
+        "asof_far_date": _asof_sql(list(MACRO_SERIES)),
         "asof_nulls": _sql({
             **_named("bars", "macro"), "b": "SELECT ticker, date, adj_close FROM bars",
             "late": """

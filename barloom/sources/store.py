@@ -86,6 +86,10 @@ class Store:
 
     def _writer(self, name: str, df: DataFrame):
         column = _PARTITION.get(name)
+        if not column:
+            return df.write
         if column == "year":
             df = df.withColumn("year", F.year("date"))
-        return df.write.partitionBy(column) if column else df.write
+        # One file per folder and advisory size, in key order, however many tasks made the rows.
+        order = dict.fromkeys([column, *(c for c in ("ticker", "series_id", "date") if c in df.columns)])
+        return df.hint("rebalance", column).sortWithinPartitions(*order).write.partitionBy(column)

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from barloom.operators.asof import asof_calendar, asof_keyed
+from barloom.operators.asof import asof_calendar, asof_keyed, calendar
 
 START = date(1999, 12, 20)
 COLUMNS = {"X": "x", "Y": "y"}
@@ -78,6 +78,14 @@ def test_missing_series_leaves_nothing(spark):
     assert asof_calendar(bars, macro, COLUMNS).count() == 0
 
 
+def test_a_far_date_costs_its_own_year(spark):
+    _, macro = calendar_frames(spark, [day(5)], {day(1): 1.0, date(9999, 12, 30): 2.0}, {day(1): 1.0})
+    days, years = calendar(macro, COLUMNS)
+    assert days.count() < 4 * 366 and years.count() < 8100
+    check_calendar(spark, [day(5), date(5000, 1, 1), date(9999, 12, 31)],
+                   {day(1): 1.0, date(9999, 12, 30): 2.0}, {day(1): 1.0})
+
+
 def moment(n):
     return datetime(2020, 1, 1) + timedelta(minutes=n)
 

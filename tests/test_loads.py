@@ -62,6 +62,13 @@ def test_stored_row_and_first_copy_win(spark, store):
     assert stored(store) == [("A", d1, 1.0), ("A", d2, 2.0)]
 
 
+def test_an_append_writes_few_files(spark, store):
+    days = [bar(t, date(2021, 1, d), 1.0) for t in "AB" for d in range(1, 15)]
+    store.append("raw_prices", batch(spark, *days).repartition(14))
+    files = store.read("raw_prices").select(F.input_file_name()).distinct().count()
+    assert files == 1 and len(stored(store)) == 28
+
+
 def test_load_twice_equals_load_once(spark, store):
     items = batch(spark, bar("A", date(2021, 1, 4), 1.0), bar("B", date(2020, 12, 30), 2.0))
     for run in ("r1", "r2"):
