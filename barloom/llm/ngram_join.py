@@ -7,9 +7,9 @@ last, so that what many documents share seldom makes candidates. Documents that
 prefix shingle form a tile, cut into size bands (a partner's size lies between t and 1/t of
 one's own, hence in the same or the next band).
 
-Within a tile, first every member meets the tile's leader: as many pairs as members. Verified
-links are contracted to components, and only pairs from different components, which the
-leader has not settled, meet after that. So a large group of near copies makes pairs in
+Within a tile, first every member meets a few leaders: a fixed number of pairs a member. Verified
+links are contracted to components, and only pairs from different components, which no
+leader has settled, meet after that. So a large group of near copies makes pairs in
 proportion to its size, and no link between different components is missed.
 
 A pair is verified in two steps: bitmaps of hashed shingles, whose bit counts bound the
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize
-from .common import U64, as_i64, encoded, lists, mix, shingle_hashes, ship, slices, texts_of, word_hashes
+from .common import U64, Tally, as_i64, encoded, lists, mix, shingle_hashes, ship, slices, texts_of, word_hashes
 from .components import connected
 
 
@@ -41,10 +41,12 @@ from .components import connected
 class Settings:
     width: int = 5                # words a shingle
     percent: int = 80             # least similarity, in percent
+    leaders: int = 4              # members of a tile that every other member meets first
+    small_tile: int = 16          # members of a tile whose pairs are met without a bitmap first
     task_count: int = 8           # a shingle of so many documents in one task may be frequent
     total_count: int = 32         # and with so many in all it is
     frequent_most: int = 1_000_000   # only the most frequent are told apart; bounds a broadcast
-    filter_most: int = 2_000_000  # candidate classes for which texts are filtered before a join
+    filter_most: int = 2_000_000  # ids or class keys that may be broadcast; more go by a join
 
 
 def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,13 +69,23 @@ def set_keys(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """One bit per shingle in at least twice as many bits, a power of two."""
-    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    """One bit per shingle in at least four times as many bits, a power of two."""
+    bits = max(64, 1 << int(4 * len(shingles) - 1).bit_length()) if len(shingles) else 64
     flags = np.zeros(bits, dtype=bool)
     flags[(shingles & U64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def short_bitmaps(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """1,024 bits per set, as 16 longs, for use inside a join condition."""
+    count = len(bounds) - 1
+    flags = np.zeros((count, 1024), dtype=bool)
+    owner = np.repeat(np.arange(count), np.diff(bounds))
+    flags[owner, (flat >> U64(20) & U64(1023)).astype(np.int64)] = True
+    longs = np.packbits(flags, axis=1, bitorder="little").view(np.int64).ravel()
+    return lists(longs, np.arange(count + 1) * 16, pa.int64())
+
+
 def overlap_bound(left: bytes, right: bytes, n_left: int, n_right: int) -> int:
     """No more shingles than this are in both: a bit that only one side has is at least one
     shingle that the other lacks."""
@@ -97,18 +109,15 @@ def frequent_shingles(texts: DataFrame, settings: Settings) -> tuple[np.ndarray,
     width, least = settings.width, settings.task_count
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(0, U64), np.zeros(0, np.int64)
+        tally = Tally(U64, 1, drop_singles=True)
         for batch in slices(batches, "t"):
             flat, _ = shingle_sets(texts_of(batch, "t"), width)
-            token, times = np.unique(flat, return_counts=True)
-            token, times = token[times > 1], times[times > 1]
-            every, where = np.unique(np.concatenate((held[0], token)), return_inverse=True)
-            held = every, np.bincount(where, np.concatenate((held[1], times)),
-                                      len(every)).astype(np.int64)
-        keep = held[1] >= least
+            tally.add(flat, np.ones(len(flat), np.int64))
+        tally.merge()
+        keep = tally.sums[0] >= least
         if keep.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(as_i64(held[0][keep])), pa.array(held[1][keep])], names=["token", "n"])
+                [pa.array(as_i64(tally.keys[keep])), pa.array(tally.sums[0][keep])], names=["token", "n"])
 
     found = (texts.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= settings.total_count)
@@ -120,8 +129,8 @@ def frequent_shingles(texts: DataFrame, settings: Settings) -> tuple[np.ndarray,
 
 
 def _features(texts: DataFrame, frequent, settings: Settings) -> DataFrame:
-    """(uid, doc_id, n, s1, s2, rare, hot): set size and key, and the prefix, parted into
-    shingles that are not known as frequent and those that are."""
+    """(uid, doc_id, n, s1, s2, bits, short, rare, hot): set size, key and bitmaps, and the prefix,
+    parted into shingles that are not known as frequent and those that are."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
     width, percent = settings.width, settings.percent
 
@@ -141,14 +150,16 @@ def _features(texts: DataFrame, frequent, settings: Settings) -> DataFrame:
                 order = np.argsort(count[a:b], kind="stable")[:length[i]] + a
                 rare_parts.append(flat[order[~hot[order]]])
                 hot_parts.append(flat[order[hot[order]]])
+            bits = [bitmap(flat[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(uid, uid + batch.num_rows)), batch.column("d"),
-                 pa.array(size), pa.array(s1), pa.array(s2), _ragged(rare_parts), _ragged(hot_parts)],
-                names=["uid", "doc_id", "n", "s1", "s2", "rare", "hot"])
+                [pa.array(np.arange(uid, uid + batch.num_rows)), batch.column("d"), pa.array(size),
+                 pa.array(s1), pa.array(s2), pa.array(bits, pa.binary()), short_bitmaps(flat, bounds),
+                 _ragged(rare_parts), _ragged(hot_parts)],
+                names=["uid", "doc_id", "n", "s1", "s2", "bits", "short", "rare", "hot"])
             uid += batch.num_rows
 
-    return texts.mapInArrow(run, "uid long, doc_id long, n long, s1 long, s2 long, "
-                                 "rare array<long>, hot array<long>")
+    return texts.mapInArrow(run, "uid long, doc_id long, n long, s1 long, s2 long, bits binary, "
+                                 "short array<long>, rare array<long>, hot array<long>")
 
 
 def _ragged(parts: list[np.ndarray]) -> pa.Array:
@@ -157,7 +168,7 @@ def _ragged(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """(uid, n, bits, shingles) of the wanted classes (uid, s1, s2), made again from the texts."""
+    """(uid, shingles) of the wanted classes (uid, s1, s2), made again from the texts."""
     keys = None
     if wanted.count() <= settings.filter_most:            # else every text passes on to the join
         keys = np.sort(wanted.select("s1").toArrow().column(0).to_numpy())
@@ -181,24 +192,22 @@ def _sets(texts: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
                 out.append(i)
             parts = [flat[bounds[i]:bounds[i + 1]] for i in out]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s1[out]), pa.array(s2[out]), pa.array([bitmap(p) for p in parts], pa.binary()),
-                 _ragged(parts)], names=["s1", "s2", "bits", "shingles"])
+                [pa.array(s1[out]), pa.array(s2[out]), _ragged(parts)], names=["s1", "s2", "shingles"])
 
-    made = texts.mapInArrow(run, "s1 long, s2 long, bits binary, shingles array<long>")
-    one = made.groupBy("s1", "s2").agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles"))
-    return wanted.join(one, ["s1", "s2"]).select(
-        "uid", F.size("shingles").cast("long").alias("n"), "bits", "shingles")
+    made = texts.mapInArrow(run, "s1 long, s2 long, shingles array<long>")
+    one = made.groupBy("s1", "s2").agg(F.first("shingles").alias("shingles"))
+    return wanted.join(one, ["s1", "s2"]).select("uid", "shingles")
 
 
 # --- pairs -----------------------------------------------------------------------------
 
-def _verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Those of the pairs (a, b) that are similar."""
+def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Those of the pairs (a, b) that are similar. Shingles are fetched only for pairs whose
+    bitmaps leave it open."""
     percent = settings.percent
 
-    def side(name: str, column: str) -> DataFrame:
-        return sets.select(F.col("uid").alias(name), F.col("n").alias(f"n_{name}"),
-                           F.col(column).alias(f"{column}_{name}"))
+    def side(df: DataFrame, name: str, *columns: str) -> DataFrame:
+        return df.select(F.col("uid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,24 +227,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
                     for x, y in zip(*sides)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    near = (pairs.join(side("b", "bits"), "b").join(side("a", "bits"), "a")
+    near = (pairs.join(side(rows, "b", "n", "bits"), "b").join(side(rows, "a", "n", "bits"), "a")
             .mapInArrow(bounded, "a long, b long"))
-    return (near.join(side("b", "shingles"), "b").join(side("a", "shingles"), "a")
+    near = materialize(near, "near")
+    ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    wanted = materialize(ends.join(rows.select("uid", "s1", "s2"), "uid"), "wanted")
+    sets = materialize(_sets(texts, wanted, settings), "arrays")
+    return (near.join(side(sets, "b", "shingles"), "b").join(side(sets, "a", "shingles"), "a")
             .mapInArrow(exact, "a long, b long"))
 
 
-def _tiles(reps: DataFrame) -> DataFrame:
-    """(token, uid, n, leader, leader_n) of prefix shingles that two classes or more share."""
-    member = F.struct("uid", "n")
+def _tiles(reps: DataFrame, leaders: int) -> DataFrame:
+    """(token, uid, n, leaders) of prefix shingles that two classes or more share. The leaders
+    are the first members in so many different orders; different tokens of one group name
+    different leaders, since their members differ."""
+    heads = [F.min(F.struct((F.xxhash64("uid", F.lit(k)) if k else F.col("uid")).alias("o"), "uid", "n"))
+             for k in range(leaders)]
     rare = reps.select(F.explode("rare").alias("token"), "uid", "n")
     over = Window.partitionBy("token")                     # few documents each, by construction
-    rare = rare.select("token", "uid", "n", F.min(member).over(over).alias("l"),
-                       F.max("uid").over(over).alias("last"))
+    rare = rare.select("token", "uid", "n", F.max("uid").over(over).alias("last"),
+                       *[h.over(over).alias(f"l{k}") for k, h in enumerate(heads)])
     hot = reps.select(F.explode("hot").alias("token"), "uid", "n")
-    heads = hot.groupBy("token").agg(F.min(member).alias("l"), F.max("uid").alias("last"))
-    hot = hot.join(heads, "token").select("token", "uid", "n", "l", "last")
-    return rare.unionAll(hot).where(F.col("l.uid") != F.col("last")).select(
-        "token", "uid", "n", F.col("l.uid").alias("leader"), F.col("l.n").alias("leader_n"))
+    named = hot.groupBy("token").agg(F.max("uid").alias("last"),
+                                     *[h.alias(f"l{k}") for k, h in enumerate(heads)])
+    hot = hot.join(named, "token").select(*rare.columns)
+    every = F.array_distinct(F.array(*[F.struct(F.col(f"l{k}.uid").alias("uid"), F.col(f"l{k}.n").alias("n"))
+                                       for k in range(leaders)]))
+    return rare.unionAll(hot).where(F.col("l0.uid") != F.col("last")).select(
+        "token", "uid", "n", every.alias("leaders"))
+
+
+def _across(rows: DataFrame, percent: int, extra: list[str], condition) -> DataFrame:
+    """Pairs (a, b) of one tile, in the same or the next size band, whose roots differ."""
+    low = rows.select("token", "band", *[F.col(c).alias(f"{c}_a") for c in ("uid", "n", "root", *extra)])
+    high = rows.select("token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
+                       *[F.col(c).alias(f"{c}_b") for c in ("uid", "n", "root", *extra)])
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("uid_a") < F.col("uid_b")))
+    pairs = low.withColumnRenamed("token", "at").withColumnRenamed("band", "in").join(
+        high, (F.col("at") == F.col("token")) & (F.col("in") == F.col("band")) & ordered
+        & (F.col("root_a") != F.col("root_b")) & _alike("n_a", "n_b", percent) & condition)
+    return pairs.select(F.col("uid_a").alias("a"), F.col("uid_b").alias("b"))
 
 
 def _alike(small: str, large: str, percent: int):
@@ -258,33 +289,38 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = materialize(
         thin.join(copies, ["n", "s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "uid")),
         "members")
-    reps = rows.where("n > 0").join(members.where("uid <> rep").select("uid"), "uid", "left_anti")
-    tiles = materialize(_tiles(reps), "tiles")
-
-    wanted = tiles.select("uid").distinct().join(members.select("uid", "s1", "s2"), "uid")
-    sets = materialize(_sets(texts.select("t"), materialize(wanted, "wanted"), settings), "arrays")
-
-    sized = _alike("n", "leader_n", percent) & _alike("leader_n", "n", percent)
-    first = tiles.where((F.col("uid") != F.col("leader")) & sized).select(
-        F.col("leader").alias("a"), F.col("uid").alias("b")).distinct()
-    labels = connected(_verified(first, sets, settings))
+    others = members.where("uid <> rep").select("uid")
+    if others.count() <= settings.filter_most:
+        others = F.broadcast(others)
+    reps = rows.where("n > 0").join(others, "uid", "left_anti")
+    tiles = materialize(_tiles(reps, settings.leaders), "tiles")
+
+    led = tiles.select("uid", "n", F.explode("leaders").alias("l")).where(
+        (F.col("l.uid") != F.col("uid")) & (100 * F.col("n") >= percent * F.col("l.n"))
+        & (100 * F.col("l.n") >= percent * F.col("n")))
+    first = led.select(F.least("uid", "l.uid").alias("a"), F.greatest("uid", "l.uid").alias("b")).distinct()
+    labels = connected(_verified(first, rows, texts.select("t"), settings))
 
     placed = tiles.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
         "root", F.coalesce("root", "uid"))
-    open_tiles = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(
-        "lo <> hi").select("token")
-    rest = placed.where("uid <> leader").join(open_tiles, "token").withColumn(
+    open_tiles = placed.groupBy("token").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+        (F.count(F.lit(1)) > settings.small_tile).alias("large")).where("lo <> hi").select("token", "large")
+    settled = F.exists("leaders", lambda l: l["uid"] == F.col("uid"))
+    rest = placed.where(~settled).join(open_tiles, "token").withColumn(
         "band", F.floor(F.log(100.0 / percent, F.col("n"))).cast("long"))
-    rest = materialize(rest.select("token", "band", "uid", "n", "root"), "open")
-    low = rest.select("token", "band", F.col("uid").alias("a"), F.col("n").alias("n_a"),
-                      F.col("root").alias("root_a"))
-    high = rest.select("token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
-                       F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    across = (low.join(high, ["token", "band"])
-              .where(ordered & (F.col("root_a") != F.col("root_b")) & _alike("n_a", "n_b", percent))
-              .select("a", "b").distinct())
-    found = _verified(across, sets, settings)
+    rest = materialize(rest.select("token", "large", "band", "uid", "n", "root"), "open")
+    small = _across(rest.where("NOT large"), percent, [], F.lit(True))
+    large = rest.where("large")
+    some = large.groupBy("uid").agg(F.slice(F.sort_array(F.collect_set("token")), 1, 8).alias("t"))
+    large = large.join(some, "uid").join(rows.select("uid", F.col("short").alias("f")), "uid")
+    # A pair is met in one tile only where both name it, and only if the bitmaps allow a link.
+    once = F.expr("coalesce(array_min(array_intersect(t_a, t_b)), token) = token")
+    miss = "aggregate(zip_with(f_{0}, f_{1}, (x, y) -> bit_count(x & ~y)), 0, (s, v) -> s + v)"
+    shared = F.expr(f"least(n_a - {miss.format('a', 'b')}, n_b - {miss.format('b', 'a')})")
+    allowed = 100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)
+    across = small.unionAll(_across(large, percent, ["t", "f"], allowed & once)).distinct()
+    found = _verified(across, rows, texts.select("t"), settings)
     for end in ("a", "b"):
         found = found.join(labels.withColumnRenamed("node", end), end, "left").withColumn(
             end, F.coalesce("root", end)).drop("root")

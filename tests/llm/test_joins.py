@@ -62,11 +62,11 @@ def copies(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed,frequent", [(1, 2), (2, 1000), (3, 5)])
-def test_groups_equal_brute_force(spark, seed, frequent):
+@pytest.mark.parametrize("seed,frequent,small,leaders", [(1, 2, 16, 4), (2, 1000, 2, 1), (3, 5, 0, 2)])
+def test_groups_equal_brute_force(spark, seed, frequent, small, leaders):
     rows = copies(seed) + [(None, "a b c"), (None, None), (3, "w1 w2 w3 w4 w5 w6")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("uid", F.lit("x")).repartition(5)
-    settings = ngram_join.Settings(task_count=frequent, total_count=frequent)
+    settings = ngram_join.Settings(task_count=frequent, total_count=frequent, small_tile=small, leaders=leaders)
     got = ngram_join.similar_groups(df, settings=settings).collect()
     assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_force(rows)
 
