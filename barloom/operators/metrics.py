@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Metric names that readers of the metadata expect.
 METRICS = ("lr_accuracy", "lr_precision", "lr_recall", "lr_f1")
 
 
@@ -68,7 +69,7 @@ def evaluation_record(scored: DataFrame, majority: int, label: str = "target",
         F.count_if("is_anomaly").alias("odd"),
     )
     tp, fp, fn, n = F.col("tp"), F.col("fp"), F.col("fn"), F.col("n")
-    ratios = {
+    ratios = {                     # fixed names
         "lr_accuracy": _ratio(F.col("hit"), n), "lr_precision": _ratio(tp, tp + fp),
         "lr_recall": _ratio(tp, tp + fn), "lr_f1": _ratio(2 * tp, 2 * tp + fp + fn),
         "baseline_accuracy": _ratio(F.col("base"), n), "iso_anomaly_rate": _ratio(F.col("odd"), n),

@@ -49,6 +49,7 @@ def findings(bars: DataFrame, expected: DataFrame, as_of: date, max_days: int) -
         .withColumn("days_old", F.datediff(F.lit(as_of), "latest"))
     )
     wanted = F.col("_expected").isNotNull()
+    # The message texts.
     missing = F.when(wanted & F.col("rows").isNull(), F.struct(
         F.lit("missing").alias("check"),
         F.format_string("No rows found for ticker %s", "ticker").alias("message")))

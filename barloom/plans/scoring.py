@@ -83,7 +83,10 @@ def recent_anomalies(features: DataFrame, model: Model, settings: Settings,
 
 
 def model_status(store: Store) -> DataFrame:
-    """One row: health, metrics, feature list and which artifacts are present."""
+    """One row: health, metrics, feature list and which artifacts are present.
+
+    The names of artifacts, fields and states are fixed values.
+    """
     model, meta = load_model(store), load_metadata(store)
     present = {"logistic_regression": model.logistic is not None,
                "isolation_forest": model.forest is not None,
