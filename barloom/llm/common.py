@@ -18,15 +18,22 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 U64 = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that tasks can import it."""
+    """Send this package to the executors once per application, so that tasks can import it.
+
+    Also makes Arrow batches small enough for whole texts, unless the session says otherwise:
+    the default of 10,000 rows holds tens of megabytes, several times over, in each task.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     if sc.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -192,6 +199,38 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[n
     return out, out_bounds
 
 
+class Tally:
+    """Sums by key over many small arrays, merged a buffer at a time."""
+
+    def __init__(self, kind: np.dtype, columns: int, buffer: int = 1 << 20, drop_singles: bool = False):
+        self.buffer, self.drop_singles = buffer, drop_singles
+        self.keys = np.zeros(0, kind)
+        self.sums = [np.zeros(0, np.int64) for _ in range(columns)]
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, *values: np.ndarray) -> None:
+        self.parts.append((keys, *values))
+        self.waiting += len(keys)
+        if self.waiting >= self.buffer:
+            self.merge()
+
+    def merge(self) -> None:
+        """Fold what waits into the sums. Where singles are dropped, a key needs two in one
+        buffer to be remembered."""
+        if not self.parts:
+            return
+        every, where = np.unique(np.concatenate([self.keys, *[p[0] for p in self.parts]]),
+                                 return_inverse=True)
+        self.sums = [
+            np.bincount(where, np.concatenate([held, *[p[i + 1] for p in self.parts]]),
+                        len(every)).astype(np.int64) for i, held in enumerate(self.sums)]
+        self.keys, self.parts, self.waiting = every, [], 0
+        if self.drop_singles:
+            keep = self.sums[0] > 1
+            self.keys, self.sums = self.keys[keep], [s[keep] for s in self.sums]
+
+
 def encoded(texts: list[str]) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") for t in texts]
 

@@ -61,7 +61,7 @@ def word_classes() -> np.ndarray:
 class WordTokenizer:
     """Ids of a lower-casing BPE with word ends, as the public library gives them."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 150_000):
         self.machine = Transducer.from_file(path)
         with open(path, encoding="utf-8") as source:
             added = json.load(source).get("added_tokens", [])

@@ -134,7 +134,7 @@ def piece_starts(kinds: np.ndarray) -> np.ndarray:
 class Counter:
     """Counts tokens of texts with one vocabulary; lives as long as its Python worker."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 300_000):
         self.machine = Transducer.from_file(path)
         with open(path, encoding="utf-8") as source:
             self.special = [t["content"] for t in json.load(source).get("added_tokens", [])]
