@@ -28,6 +28,7 @@ from .common import hidden, ship, slices, texts_of
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
+PART = 64                         # texts whose n-grams are made at a time on the driver
 
 
 @dataclass(frozen=True)
@@ -91,6 +92,16 @@ def _of_text(grams: Grams, i: int) -> np.ndarray:
     return np.concatenate([g[cut[i]:cut[i + 1]] for g, cut in grams])
 
 
+def _lists(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The n-grams of every text and whether it has a letter, a few texts at a time."""
+    found, has = [], []
+    for i in range(0, len(texts), PART):
+        grams, letters = subwords(texts[i:i + PART])
+        found += [_of_text(grams, j) for j in range(len(letters))]
+        has.append(letters)
+    return found, np.concatenate(has) if has else np.zeros(0, bool)
+
+
 @dataclass
 class Model:
     classes: list[str]
@@ -133,7 +144,7 @@ def fit(texts: list[str], labels: list[str], settings: Settings = Settings()) ->
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     rng = np.random.default_rng(5)
     target = np.array([classes.index(x) for x in labels])
-    grams, has = subwords(texts)
+    grams, has = _lists(texts)
     order = rng.permutation(np.flatnonzero(has))
     back = order[:int(len(order) * settings.held_back)] if len(order) >= 40 else order
     learn = order[len(back):] if len(order) >= 40 else order
@@ -142,7 +153,7 @@ def fit(texts: list[str], labels: list[str], settings: Settings = Settings()) ->
     linear, bias = np.zeros((dim, k)), np.zeros(k)
     bags = {}
     for i in learn:
-        rows, times = np.unique(_of_text(grams, i), return_counts=True)
+        rows, times = np.unique(grams[i], return_counts=True)
         if len(rows):
             bags[i] = rows, times / times.sum()
     epochs = min(40, max(settings.epochs, -(-settings.least_steps // max(1, len(bags)))))
@@ -169,7 +180,8 @@ def _calibrate(model: Model, texts: list[str], want: np.ndarray, settings: Setti
     """The temperature of least log loss on held-back rows, then the rejection score."""
     if not texts:
         return model
-    logits = model.logits(subwords(texts)[0])
+    logits = np.concatenate([model.logits(subwords(texts[i:i + PART])[0])
+                             for i in range(0, len(texts), PART)])
     grid = np.geomspace(0.05, 20, 61)
     loss = [-np.log(_softmax(logits / t)[np.arange(len(want)), want] + 1e-12).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
