@@ -226,6 +226,73 @@ def test_tree_learns_word_order(spark):
 
 # --- Kneser-Ney ------------------------------------------------------------------------
 
+def test_tree_scores_equal_a_walk_in_python(spark):
+    """Rare words as contexts and symbols, states deeper than two words, and joins instead of broadcasts."""
+    random.seed(6)
+    common = [f"c{i}" for i in range(300)]
+    phrases = [[f"r{k}", f"s{k}", f"t{k}"] for k in range(6)]
+
+    def text():
+        out = []
+        for _ in range(60):
+            out += random.choice([[random.choice(common)], ["p", "q", "a", "one"], ["y", "q", "a", "two"],
+                                  ["y", "z", "a", "three"]])
+        if random.random() < 0.5:
+            out += random.choice(phrases)
+        return " ".join(out)
+
+    rows = [(i, text()) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = suffix_tree.Settings(head=40, hot_grams=20, hot_states=5, flush=500)
+    got = {r["doc_id"]: r for r in suffix_tree.score(df, F.col("doc_id") < 600, settings=settings).collect()}
+
+    tokens = {i: t.split() + ["\0"] for i, t in rows}
+    c = collections.Counter(w for i, ws in tokens.items() if i < 600 for w in ws)
+    n, once = sum(c.values()), sum(k == 1 for k in c.values())
+    unseen = (once + 1) / (n + 2)
+    seen = collections.defaultdict(collections.Counter)
+    for i in range(600):
+        ws = tokens[i]
+        for at in range(len(ws)):
+            for d in range(1, min(at, 8) + 1):
+                seen[tuple(ws[at - d:at])][ws[at]] += 1
+
+    def p(context, w):
+        if not context:
+            return c[w] / n * (1 - unseen) if c[w] else unseen
+        total = sum(seen[context].values())
+        return (seen[context][w] + settings.prior * p(context[1:], w)) / (total + settings.prior)
+
+    def is_state(context, memo={(): True}):
+        if context not in memo:
+            s, memo[context] = seen[context], False
+            total = sum(s.values())
+            if total >= settings.context_least and is_state(context[1:]):
+                e = {w: total * p(context[1:], w) for w in s}
+                big = [w for w in s if e[w] >= 5]
+                a = sum(s[w] * math.log(s[w] / e[w]) for w in big)
+                rest = total - sum(s[w] for w in big)
+                left = rest * math.log(rest / max(total - sum(e[w] for w in big), 1e-12 * total)) if rest else 0
+                rare = max([s[w] * math.log(s[w] / e[w]) - s[w] + e[w]
+                            for w in s if e[w] < 5 and s[w] > e[w]], default=0)
+                bound = suffix_tree._chi_square(np.array(max(1.0, len(big))))
+                memo[context] = bool(2 * (a + left) > bound or rare > math.log(len(c)) + 5.4)
+        return memo[context]
+
+    deepest = 0
+    for i, ws in tokens.items():
+        total = 0
+        for at, w in enumerate(ws):
+            d = 0
+            while d < at and is_state(tuple(ws[at - d - 1:at])):
+                d += 1
+            deepest = max(deepest, d)
+            total += math.log10(p(tuple(ws[at - d:at]), w))
+        assert abs(total - got[i]["score"]) < 1e-6
+    assert deepest >= 3 and is_state(("r0",))
+    assert c["r0"] < n / 1000
+
+
 def test_kneser_ney_is_a_distribution(spark):
     random.seed(5)
     vocabulary = [f"k{i}" for i in range(30)]
