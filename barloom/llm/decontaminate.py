@@ -3,13 +3,15 @@
 A seed is a mask over consecutive tokens whose zeros are ignored, so a window still hashes
 alike when a substituted token falls on a zero. The masked windows of the benchmark are
 hashed into a table; those of every document are joined to it. Each hit fixes an alignment
-of item and document; around it the item is compared token by token, and the stretch of
-greatest score (a match counts 1, a substitution -4, so a stretch of positive score has
-four matches in five) decides.
+of item and document; along it the item is compared token by token, and of the stretches with
+four matches in five (a match counts 1, a substitution -4, and the sum is not negative) the one
+with most matches decides. The masks together leave no such stretch without a hit: they were
+chosen so that every placement of n // 5 substitutions in 7 to 25 tokens has one, and a longer
+stretch has a part of that kind.
 
 Tokens are runs of bytes other than white space and ASCII punctuation, A-Z lower-cased.
-An item with fewer tokens than the shortest mask is matched as a whole when it has at least
-`least` tokens; shorter ones cannot be told from chance and match nothing.
+An item with fewer than `whole` tokens is matched as a whole when it has at least `least`
+tokens; shorter ones cannot be told from chance and match nothing.
 
 The benchmark meets the documents in blocks of at most `block_seeds` masked windows: one
 block is broadcast, further blocks make further passes, so no broadcast grows with it.
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .common import U64, _stream, byte_codes, encoded, hidden, mix, ship, slices, texts_of, word_hashes
 
-MASKS = ("11101101", "110100110111", "1111011")
+MASKS = ("111011", "11111", "1101011", "1111001")
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,7 @@ class Settings:
     masks: tuple[str, ...] = MASKS
     tokens: int = 12              # matched tokens that make an overlap (or four fifths of the item)
     least: int = 5                # tokens of the shortest item that is looked for
+    whole: int = 7                # items with fewer tokens are matched as a whole
     penalty: float = 4.0
     block_seeds: int = 1_000_000
 
@@ -71,17 +74,17 @@ class Block:
         self.ids, self.settings = ids, settings
         self.words, self.bounds, _, _ = word_hashes(texts, _CODES)
         size = np.diff(self.bounds)
-        shortest = min(map(len, settings.masks))
         masks = [*settings.masks]
-        masks += ["1" * n for n in sorted(set(size.tolist())) if settings.least <= n < shortest]
-        self.masks, found = masks, []
-        for number, mask in enumerate(masks):
+        masks += ["1" * n for n in sorted(set(size.tolist())) if settings.least <= n < settings.whole]
+        self.masks, found = list(dict.fromkeys(masks)), []
+        for mask in self.masks:
             h = masked(self.words, mask)
             start = np.arange(len(h))
             item = np.searchsorted(self.bounds, start, side="right") - 1
             ok = start + len(mask) <= self.bounds[item + 1]
-            if number >= len(settings.masks):
-                ok &= size[item] == len(mask)
+            short = size[item] < settings.whole
+            ok &= np.where(short, (size[item] == len(mask)) & ("0" not in mask) & (len(mask) >= settings.least),
+                           mask in settings.masks)
             found.append((h[ok], item[ok], (start - self.bounds[item])[ok]))
         self.seeds = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, U64)] * 3
         order = np.argsort(self.seeds[0], kind="stable")
@@ -112,17 +115,25 @@ class Block:
         return np.unique(every, axis=0) if len(every) else every
 
     def overlap(self, words: np.ndarray, item: int, shift: int) -> tuple[int, int, int] | None:
-        """(first word, one past the last, matches) of the best stretch, if it is long enough."""
+        """(first word, one past the last, matches) of the stretch with most matches among
+        those with enough in five (the shortest, then the first of them), if it has enough."""
         own = self.words[self.bounds[item]:self.bounds[item + 1]]
         low, high = max(0, -shift), min(len(own), len(words) - shift)
         same = own[low:high] == words[low + shift:high + shift]
         gain = np.concatenate(([0.0], np.cumsum(np.where(same, 1.0, -self.settings.penalty))))
-        worst = np.minimum.accumulate(gain)
-        end = int((gain - worst).argmax())
-        begin = int(gain[:end + 1].argmin())
-        matches = int(same[begin:end].sum())
+        # For every end the earliest begin whose sum is not above the end's: the most matches.
+        begins = np.searchsorted(-np.minimum.accumulate(gain), -gain, side="left")
+        count = np.concatenate(([0], np.cumsum(same)))
+        most = count - count[begins]
+        matches = int(most.max())
         if matches < min(self.settings.tokens, -(-4 * len(own) // 5)):
             return None
+        hit = np.flatnonzero(same)                      # stretches begin and end with a match
+        ends = np.flatnonzero(most == matches)
+        first = hit[count[begins[ends]]]
+        last = hit[count[ends] - 1] + 1
+        k = int((last - first).argmin())
+        begin, end = int(first[k]), int(last[k])
         return low + shift + begin, low + shift + end, matches
 
 

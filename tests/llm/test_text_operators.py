@@ -1,6 +1,7 @@
 """Token counts, language, packing, decontamination, suffix tree and Kneser-Ney on small inputs."""
 
 import collections
+import itertools
 import math
 import random
 import re
@@ -175,6 +176,35 @@ def test_overlaps_are_found_and_clean_texts_left(spark):
     assert decontaminate.find_overlaps(df.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("size", [8, 9, 10, 12, 15, 18, 20, 25])
+def test_substitutions_anywhere_leave_an_overlap(size):
+    """Every placement that keeps the stated share of an item is found and counted whole."""
+    settings = decontaminate.Settings()
+    item = [f"w{i}" for i in range(size)]
+    block = decontaminate.Block(["a"], [" ".join(item).encode()], settings)
+    for places in itertools.combinations(range(size), min(3, size // 5)):
+        words = [f"x{i}" if i in places else w for i, w in enumerate(item)]
+        text = " ".join(["o1 o2 o3", *words, "o4 o5"]).encode()
+        own, bounds, _, _ = decontaminate.word_hashes([text], decontaminate._CODES)
+        found = [block.overlap(own, i, shift) for _, i, shift in block.hits(own, bounds)]
+        first, last = min(set(range(size)) - set(places)), max(set(range(size)) - set(places))
+        assert (first + 3, last + 4, size - len(places)) in found, places
+    # One substitution more than the share allows is no overlap of a short item.
+    if size < 15:
+        words = [f"x{i}" if i % 4 == 1 else w for i, w in enumerate(item)][:size]
+        own, bounds, _, _ = decontaminate.word_hashes([" ".join(words).encode()], decontaminate._CODES)
+        if sum(i % 4 == 1 for i in range(size)) > size // 5:
+            assert not any(block.overlap(own, i, s) for _, i, s in block.hits(own, bounds))
+
+
+def test_a_fragmented_passage_is_found(spark):
+    item = [f"w{i}" for i in range(20)]
+    text = " ".join("x" if i in (5, 10, 15) else w for i, w in enumerate(item))
+    bench = spark.createDataFrame([("a", " ".join(item))], "item_id string, text string")
+    found = decontaminate.find_overlaps(frame(spark, [f"so {text} on"]), bench).first()["overlaps"]
+    assert [(o["item_id"], o["first_word"], o["end_word"], o["matches"]) for o in found] == [("a", 1, 21, 17)]
+
+
 # --- suffix tree -----------------------------------------------------------------------
 
 def test_base_score_and_counts_against_python(spark):
