@@ -1,9 +1,10 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame operations only.
 
 Seeds are what four fixed patterns find: e-mail and IP addresses, card and phone numbers.
-Seeds induce lexical patterns: the word before an instance and the instance's shape. Every
-token of the corpus that could be an identifier, seed or not, is an instance of the pattern it
-stands in, so patterns and instances form a graph. Its edges are counted by partial
+Seeds induce lexical patterns: the word before an instance and the instance's shape (of a word
+that could be an identifier itself, its shape). Every token of the corpus that could be an
+identifier, and every run of numbers parted by single spaces, seed or not, is an instance of
+the pattern it stands in, so patterns and instances form a graph. Its edges are counted by partial
 aggregates, and scores go round it: a pattern is as good as the instances it holds, an
 instance outside the seeds as good as the best of several patterns that hold it. Patterns
 above a threshold, with enough different seeds, discover the identifiers around which they
@@ -39,6 +40,7 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": None, "card": None, "phone": "+"}
 FOUND = "found"
 IDENTIFIER = r"(?<!\S)\S*[0-9@]\S*"
+SPACED = r"(?<!\S)[+(]*+[0-9][0-9().+-]*+(?:\x20[(]?[0-9][0-9().-]*+)++[,;:!?]*+(?!\S)"
 
 
 @dataclass(frozen=True)
@@ -124,21 +126,33 @@ def _shape(token: Column) -> Column:
     return F.regexp_replace(plain, "(?:a9|9a)[a9]*", "x")
 
 
+def _placed(text: Column, pattern: str) -> Column:
+    """Array of (start, end, match, before): the matches, which are whole words, and the word
+    before each. It is the last of the text since the match before, or of that match."""
+    found = matches(text, pattern)
+    words = F.transform(found, lambda m: m["match"])
+    pairs = F.arrays_zip(
+        found.alias("m"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"),
+        F.slice(F.concat(F.array(F.lit("")), words), F.lit(1), F.size(found)).alias("last"))
+    return F.transform(pairs, lambda x: F.struct(
+        x["m"]["start"].alias("start"), x["m"]["end"].alias("end"), x["m"]["match"].alias("match"),
+        F.when(x["gap"].rlike(r"\S"), F.regexp_extract(x["gap"], r"(?<!\S)\S++(?=\s++\z)", 0))
+        .otherwise(F.regexp_extract(x["last"], r"(?<!\S)\S++\z", 0)).alias("before")))
+
+
 def _edges(rows: DataFrame, text: str, seeds: str, uid: str) -> DataFrame:
-    """(uid, start, end, pattern, instance, seed) of every token that could be an identifier."""
-    # The word before, where there is one, takes part in the match and tells the context.
-    whole = matches(F.col(text), r"(?:(?<!\S)\S++\s++)?" + IDENTIFIER)
+    """(uid, start, end, pattern, instance, seed) of every token or spaced run of numbers that
+    could be an identifier."""
+    whole = F.concat(_placed(F.col(text), IDENTIFIER), _placed(F.col(text), SPACED))
     tokens = rows.where(F.col(text).rlike("[0-9@]")).select(
         uid, F.col(seeds).alias("s"), F.explode(whole).alias("m"))
-    last = F.regexp_extract("m.match", r"(\S+)$", 1)
-    before = F.when(F.length(last) < F.length("m.match"),
-                    F.lower(F.regexp_extract("m.match", r"^(\S+)\s", 1))).otherwise(F.lit(""))
-    start = F.col("m.end") - F.length(last)
+    word = F.col("m.before")
+    before = F.when(word.rlike("[0-9@]"), _shape(word)).otherwise(F.lower(word))
     seed = F.exists("s", lambda x: (x["start"] < F.col("end")) & (x["end"] > F.col("start")))
     return tokens.select(
-        uid, "s", start.cast("int").alias("start"), F.col("m.end").alias("end"),
-        F.concat_ws(" ", before, _shape(last)).alias("pattern"),
-        F.xxhash64(last).alias("instance")).select(
+        uid, "s", F.col("m.start").alias("start"), F.col("m.end").alias("end"),
+        F.concat_ws(" ", before, _shape(F.col("m.match"))).alias("pattern"),
+        F.xxhash64("m.match").alias("instance")).select(
         uid, "start", "end", "pattern", "instance", seed.alias("seed"))
 
 

@@ -87,6 +87,23 @@ def test_discovery_needs_a_reliable_pattern(spark):
     assert found[0][0]["kind"] == "email"
 
 
+def test_neighbours_are_instances_and_contexts(spark):
+    rows = [(1, "foo 123 456 789"), (2, "a@x.org  b@y.org\nc@z.org"), (3, "4111 1111 x  5"), (4, "7"),
+            (5, "a" * 50_000 + " 1"), (6, "See 12 (34) 5-6, 8")]
+    df = spark.createDataFrame(rows, "uid long, t string").withColumn("s", P.seed_spans(F.col("t")))
+    got = {}
+    for r in P._edges(df, "t", "s", "uid").collect():
+        text = dict(rows)[r["uid"]]
+        got.setdefault(r["uid"], set()).add((text[r["start"]:r["end"]], r["pattern"], r["seed"]))
+    assert got[1] == {("123", "foo 9", False), ("456", "9 9", False), ("789", "9 9", False),
+                      ("123 456 789", "foo 9 9 9", False)}
+    assert got[2] == {("a@x.org", " a@a.a", True), ("b@y.org", "a@a.a a@a.a", True), ("c@z.org", "a@a.a a@a.a", True)}
+    assert got[3] == {("4111", " 9", False), ("1111", "9 9", False), ("5", "x 9", False),
+                      ("4111 1111", " 9 9", False)}
+    assert got[4] == {("7", " 9", False)} and len(got[5]) == 1
+    assert ("12 (34) 5-6,", "see 9 (9) 9-9,", False) in got[6] and ("8", "9-9, 9", False) in got[6]
+
+
 def test_masked_text(spark):
     df = spark.createDataFrame([(1, "mail a.b@c.de or 1.2.3.4 é🙂 x@y.zz"), (2, "nothing"), (3, None)],
                                "doc_id long, text string")
