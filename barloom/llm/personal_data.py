@@ -1,14 +1,15 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame operations only.
 
 Seeds are what four fixed patterns find: e-mail and IP addresses, card and phone numbers.
-Seeds induce lexical patterns: the word before an instance and the instance's shape (of a word
-that could be an identifier itself, its shape). Every token of the corpus that could be an
-identifier, and every run of numbers parted by single spaces, seed or not, is an instance of
-the pattern it stands in, so patterns and instances form a graph. Its edges are counted by partial
-aggregates, and scores go round it: a pattern is as good as the instances it holds, an
-instance outside the seeds as good as the best of several patterns that hold it. Patterns
-above a threshold, with enough different seeds, discover the identifiers around which they
-stand and that no fixed pattern finds; they become spans of kind `found`.
+Seeds induce lexical patterns of three kinds: the word before an instance, the word after it
+(of a word that could be an identifier itself, its shape), and the instance's shape. Every token
+of the corpus that could be an identifier, and every run of numbers parted by single spaces,
+seed or not, is an instance of the patterns it stands in, so patterns and instances form a
+graph. Its edges are counted by partial aggregates, and scores go round it: a pattern is as good
+as the instances it holds, an instance outside the seeds as good as the share of its
+occurrences that two good patterns of different kinds hold. Those count like seeds in the next
+round, on the whole graph, so that they make further patterns good. What the last round accepts
+becomes a span of kind `found`.
 
 Spans are code-point offsets, end exclusive. Fixed patterns match leftmost and without
 overlap for each kind; matches that fail their check are dropped, without another try.
@@ -46,10 +47,11 @@ SPACED = r"(?<!\S)[+(]*+[0-9][0-9().+-]*+(?:\x20[(]?[0-9][0-9().-]*+)++[,;:!?]*+
 @dataclass(frozen=True)
 class Settings:
     rounds: int = 3
-    seeds_least: int = 3          # different seeds a pattern must hold
+    seeds_least: int = 3          # different seeds, or accepted instances, a pattern must hold
     texts_least: int = 3          # occurrences of a pattern
     pattern_least: float = 0.8    # score of a pattern that discovers
-    unknown: float = 0.0          # what an unscored instance counts at first
+    kinds_least: int = 2          # kinds of good patterns that hold an accepted occurrence
+    unknown: float = 0.0          # what an instance counts that no round has accepted
 
 
 def _digits(match: Column) -> Column:
@@ -127,58 +129,78 @@ def _shape(token: Column) -> Column:
 
 
 def _placed(text: Column, pattern: str) -> Column:
-    """Array of (start, end, match, before): the matches, which are whole words, and the word
-    before each. It is the last of the text since the match before, or of that match."""
+    """Array of (start, end, match, before, after): the matches, which are whole words, and the
+    words beside each. They are of the text up to the next match, or of that match."""
     found = matches(text, pattern)
     words = F.transform(found, lambda m: m["match"])
     pairs = F.arrays_zip(
         found.alias("m"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"),
-        F.slice(F.concat(F.array(F.lit("")), words), F.lit(1), F.size(found)).alias("last"))
+        F.slice(F.concat(F.array(F.lit("")), words), F.lit(1), F.size(found)).alias("last"),
+        F.slice(F.concat(F.split(text, pattern, -1), F.array(F.lit(""))), F.lit(2), F.size(found)).alias("rest"),
+        F.slice(F.concat(words, F.array(F.lit("")), F.array(F.lit(""))), F.lit(2), F.size(found)).alias("next"))
     return F.transform(pairs, lambda x: F.struct(
         x["m"]["start"].alias("start"), x["m"]["end"].alias("end"), x["m"]["match"].alias("match"),
         F.when(x["gap"].rlike(r"\S"), F.regexp_extract(x["gap"], r"(?<!\S)\S++(?=\s++\z)", 0))
-        .otherwise(F.regexp_extract(x["last"], r"(?<!\S)\S++\z", 0)).alias("before")))
+        .otherwise(F.regexp_extract(x["last"], r"(?<!\S)\S++\z", 0)).alias("before"),
+        F.when(x["rest"].rlike(r"\S"), F.regexp_extract(x["rest"], r"\A\s++(\S++)", 1))
+        .otherwise(F.regexp_extract(x["next"], r"\A(\S++)", 1)).alias("after")))
 
 
 def _edges(rows: DataFrame, text: str, seeds: str, uid: str) -> DataFrame:
-    """(uid, start, end, pattern, instance, seed) of every token or spaced run of numbers that
-    could be an identifier."""
+    """(uid, start, end, pattern, after, shape, instance, seed) of every token or spaced run of
+    numbers that could be an identifier. pattern is the word before and the shape."""
     whole = F.concat(_placed(F.col(text), IDENTIFIER), _placed(F.col(text), SPACED))
     tokens = rows.where(F.col(text).rlike("[0-9@]")).select(
         uid, F.col(seeds).alias("s"), F.explode(whole).alias("m"))
-    word = F.col("m.before")
-    before = F.when(word.rlike("[0-9@]"), _shape(word)).otherwise(F.lower(word))
+
+    def word(x: Column) -> Column:
+        return F.when(x.rlike("[0-9@]"), _shape(x)).otherwise(F.lower(x))
+
     seed = F.exists("s", lambda x: (x["start"] < F.col("end")) & (x["end"] > F.col("start")))
     return tokens.select(
         uid, "s", F.col("m.start").alias("start"), F.col("m.end").alias("end"),
-        F.concat_ws(" ", before, _shape(F.col("m.match"))).alias("pattern"),
-        F.xxhash64("m.match").alias("instance")).select(
-        uid, "start", "end", "pattern", "instance", seed.alias("seed"))
-
-
-def good_patterns(occurrences: DataFrame, settings: Settings) -> DataFrame:
-    """Scores of patterns after the rounds: those that may discover."""
-    edges = materialize(
-        occurrences.groupBy("pattern", "instance").agg(
-            F.count(F.lit(1)).alias("n"), F.max(F.col("seed").cast("double")).alias("seed")), "edges")
-    # A pattern with too few different seeds never discovers, so the rest of the graph is left.
-    held = edges.groupBy("pattern").agg(F.sum("seed").alias("seeds"), F.sum("n").alias("all"))
-    held = held.where((F.col("seeds") >= settings.seeds_least) & (F.col("all") >= settings.texts_least))
-    edges = materialize(edges.join(held.select("pattern"), "pattern", "left_semi"), "graph")
-    scores = None
+        word(F.col("m.before")).alias("before"), word(F.col("m.after")).alias("after"),
+        _shape(F.col("m.match")).alias("shape"), F.xxhash64("m.match").alias("instance")).select(
+        uid, "start", "end", F.concat_ws(" ", "before", "shape").alias("pattern"),
+        "before", "after", "shape", "instance", seed.alias("seed"))
+
+
+_PLACE = ("before", "after", "shape", "instance")
+
+
+def accepted_places(occurrences: DataFrame, settings: Settings) -> DataFrame:
+    """(before, after, shape, instance) of the accepted occurrences outside the seeds."""
+    graph = materialize(occurrences.groupBy(*_PLACE).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("seed").alias("seeds"))
+        .withColumn("id", F.xxhash64(*_PLACE)), "graph")
+    # A word before or after, where there is one, and the shape: an edge each.
+    edges = materialize(graph.select("id", "instance", "n", "seeds", F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("key")) for kind in _PLACE[:3]])).alias("x"))
+        .select("id", "instance", "n", "seeds", "x.kind", "x.key").where("key <> ''"), "edges")
+    held = materialize(edges.groupBy("kind", "key", "instance").agg(F.sum("n").alias("n")), "held")
+    accepted = None
     for _ in range(settings.rounds):
-        belief = edges.withColumn("p", F.col("seed"))
-        if scores is not None:
-            best = edges.where("seed = 0").join(scores, "pattern").groupBy("instance").agg(
-                F.max("score").alias("best"), F.count(F.lit(1)).alias("k"))
-            belief = edges.join(best, "instance", "left").withColumn("p", F.when(
-                F.col("seed") > 0, F.lit(1.0)).otherwise(
-                F.coalesce(F.when(F.col("k") > 1, F.col("best")), F.lit(settings.unknown))))
+        sure = graph.select("id", "instance", "n", F.col("seeds").alias("yes"))
+        if accepted is not None:
+            sure = sure.join(accepted.withColumn("more", F.lit(1)), "id", "left").select(
+                "instance", "n", F.when(F.col("more") == 1, F.col("n")).otherwise(F.col("yes")).alias("yes"))
+        # Instances nothing speaks for count as unknown.
+        belief = sure.groupBy("instance").agg((F.sum("yes") / F.sum("n")).alias("p")).where("p > 0")
+        p = F.coalesce("p", F.lit(settings.unknown))
         # Repeats of one instance add little: each counts by the logarithm of its occurrences.
         weight = F.log2(F.col("n") + 1.0)
-        scores = materialize(belief.groupBy("pattern").agg(
-            (F.sum(weight * F.col("p")) / F.sum(weight)).alias("score")), "scores")
-    return scores.where(F.col("score") >= settings.pattern_least).select("pattern", "score")
+        good = held.join(belief, "instance", "left").groupBy("kind", "key").agg(
+            (F.sum(weight * p) / F.sum(weight)).alias("score"),
+            F.count_if(p >= 0.5).alias("sure"), F.sum("n").alias("all"))
+        good = good.where((F.col("score") >= settings.pattern_least) & (F.col("sure") >= settings.seeds_least)
+                          & (F.col("all") >= settings.texts_least)).select("kind", "key")
+        accepted = materialize(
+            edges.where("seeds < n").join(good, ["kind", "key"]).groupBy("id").agg(
+                F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") >= settings.kinds_least).select("id"),
+            "accepted")
+    if accepted is None:
+        return graph.limit(0).select(*_PLACE)
+    return graph.join(accepted, "id", "left_semi").select(*_PLACE)
 
 
 def find_spans(docs: DataFrame, text: str = "text", out: str = "spans",
@@ -193,8 +215,8 @@ def find_spans(docs: DataFrame, text: str = "text", out: str = "spans",
         F.xxhash64(F.col(text)).alias("h1"), F.md5(F.col(text)).alias("h2"), F.col(text).alias("t"), seeds)
     occurrences = _edges(some.withColumn(uid, F.concat_ws("-", "h1", "h2")), "t", seeds, uid)
     occurrences = materialize(occurrences.distinct(), "occurrences")
-    patterns = materialize(good_patterns(occurrences, settings), "patterns")
-    fresh = occurrences.where("NOT seed").join(patterns, "pattern").groupBy(uid).agg(
+    places = materialize(accepted_places(occurrences, settings), "places")
+    fresh = occurrences.where("NOT seed").join(places, list(_PLACE), "left_semi").groupBy(uid).agg(
         F.collect_set(F.struct("start", "end")).alias(more))
     if fresh.isEmpty():
         return base.withColumnRenamed(seeds, out)

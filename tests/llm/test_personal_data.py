@@ -87,6 +87,21 @@ def test_discovery_needs_a_reliable_pattern(spark):
     assert found[0][0]["kind"] == "email"
 
 
+def test_unseen_identifiers_are_found(spark):
+    """Both words beside it find one, its shape then others, and those a context without seeds."""
+    rows = [(i, f"pay to user{i}@mail.example.com today") for i in range(12)]
+    rows += [(20 + i, f"pay to AB-{100 + i}-X today") for i in range(8)]     # a form of no fixed pattern
+    rows += [(30 + i, f"send to CD-{200 + i}-Y then") for i in range(3)]      # one context, and the shape
+    rows += [(40 + i, f"account CD-{200 + i}-Y closed") for i in range(3)]
+    rows += [(50, "account EF-900-Z closed"), (60, "page 17 of 20"), (61, "room 5-B here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [s["match"] for s in r["spans"] if s["kind"] == P.FOUND]
+           for r in P.find_spans(df, settings=P.Settings(pattern_least=0.5)).collect()}
+    assert all(got[20 + i] == [f"AB-{100 + i}-X"] for i in range(8))
+    assert all(got[30 + i] == [f"CD-{200 + i}-Y"] for i in range(3))
+    assert got[60] == got[61] == []
+
+
 def test_neighbours_are_instances_and_contexts(spark):
     rows = [(1, "foo 123 456 789"), (2, "a@x.org  b@y.org\nc@z.org"), (3, "4111 1111 x  5"), (4, "7"),
             (5, "a" * 50_000 + " 1"), (6, "See 12 (34) 5-6, 8")]
