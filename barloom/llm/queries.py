@@ -1,4 +1,4 @@
-"""The registered queries of the dealt operators, op1 to op10, and their SQL."""
+"""The registered queries of the dealt operators, op1 to op13, and their SQL."""
 
 from __future__ import annotations
 
@@ -109,15 +109,79 @@ def op10_suffix_tree(spark, sf):
         "base_score", "score")
 
 
+def op13_target_resampling(spark, sf):
+    from .target_resampling import resample
+    drawn = resample(table(spark, sf, "documents").select("doc_id", "text"),
+                     table(spark, sf, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op4_kneser_ney,
                                     op5_permutation_index, op6_personal_data,
                                     op7_ngram_join, op8_best_fit, op9_decontaminate,
-                                    op10_suffix_tree)}
+                                    op10_suffix_tree, op13_target_resampling)}
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _FIVE = " + ".join(f"{2 ** (4 - j)} * CAST(substr(bits, 1 + 5 * i + {j}, 1) AS INTEGER)" for j in range(5))
 
+def _crc32(text: str) -> str:
+    """CTEs that end in crc(v, h): the unsigned CRC-32 of the UTF-8 bytes of each v of `text`."""
+    return f"""
+bits(b, c, k) AS (
+  SELECT b, b, 0 FROM range(256) r(b)
+  UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), steps AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8
+), crc AS MATERIALIZED (
+  SELECT v, xor(4294967295, list_reduce(
+      [CAST(('0x' || substr(x, 2 * i - 1, 2)) AS BIGINT) FOR i IN range(1, length(x) // 2 + 1)],
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295)) AS h
+  FROM (SELECT v, hex(encode(v)) AS x FROM ({text})), steps
+)"""
+
+
 SQL = {
+    "op13_target_resampling": rf"""
+WITH RECURSIVE w AS (
+  SELECT part, doc_id, words, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM (
+    SELECT part, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM (SELECT 's' AS part, doc_id, text FROM documents
+          UNION ALL SELECT 't', row_number() OVER (), text FROM benchmark))
+), f AS MATERIALIZED (
+  SELECT part, doc_id, v, count(*) AS n FROM (
+    SELECT part, doc_id, word AS v FROM w
+    UNION ALL SELECT part, doc_id, word || ' ' || words[pos + 1] FROM w WHERE pos < len(words))
+  GROUP BY ALL
+), {_crc32("SELECT DISTINCT v FROM f")}, b AS (
+  SELECT h % 10000 AS bucket, sum(n) FILTER (part = 's') AS s, sum(n) FILTER (part = 't') AS t
+  FROM f JOIN crc USING (v) GROUP BY 1
+), g AS (
+  SELECT bucket, floor(1000 * ln(
+      CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(coalesce(sum(s) OVER (), 0) + 10000 AS DOUBLE)
+      / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST(coalesce(sum(t) OVER (), 0) + 10000 AS DOUBLE)))) AS gain
+  FROM b
+), sums AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * CAST(gain AS BIGINT)) AS BIGINT) AS total
+  FROM f JOIN crc USING (v) JOIN g ON g.bucket = h % 10000 WHERE part = 's' GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features,
+         coalesce(CAST(floor(total / n_features) AS BIGINT), 0) AS weight,
+         CAST(('0x' || substr(sha256('7:' || d.doc_id), 1, 8)) AS BIGINT) AS h
+  FROM documents d LEFT JOIN sums USING (doc_id)
+), final AS (
+  SELECT doc_id, n_features, weight,
+         weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM scored
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM final WHERE n_features >= 39
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM final LEFT JOIN ranked USING (doc_id)""",
     "op2_warc": f"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
