@@ -100,7 +100,7 @@ def bucket_counts(df: DataFrame, text: str = "text", settings: Settings = Settin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
-        for batch in slices(batches, "t", 2 * SLICE_BYTES):
+        for batch in slices(batches, "t", SLICE_BYTES // 2):
             runs, starts, lengths, _, _ = features(_texts(batch))
             _, bucket, count = _slots(runs, starts, lengths, buckets)
             total += np.bincount(bucket, count, buckets).astype(np.int64)
@@ -131,7 +131,7 @@ def weigh(df: DataFrame, gain: np.ndarray, doc_id: str = "doc_id", text: str = "
     buckets = settings.buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "t", 2 * SLICE_BYTES):
+        for batch in slices(batches, "t", SLICE_BYTES // 2):
             runs, starts, lengths, bounds, follows = features(_texts(batch))
             slot, bucket, _ = _slots(runs, starts, lengths, buckets)
             each = shared.value[bucket][slot]
