@@ -109,6 +109,20 @@ def op10_suffix_tree(spark, sf):
         "base_score", "score")
 
 
+def op11_spelling_variants(spark, sf):
+    from .spelling_variants import group_variants
+    return group_variants(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_quality_rules(spark, sf):
+    from .quality_rules import judge
+    good = table(spark, sf, "labels").where("quality = 1")
+    return judge(table(spark, sf, "documents"), good).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "lang", "perplexity", "lower", "upper")
+
+
 def op13_target_resampling(spark, sf):
     from .target_resampling import resample
     drawn = resample(table(spark, sf, "documents").select("doc_id", "text"),
@@ -119,7 +133,8 @@ def op13_target_resampling(spark, sf):
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_language_id, op4_kneser_ney,
                                     op5_permutation_index, op6_personal_data,
                                     op7_ngram_join, op8_best_fit, op9_decontaminate,
-                                    op10_suffix_tree, op13_target_resampling)}
+                                    op10_suffix_tree, op11_spelling_variants,
+                                    op12_quality_rules, op13_target_resampling)}
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _FIVE = " + ".join(f"{2 ** (4 - j)} * CAST(substr(bits, 1 + 5 * i + {j}, 1) AS INTEGER)" for j in range(5))
@@ -142,6 +157,41 @@ bits(b, c, k) AS (
 
 
 SQL = {
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE r AS MATERIALIZED (
+  SELECT run, v, count(*) AS n FROM (
+    SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS v FROM (
+      SELECT doc_id, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+      FROM documents))
+  GROUP BY ALL
+), {_crc32("SELECT v FROM r GROUP BY v")}, w AS MATERIALIZED (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT))
+                                    || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM r JOIN crc USING (v) GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), cuts AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b USING (i, cut) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN w b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN w b ON a.cut = b.word
+), best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+), formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= 5 * w.n THEN near END AS form, CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+  FROM w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL
+  SELECT walk.word, formed.word, formed.form FROM walk JOIN formed ON walk.next = formed.word
+)
+SELECT formed.word, formed.form, walk.at AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN walk ON walk.word = formed.word AND walk.next IS NULL""",
     "op13_target_resampling": rf"""
 WITH RECURSIVE w AS (
   SELECT part, doc_id, words, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM (
