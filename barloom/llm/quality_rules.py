@@ -138,7 +138,7 @@ class Grams:
 
 def gram_hash(backwards: list[np.ndarray], size: int) -> np.ndarray:
     """The hash of grams given by their characters, the last one first."""
-    total = np.full(size, U64(len(backwards)) * U64(0x9E3779B97F4A7C15))
+    total = np.full(size, U64(len(backwards) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     for k, code in enumerate(backwards):
         total += (code + U64(1)) * _FACTOR[k]
     return mix(total)

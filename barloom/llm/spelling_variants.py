@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .common import SLICE_BYTES, U64, _stream, mix, ship, slices
 from .ngram_table import Runs
 
@@ -46,12 +46,16 @@ from .ngram_table import Runs
 class Settings:
     least_length: int = 6         # code points
     least_count: int = 5
-    ratio: int = 5                # a form is at least so many times as frequent
+    ratio: int = 5                # a form is at least so many times as frequent; 2 or more
     typo_modulus: int = 199       # of the crc32 of `<doc_id>:<run>`; 0 leaves every run whole
     bits: int = 16                # of the filter, per word
     filter_bytes: int = 16 << 20  # broadcast at a time
     held: int = 400_000           # different words that a task counts before it hands them on
 
+    def __post_init__(self):
+        if self.ratio < 2:            # equally frequent words would be each other's forms
+            raise ValueError("ratio must be 2 or more")
+
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     lower = np.arange(256, dtype=np.uint8)
@@ -157,7 +161,7 @@ def powers(n: int) -> np.ndarray:
 
 
 def finish(total: np.ndarray, length: int) -> np.ndarray:
-    return mix(total + U64(length) * U64(0x9E3779B97F4A7C15))
+    return mix(total + U64(length * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
 
 
 def bits_of(h: np.ndarray) -> np.ndarray:
@@ -321,13 +325,15 @@ def near_pairs(words: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(a, a_n, b, b_n): every two words of the vocabulary that are one edit apart, once."""
     spark: SparkSession = words.sparkSession
     ship(spark)
-    known = words.select(F.col("word").alias("b"), F.col("n").alias("b_n"))
-    out = spark.createDataFrame([], "a string, a_n long, b string, b_n long")
+    path = scratch_path(spark, "asked")
+    _probe(words.where("false"), np.zeros(0, U64), {}).write.parquet(path)
     for shards in plan(_lengths(words), settings):
-        asked = _probe(words, build_filter(words, shards), shards)
-        found = asked.join(known, F.col("edit") == F.col("b"))
-        out = out.unionByName(found.select(F.col("word").alias("a"), F.col("n").alias("a_n"), "b", "b_n"))
-    return out
+        # Written pass by pass, so that executors hold the filters of one pass only.
+        _probe(words, build_filter(words, shards), shards).write.mode("append").parquet(path)
+    known = words.select(F.col("word").alias("b"), F.col("n").alias("b_n"))
+    return spark.read.schema("edit string, word string, n long").parquet(path).join(
+        known, F.col("edit") == F.col("b")).select(
+        F.col("word").alias("a"), F.col("n").alias("a_n"), "b", "b_n")
 
 
 # --- forms and roots -------------------------------------------------------------------
