@@ -2,7 +2,7 @@
 
 The counted rules look at words, symbols, repeated lines and repeated three-word windows. What
 passes them is judged by the perplexity of its characters under an interpolated modified
-Kneser-Ney model of character 5-grams. The model is learned from every trusted text: tasks
+Kneser-Ney model of character 5-grams. The model is learned from the trusted texts: tasks
 count their grams, Spark adds them up and derives continuation counts, discounts, shares and
 the mass left to the lower order as joins and aggregates over the distinct grams, whose
 number grows with the alphabet rather than with the corpus.
@@ -14,7 +14,8 @@ grams of all texts are joined to its tables, order by order, and the documents'
 the result. Both ways give the same figures.
 
 Each language has a band of perplexities: quantiles of its trusted documents that pass the
-counted rules, widened by a margin. Documents outside it are rejected.
+counted rules, widened by a margin. A share of the trusted documents is not learned from, so
+that the upper end does not come from texts the model knows. Documents outside are rejected.
 
 Cases: NULL and empty texts have no word and fail the counted rules. A NULL language is one of
 its own; a language without trusted documents takes the band of all, and without any trusted
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SLICE_BYTES, U64, _stream, byte_codes, encoded, mix, ship, slices, texts_of, word_hashes
+from .common import SLICE_BYTES, U64, _stream, byte_codes, encoded, fold, mix, ship, slices, texts_of, word_hashes
 
 ORDER = 5
 EDGE = "￿"
@@ -48,6 +49,7 @@ _FACTOR = _stream(61, ORDER) | U64(1)              # of the last character, the
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _GAPS = b" \t\n\x0b\x0c\r"
+SIEVE = 1 << 20                    # words of 64 bits
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -58,6 +60,7 @@ class Settings:
     low: float = 0.002            # quantiles of the trusted perplexities
     high: float = 0.998
     margin: float = 1.15          # the band reaches so many times beyond them
+    unread: int = 5               # one in so many trusted documents is not learned from
     broadcast_entries: int = 6_000_000            # of 16 bytes
     held: int = 400_000           # different grams that a task counts before it hands them on
 
@@ -324,6 +327,23 @@ def _joined(rows: DataFrame, tables: Tables) -> DataFrame:
     return grams.join(weights, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("w")).alias("log_p"))
 
 
+def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in ids, without shuffling the texts of the others.
+
+    The ids make a Bloom filter of at most `SIEVE` words, two bits an id, which is joined to the
+    documents as a broadcast of that many rows. What passes it meets the ids in an exact join.
+    """
+    def marked(df: DataFrame, column: str) -> DataFrame:
+        df = df.withColumn("_h", F.xxhash64(column))
+        bit = [F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(_h, {by}) & 63 AS INT))") for by in (40, 50)]
+        return df.withColumn("_word", F.pmod("_h", F.lit(SIEVE))).withColumn("_bits", bit[0].bitwiseOR(bit[1]))
+
+    words = marked(ids, "id").groupBy("_word").agg(F.bit_or("_bits").alias("_held"))
+    maybe = marked(docs, "doc_id").join(F.broadcast(words), "_word").where(
+        F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits"))
+    return maybe.select(*docs.columns).join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+
+
 def judge(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang", settings: Settings = Settings()) -> DataFrame:
     """(doc_id, lang, the columns of BASE, base_failed, perplexity, lower, upper, kept) of every row.
@@ -331,14 +351,18 @@ def judge(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
     trusted holds the ids of documents known as good, in a column named as doc_id.
     """
     ids = trusted.select(F.col(doc_id).alias("id")).where(F.col("id").isNotNull()).distinct()
-    learn = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        ids, F.col("doc_id") == F.col("id"), "left_semi")
-    tables = fit(learn, "text", settings)
+    unread = fold("id", settings.unread) == 0
+    tables = fit(chosen(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ids.where(~unread)),
+                 "text", settings)
     measured = materialize(measure(docs, tables, doc_id, text, lang, settings)
                            .withColumn("base_failed", failed(settings)), "measured")
-    good = measured.where("NOT base_failed").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    band = lambda q: F.percentile_approx("perplexity", q, 10_000)
-    limits = [(band(settings.low) / settings.margin).alias("low"), (band(settings.high) * settings.margin).alias("high")]
+    good = measured.where("NOT base_failed").join(
+        ids.withColumn("unread", unread), F.col("doc_id") == F.col("id"))
+    # Texts that the model has read look easier to it: they mark the lower end, unread ones the upper.
+    band = lambda of, q: F.percentile_approx(of, q, 10_000)       # noqa: E731
+    fresh = band(F.when(F.col("unread"), F.col("perplexity")), settings.high)
+    limits = [(band("perplexity", settings.low) / settings.margin).alias("low"),
+              (F.greatest(fresh, band("perplexity", settings.high)) * settings.margin).alias("high")]
     of_all = good.agg(*limits).first()
     bands = good.groupBy(F.col("lang").alias("of")).agg(*limits)
     joined = measured.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left")
