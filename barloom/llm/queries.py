@@ -31,7 +31,8 @@ def op2_warc(spark, sf):
     from . import warc as W
     path = scratch_path(spark, "warc")
     W.write_archives(W.plan_captures(table(spark, sf, "pages")), path)
-    captures = W.assemble(W.read_archives(spark, path, payloads=False))
+    captures = W.assemble(W.read_archives(spark, path, payloads=False)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies.response"))))
     page = F.regexp_extract("capture_id", ":([0-9-]+)>$", 1)
     fields = F.map_from_entries("metadata.fields")
     return captures.select(

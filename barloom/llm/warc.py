@@ -82,7 +82,7 @@ def plan_captures(pages: DataFrame, page_id: str = "page_id", url: str = "url",
               .agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("sha1", "size", "first_id"))
     return base.join(groups, ["sha1", "size"], "left").select(
-        "page_id", "url", "payload", "size",
+        "page_id", "url", "payload", "size", "sha1",
         F.when(F.col("first_id") != F.col("page_id"), F.col("first_id")).alias("refers_to"))
 
 
@@ -100,11 +100,12 @@ def write_archives(captures: DataFrame, path: str, warc_date: str = "2020-01-01T
                    file_bytes: int = FILE_BYTES) -> None:
     """Write the rows of `plan_captures` as gzipped WARC files of about file_bytes of content.
 
-    The capture key is the page id, or `null-` and a fresh UUID where there is none. Rows that
-    repeat an id write their records again under the same key; `assemble` counts them.
+    The capture key is the payload's SHA-1 and the page id, or `null-` and a fresh UUID where
+    there is none, so that pages which share an id are captures of their own. Rows that repeat
+    id and payload write their records again under the same key; `assemble` counts them.
     """
-    captures = captures.withColumn("key", F.coalesce(
-        F.col("page_id").cast("string"), F.concat(F.lit("null-"), F.expr("uuid()"))))
+    captures = captures.withColumn("key", F.concat("sha1", F.lit(":"), F.coalesce(
+        F.col("page_id").cast("string"), F.concat(F.lit("null-"), F.expr("uuid()")))))
     key = F.col("key")
     uri = _clean(F.col("url"))
     date = F.lit(warc_date)
@@ -118,7 +119,7 @@ def write_archives(captures: DataFrame, path: str, warc_date: str = "2020-01-01T
         F.concat(head, F.col("payload")))
     revisit = _block("revisit", anchor, [
         *common, ("WARC-Payload-Digest", digest), ("WARC-Profile", F.lit(PROFILE)),
-        ("WARC-Refers-To", _uri("response", F.col("refers_to").cast("string"))),
+        ("WARC-Refers-To", _uri("response", F.concat("sha1", F.lit(":"), F.col("refers_to").cast("string")))),
         ("Content-Type", F.lit("application/http; msgtype=response"))], head)
     request = _block("request", _uri("request", key), [
         *common, ("WARC-Concurrent-To", anchor),

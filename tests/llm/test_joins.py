@@ -6,10 +6,11 @@ import re
 
 import numpy as np
 import pytest
+from compare import connect, differences
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barloom.llm import components, ngram_join, permutation_index, warc
+from barloom.llm import components, ngram_join, permutation_index, queries, warc
 
 # --- n-gram join -----------------------------------------------------------------------
 
@@ -137,6 +138,15 @@ def test_archives_round_trip(spark, tmp_path):
     assert sum(k.startswith("null") for k in by_id) == 2
 
 
+def test_pages_that_share_an_id_all_come_back(spark, tmp_path):
+    rows = [(1, "a", "x"), (1, "a", "y"), (1, "b", "x"), (2, "a", "x"), (2, "a", "x"), (3, "a", "y"), (3, "a", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op2_warc(spark, str(tmp_path)).toArrow()
+    want = connect(str(tmp_path)).sql(queries.SQL["op2_warc"].replace(
+        "FROM pages", f"FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")).to_arrow_table()
+    assert differences(got, want) == [] and got.num_rows == len(rows)
+
+
 def test_archives_of_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     path = str(tmp_path / "none")
@@ -161,15 +171,16 @@ def test_a_cut_record_is_an_error():
 
 # --- permutation index -----------------------------------------------------------------
 
-def test_index_recall_and_scores(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+@pytest.mark.parametrize("table, queries", [("sf0.01", 25), ("sf0.1", 100)])
+def test_index_recall_and_scores(spark, table, queries):
+    """The registered settings against all inner products."""
+    df = spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet")
     rows = df.collect()
     vectors = {r["vec_id"]: np.array(r["embedding"], dtype=np.float64) for r in rows}
     ids = np.array(sorted(vectors))
     every = np.stack([vectors[i] for i in ids])
-    settings = permutation_index.Settings(row_block=200, query_block=10)
     found = collections.defaultdict(list)
-    for r in permutation_index.search(df, lambda k: k % 20 == 0, settings=settings).collect():
+    for r in permutation_index.search(df, lambda k: k % 20 == 0).collect():
         found[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
     hits = 0
     for q, got in found.items():
@@ -180,7 +191,19 @@ def test_index_recall_and_scores(spark):
         assert all(abs(g[2] - float(vectors[q] @ vectors[g[1]])) < 1e-12 for g in got)
         assert [(-g[2], g[1]) for g in got] == sorted((-g[2], g[1]) for g in got)
         hits += len({g[1] for g in got} & set(best))
-    assert len(found) == 25 and hits / (25 * 20) >= 0.9
+    assert len(found) == queries and hits / (queries * 20) >= 0.95
+
+
+def test_vectors_of_another_length_change_no_other_result(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
+    odd = spark.createDataFrame([(100_000 + 20 * i, [1.0 + i] * (1 + i % 2)) for i in range(6)], df.schema)
+    search = lambda d: {tuple(r) for r in permutation_index.search(d, lambda k: k % 20 == 0).collect()}
+    alone, both = search(df), search(df.unionAll(odd))
+    assert alone <= both
+    assert {r[:3] for r in both - alone} == {
+        (100_000, 1, 100_080), (100_000, 2, 100_040), (100_040, 1, 100_080), (100_040, 2, 100_000),
+        (100_080, 1, 100_040), (100_080, 2, 100_000), (100_020, 1, 100_100), (100_020, 2, 100_060),
+        (100_060, 1, 100_100), (100_060, 2, 100_020), (100_100, 1, 100_060), (100_100, 2, 100_020)}
 
 
 def test_index_on_odd_vectors(spark):
@@ -189,7 +212,9 @@ def test_index_on_odd_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit(1))
     got = permutation_index.search(df, lambda k: k % 20 == 0).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [
-        (0, 1, 1.0), (0, 2, 1.0), (0, 20, 0.0), (20, 0, 0.0), (20, 1, 0.0), (20, 2, 0.0)]
+        (0, 1, 5.0), (0, 1, 1.0), (0, 2, 1.0), (0, 20, 0.0), (0, 20, 0.0),
+        (20, 20, 4.0), (20, 20, 4.0), (20, 1, 2.0), (20, 1, 2.0), (20, 0, 0.0), (20, 0, 0.0),
+        (20, 1, 0.0), (20, 1, 0.0), (20, 2, 0.0), (20, 2, 0.0)]
     assert permutation_index.search(df.limit(0), lambda k: k % 20 == 0).count() == 0
 
 
