@@ -27,15 +27,14 @@ def audit_rows(batch: DataFrame, entities: DataFrame, key: str, required: str, s
     shape = (F.lit(run_id).alias("run_id"), F.lit(source).alias("source"))
     known = entities.join(counts, key, "left").select(
         *shape, F.col(key).alias("ticker"),
-        F.when(failed, 0).otherwise(F.least(F.coalesce("good", F.lit(0)), F.lit(2 ** 31 - 1)))
-        .cast("int").alias("rows_loaded"),
+        F.when(failed, F.lit(0)).otherwise(F.coalesce("good", F.lit(0))).cast("long").alias("rows_loaded"),
         F.when(failed, "failed").otherwise("success").alias("status"),
         F.when(failed, F.format_string("%d row(s) could not be parsed", "bad")).alias("error_msg"),
     )
     stray = counts.join(entities, key, "left_anti").agg(F.sum("every").alias("every")).where(
         F.col("every") > 0)
     return known.unionAll(stray.select(
-        *shape, F.lit(UNKNOWN), F.lit(0), F.lit("failed"),
+        *shape, F.lit(UNKNOWN), F.lit(0).cast("long"), F.lit("failed"),
         F.format_string("%d row(s) of entities that are not configured", "every")))
 
 

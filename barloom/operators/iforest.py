@@ -1,12 +1,13 @@
 """Isolation forest (Liu, Ting and Zhou 2008) on Spark.
 
 Trees need few rows each, so fitting is a keyed sample followed by one bounded group per
-tree. Sampling hashes the row key: the forest depends on the data and the seed, not on
-how the rows are partitioned.
+tree. All draws are MD5 digests of a text that names what is drawn, read as fractions: the
+forest depends on the data and the seed only, and any engine can draw the same numbers.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, "
                "left_id int, right_id int, path_length double")
-_HASH_SPAN = float(2 ** 63)
+_DIGITS = 13                      # hexadecimal digits that a double holds
 
 
 def average_path(n: int) -> float:
@@ -30,8 +31,9 @@ def average_path(n: int) -> float:
 
 
 def _share(*inputs: Column) -> Column:
-    """A uniform number in [0, 1) from a hash of the inputs."""
-    return F.shiftrightunsigned(F.xxhash64(*inputs), 1).cast("double") / F.lit(_HASH_SPAN)
+    """A uniform number in [0, 1) from the inputs, written as text with colons between."""
+    text = F.concat_ws(":", *[c.cast("string") for c in inputs])
+    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("double") / F.lit(16.0 ** _DIGITS)
 
 
 def tree_samples(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_rows: int,
@@ -51,7 +53,7 @@ def tree_samples(train: DataFrame, columns: Sequence[str], key: Sequence[str], n
                      F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_step"))
         .withColumn("tree_id", F.pmod(F.col("_first") + F.col("_step"), F.lit(trees)).cast("int"))
         .where(_share(F.lit(seed), F.lit("offer"), F.col("tree_id"), *keys) < offered / draws)
-        .withColumn("_draw", _share(F.lit(seed), F.col("tree_id"), *keys))
+        .withColumn("_draw", _share(F.lit(seed), F.lit("draw"), F.col("tree_id"), *keys))
         .drop("_first", "_step")
         # AQE would pack samples this small into one task, but the work is in the building.
         .repartition(min(trees, train.sparkSession.sparkContext.defaultParallelism), "tree_id")
@@ -63,7 +65,10 @@ def tree_samples(train: DataFrame, columns: Sequence[str], key: Sequence[str], n
 
 def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_rows: int,
                trees: int = 100, tree_rows: int = 256, seed: int = 42) -> DataFrame:
-    """The forest as a node table. A leaf has feature -1 and its path length."""
+    """The forest as a node table. A leaf has feature -1 and its path length.
+
+    The root is node 0, the children of node i are 2 i + 1 and 2 i + 2.
+    """
     columns, key = list(columns), list(key)
     size = min(tree_rows, n_rows)
     depth_limit = math.ceil(math.log2(max(size, 2)))
@@ -71,14 +76,16 @@ def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_r
     # package, which need not be installed there.
     leaf_paths = [average_path(rest) for rest in range(size + 1)]
     names = [field.split()[0] for field in NODE_SCHEMA.split(", ")]
+    digits = _DIGITS
+
+    def share(*inputs: object) -> float:
+        digest = hashlib.md5(":".join(map(str, inputs)).encode(), usedforsecurity=False).hexdigest()
+        return int(digest[:digits], 16) / 16.0 ** digits
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(key)
         tree_id = int(rows["tree_id"].iloc[0])
         x = rows[columns].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree_id])
         nodes, todo = [], [(0, np.arange(len(x)), 0)]
-        next_id = 1
         while todo:
             node_id, members, depth = todo.pop()
             low, high = x[members].min(axis=0), x[members].max(axis=0)
@@ -87,13 +94,14 @@ def fit_forest(train: DataFrame, columns: Sequence[str], key: Sequence[str], n_r
                 nodes.append((tree_id, node_id, -1, 0.0, -1, -1,
                               depth + leaf_paths[len(members)]))
                 continue
-            feature = int(rng.choice(splittable))
-            threshold = float(rng.uniform(low[feature], high[feature]))
+            feature = int(splittable[int(share(seed, tree_id, node_id, "feature") * len(splittable))])
+            span = high[feature] - low[feature]
+            threshold = float(low[feature] + share(seed, tree_id, node_id, "threshold") * span)
             goes_left = x[members, feature] <= threshold
-            nodes.append((tree_id, node_id, feature, threshold, next_id, next_id + 1, 0.0))
-            todo.append((next_id, members[goes_left], depth + 1))
-            todo.append((next_id + 1, members[~goes_left], depth + 1))
-            next_id += 2
+            left, right = 2 * node_id + 1, 2 * node_id + 2
+            nodes.append((tree_id, node_id, feature, threshold, left, right, 0.0))
+            todo.append((left, members[goes_left], depth + 1))
+            todo.append((right, members[~goes_left], depth + 1))
         return pd.DataFrame(nodes, columns=names)
 
     samples = tree_samples(train, columns, key, n_rows, trees, size, seed)
@@ -105,9 +113,14 @@ class ForestScorer:
 
     def __init__(self, nodes: DataFrame, train_rows: int, tree_rows: int = 256):
         table = nodes.toPandas().sort_values(["tree_id", "node_id"])
-        trees = [tuple(t[c].to_numpy() for c in
-                       ("feature", "threshold", "left_id", "right_id", "path_length"))
-                 for _, t in table.groupby("tree_id")]
+        trees = []
+        for _, t in table.groupby("tree_id"):
+            place = pd.Series(np.arange(len(t)), index=t["node_id"])    # node ids have gaps
+            trees.append((t["feature"].to_numpy(), t["threshold"].to_numpy(),
+                          place.reindex(t["left_id"]).to_numpy(), place.reindex(t["right_id"]).to_numpy(),
+                          t["path_length"].to_numpy()))
+        trees = [(f, v, np.nan_to_num(a).astype(np.int64), np.nan_to_num(b).astype(np.int64), p)
+                 for f, v, a, b, p in trees]
         normal = average_path(min(tree_rows, train_rows))
         shared = nodes.sparkSession.sparkContext.broadcast(trees)
 

@@ -37,14 +37,16 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
     return fresh.join(taken, keys, "left_anti")
 
 
-def load_watermark(existing: DataFrame, entities: DataFrame, key: str, as_of: date,
+def load_watermark(marks: DataFrame, entities: DataFrame, key: str, as_of: date,
                    lookback_years: int) -> DataFrame:
     """Per configured entity: its newest stored date, or today less the lookback, and the
-    day after, from which the next load starts."""
-    newest = existing.groupBy(key).agg(F.max("date").alias("newest"))
+    day after, from which the next load starts.
+
+    `marks` has a row (key, newest) for each key of the table, as the store keeps them.
+    """
     first_load = F.date_sub(F.lit(as_of), 365 * lookback_years)
     return (
-        entities.join(newest, key, "left")
+        entities.join(marks, key, "left")
         .select(key, F.coalesce("newest", first_load).alias("last_date"))
         .withColumn("next_start", F.date_add("last_date", 1))
     )

@@ -13,22 +13,24 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
-def classification_metrics(df: DataFrame, label: str = "target",
-                           prediction: str = "prediction", digits: int = 4) -> DataFrame:
-    """Accuracy, precision, recall and F1 of class 1 in one row; undefined ratios are 0."""
+def _counts(label: str, prediction: str) -> list[Column]:
     y, p = F.col(label) == 1, F.col(prediction) == 1
-    counts = df.agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col(label) == F.col(prediction)).alias("hit"),
-        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"),
-    )
+    return [F.count("*").alias("n"), F.count_if(F.col(label) == F.col(prediction)).alias("hit"),
+            F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn")]
+
+
+def _metrics(digits: int) -> list[Column]:
+    """The columns of METRICS from the counts."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     ratios = (_ratio(F.col("hit"), F.col("n")), _ratio(tp, tp + fp), _ratio(tp, tp + fn),
               _ratio(2 * tp, 2 * tp + fp + fn))
-    return counts.select(
-        F.col("n").alias("n_rows"),
-        *(F.round(r, digits).alias(name) for r, name in zip(ratios, METRICS)))
+    return [F.round(r, digits).alias(name) for r, name in zip(ratios, METRICS)]
+
+
+def classification_metrics(df: DataFrame, label: str = "target",
+                           prediction: str = "prediction", digits: int = 4) -> DataFrame:
+    """Accuracy, precision, recall and F1 of class 1 in one row; undefined ratios are 0."""
+    return df.agg(*_counts(label, prediction)).select(F.col("n").alias("n_rows"), *_metrics(digits))
 
 
 def majority_class(df: DataFrame, label: str = "target") -> DataFrame:
@@ -59,20 +61,11 @@ def evaluation_record(scored: DataFrame, majority: int, label: str = "target",
 
     `scored` has columns prediction and is_anomaly.
     """
-    y, p = F.col(label) == 1, F.col("prediction") == 1
+    n = F.col("n")
+    rates = {                      # fixed names
+        "baseline_accuracy": _ratio(F.col("base"), n), "iso_anomaly_rate": _ratio(F.col("odd"), n)}
     counts = scored.agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col(label) == F.col("prediction")).alias("hit"),
-        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"),
-        F.count_if(F.col(label) == majority).alias("base"),
-        F.count_if("is_anomaly").alias("odd"),
-    )
-    tp, fp, fn, n = F.col("tp"), F.col("fp"), F.col("fn"), F.col("n")
-    ratios = {                     # fixed names
-        "lr_accuracy": _ratio(F.col("hit"), n), "lr_precision": _ratio(tp, tp + fp),
-        "lr_recall": _ratio(tp, tp + fn), "lr_f1": _ratio(2 * tp, 2 * tp + fp + fn),
-        "baseline_accuracy": _ratio(F.col("base"), n), "iso_anomaly_rate": _ratio(F.col("odd"), n),
-    }
-    return counts.select(n.alias("n_rows"),
-                         *(F.round(r, digits).alias(name) for name, r in ratios.items()))
+        *_counts(label, "prediction"), F.count_if(F.col(label) == majority).alias("base"),
+        F.count_if("is_anomaly").alias("odd"))
+    return counts.select(n.alias("n_rows"), *_metrics(digits),
+                         *(F.round(r, digits).alias(name) for name, r in rates.items()))

@@ -7,6 +7,7 @@ Each entry takes (spark, sf_dir). Bars and macro series are derived from the tab
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,7 @@ from ..operators import insert as I
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators.asof import asof_calendar, asof_keyed
-from ..operators.audit import audit_rows
-from ..operators.logistic import as_expression, feature_weights, fit_logistic
+from ..operators.logistic import feature_weights, fit_logistic
 from ..operators.recent import last_rows_per_key, latest_per_key
 from ..operators.scaler import fit_scaler, scaler_params
 from ..schemas import BAR_COLS, BASE_TABLES, MACRO_COLS, PRIMARY_KEYS
@@ -41,6 +41,8 @@ SETTINGS = Settings(
     tickers=parse_list("1-URGENT,2-HIGH,3-MEDIUM,4-NOT SPECIFIED,5-LOW"),
 )
 MISSING_TICKER = "9-MISSING"
+WITH_MISSING = replace(SETTINGS, tickers=(*SETTINGS.tickers, MISSING_TICKER))
+DAILY = replace(SETTINGS, lookback_years=50, load_stale_days=10)
 EXISTING_BEFORE, INCOMING_FROM = date(2001, 1, 1), date(2000, 12, 1)
 STALE_TICKER, STALE_AFTER = "5-LOW", date(2001, 7, 1)
 BAD_TICKER, BAD_SERIES, BAD_DAY = "3-MEDIUM", "VIXCLS", 13
@@ -73,7 +75,8 @@ def _expected(spark: SparkSession) -> DataFrame:
 # --- scans and projections -------------------------------------------------------------
 
 def scan_bars(spark, sf):
-    return L.select_bars(src.bars(spark, sf), SETTINGS.tickers[:3], date(1998, 1, 1), SETTINGS.cutoff)
+    start, end = date(1998, 1, 1), SETTINGS.cutoff
+    return L.select_bars(src.bars(spark, sf, start=start, end=end), SETTINGS.tickers[:3], start, end)
 
 
 def scan_macro(spark, sf):
@@ -176,40 +179,92 @@ def streaming_load(spark, sf):
 
 
 def load_watermark(spark, sf):
-    old = src.bars(spark, sf).where(F.col("date") < F.lit(EXISTING_BEFORE))
-    return I.load_watermark(old, _expected(spark), "ticker", SETTINGS.as_of, SETTINGS.lookback_years)
+    """From the state that the appends keep; the stored bars are not read."""
+    store = _seeded(spark, G.PRICES, src.bars(spark, sf).select(*BAR_COLS))
+    return I.load_watermark(store.high_water("raw_prices"), _expected(spark), "ticker",
+                            SETTINGS.as_of, SETTINGS.lookback_years)
 
 
-def ingestion_audit(spark, sf):
+def _audited_loads(spark, sf) -> Store:
     """Both feeds as text batches; one ticker and one series hold values that do not parse."""
     def text_batch(rows, schema, key, bad_key, column):
         new = rows.where(F.col("date") >= F.lit(INCOMING_FROM)).select(
             *(F.col(f.name).cast("string").alias(f.name) for f in schema))
         spoiled = (F.col(key) == bad_key) & (F.dayofmonth(F.to_date("date")) == BAD_DAY)
-        return L.parse_text(
+        parsed = L.parse_text(
             new.withColumn(column, F.when(spoiled, "n/a").otherwise(F.col(column))), schema)
+        return parsed.withColumn("ingest_seq", F.lit(1))
 
+    store = _store(spark, "audited")
     bars = src.bars_dirty(src.bars(spark, sf))
-    prices = audit_rows(
-        text_batch(bars, L.BARS, "ticker", BAD_TICKER, "volume"), _expected(spark), "ticker",
-        "adj_close", G.PRICES.source, "20010802_000000")
-    series = audit_rows(
-        text_batch(src.macro(spark, sf), L.MACRO, "series_id", BAD_SERIES, "value"),
-        G.entity_frame(spark, "series_id", list(MACRO_SERIES)), "series_id",
-        "value", G.MACRO.source, "20010802_000000")
-    return prices.unionByName(series)
+    for feed, rows, schema, bad_key, column in (
+            (G.PRICES, bars, L.BARS, BAD_TICKER, "volume"),
+            (G.MACRO, src.macro(spark, sf), L.MACRO, BAD_SERIES, "value")):
+        G.run_load(store, feed, text_batch(rows, schema, feed.key, bad_key, column),
+                   WITH_MISSING, "20010802_000000", incremental=False)
+    return store
+
+
+def ingestion_audit(spark, sf):
+    """The log as stored by the loads."""
+    return _audited_loads(spark, sf).read("ingestion_log").drop("started_at", "finished_at")
+
+
+def rejected_rows(spark, sf):
+    """What the loads refused, by the date in the kept text."""
+    return _audited_loads(spark, sf).read("rejected").withColumn(
+        "date", F.to_date(F.get_json_object("raw", "$.date"))).drop("raw")
+
+
+def damaged_files(spark, sf):
+    """The log of a load from Parquet files, of which one ticker's is cut short."""
+    landing = scratch_path(spark, "landing")
+    bars = src.bars(spark, sf).select(*BAR_COLS).where(F.col("date") >= F.lit(INCOMING_FROM))
+    bars.repartition("ticker").write.partitionBy("ticker").parquet(landing)
+    L.plant_damaged_file(spark, f"{landing}/ticker={BAD_TICKER}")
+    batch = L.read_landing(spark, landing, "parquet", L.BARS).withColumn("ingest_seq", F.lit(1))
+    store = _store(spark, "damaged")
+    G.run_load(store, G.PRICES, batch, SETTINGS, "20010802_000000", incremental=False)
+    return store.read("ingestion_log").drop("started_at", "finished_at")
+
+
+def _daily_run(spark, sf, bars: DataFrame) -> Store:
+    """Load, check, build. The store is returned whether or not the check stopped the build."""
+    store = _store(spark, "daily")
+    ready = lambda rows: rows.withColumn("ingest_seq", F.lit(1)).withColumn("_bad", F.lit(""))
+    try:
+        G.daily_run(store, ready(bars.select(*BAR_COLS)), ready(src.macro(spark, sf)),
+                    DAILY, "20010802_000000")
+    except Q.QualityError:
+        pass
+    return store
+
+
+def daily_run(spark, sf):
+    """The features that a daily run without findings has built."""
+    return rounded(_daily_run(spark, sf, src.bars(spark, sf)).read("features").drop("computed_at"))
+
+
+def daily_run_stopped(spark, sf):
+    """The report of a daily run in which one ticker ends too early, and how many features it built."""
+    bars = src.bars(spark, sf).where((F.col("ticker") != STALE_TICKER) | (F.col("date") <= F.lit(STALE_AFTER)))
+    store = _daily_run(spark, sf, bars)
+    return store.read("quality_report").crossJoin(
+        store.read("features").agg(F.count(F.lit(1)).alias("feature_rows")))
 
 
 def table_schemas(spark, sf):
     """Create the base tables, fill two of them, and report every column as stored: its
-    type, whether it may be NULL, its NULLs, and the table's rows and repeated keys."""
+    type in the files, whether the table was declared to allow NULLs, its NULLs, and the
+    table's rows and repeated keys."""
     store = _store(spark, "schemas")
     store.create_missing()
     store.append("raw_prices", src.bars(spark, sf))
     store.append("raw_macro", src.macro(spark, sf))
+    store.append("ingestion_log", store.read("ingestion_log"))
     reports = []
     for name, schema in BASE_TABLES.items():
-        stored = store.read(name)
+        stored, types, declared = store.read(name), store.stored_types(name), store.declared(name)
         nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in schema.names]
         distinct_keys = F.lit(0).cast("bigint")
         if name in PRIMARY_KEYS:
@@ -225,8 +280,8 @@ def table_schemas(spark, sf):
             totals = stored.agg(F.count("*").alias("_rows"), *nulls)
         reports.append(totals.select(F.lit(name).alias("table_name"), F.inline(F.array(*(
             F.struct(F.lit(f.name).alias("column_name"),
-                     F.lit(f.dataType.simpleString()).alias("data_type"),
-                     F.lit(f.nullable).alias("nullable"),
+                     F.lit(types[f.name]).alias("data_type"),
+                     F.lit(declared[f.name].nullable).alias("nullable"),
                      F.col(f.name).alias("null_count"),
                      F.col("_rows").alias("row_count"),
                      distinct_keys.alias("repeated_keys"))
@@ -356,7 +411,7 @@ def feature_summary(spark, sf):
 
 def rsi_update_join(spark, sf):
     """Placeholder features updated from a separately computed RSI table."""
-    built = _features(spark, sf).drop("rsi_14")
+    built = materialize(_features(spark, sf), "features").drop("rsi_14")
     w = S.ordered("ticker")
     rsi = S.with_rsi(built.select("ticker", "date", "return_1d"), "return_1d", w)
     update = rsi.select("ticker", "date", "rsi_14").where(F.col("rsi_14").isNotNull())
@@ -505,8 +560,7 @@ def _with_logistic(rows: DataFrame) -> R.Model:
     """A model without a forest, for queries that need only the regression."""
     train = rows.where(R.is_train(SETTINGS))
     scaler = fit_scaler(train, FEATURE_COLS)
-    fitted = fit_logistic(scaler.transform(train), FEATURE_COLS, train.count())
-    return R.Model(scaler, as_expression(fitted, FEATURE_COLS), None, fitted)
+    return R.Model(scaler, fit_logistic(scaler.transform(train), FEATURE_COLS), None)
 
 
 def _fit_logistic(spark, sf):
@@ -516,10 +570,7 @@ def _fit_logistic(spark, sf):
 
 def logistic_fit(spark, sf):
     """Coefficients and intercept by position."""
-    logistic = _fit_logistic(spark, sf)[1].logistic
-    values = [*zip(range(len(logistic.columns)), logistic.columns, logistic.weights),
-              (len(logistic.columns), "intercept", logistic.intercept)]
-    return rounded(spark.createDataFrame(values, "position int, feature string, weight double"))
+    return rounded(_fit_logistic(spark, sf)[1].logistic.to_frame(spark))
 
 
 def feature_weights_query(spark, sf):
@@ -568,7 +619,8 @@ def model_metadata(spark, sf):
     _, rows, model = _trained(spark, sf)
     R.save_model(store, model, SETTINGS)
     R.save_evaluation(store, R.evaluate(rows, model, SETTINGS))
-    return store.read_metadata("evaluated").drop("train_date")
+    return store.read_metadata("evaluated").drop("train_date").withColumn(
+        "feature_cols", F.concat_ws(",", "feature_cols"))
 
 
 def model_roundtrip(spark, sf):
@@ -591,7 +643,9 @@ def model_status(spark, sf):
     _, rows, model = _trained(spark, sf)
     R.save_model(store, model, SETTINGS)
     R.save_evaluation(store, R.evaluate(rows, model, SETTINGS))
-    return V.model_status(store).drop("model_train_date")
+    status = V.model_status(store).drop("model_train_date").withColumn(
+        "feature_cols", F.concat_ws(",", "feature_cols"))
+    return status.select("*", "artifacts_present.*").drop("artifacts_present")
 
 
 def score_latest(spark, sf):
@@ -600,9 +654,17 @@ def score_latest(spark, sf):
     return rounded(V.score_latest(feats, model, SETTINGS, _expected(spark)).drop("model_train_date"))
 
 
+def score_without_model(spark, sf):
+    """Scores asked of a store that holds no artifact."""
+    model = R.load_model(_store(spark, "no_model"))
+    return V.score_latest(_features(spark, sf), model, SETTINGS, _expected(spark))
+
+
 def recent_anomalies(spark, sf):
     feats, _, model = _trained(spark, sf)
-    return V.recent_anomalies(feats, model, SETTINGS, _expected(spark))
+    listed = V.recent_anomalies(feats, model, SETTINGS, _expected(spark))
+    return listed.select("ticker", "window_days", "anomaly_rate", "status",
+                         F.explode_outer("anomalies").alias("a")).select("*", "a.*").drop("a")
 
 
 QUERIES: dict[str, Query] = {
@@ -622,6 +684,10 @@ QUERIES: dict[str, Query] = {
     "streaming_load": streaming_load,
     "load_watermark": load_watermark,
     "ingestion_audit": ingestion_audit,
+    "rejected_rows": rejected_rows,
+    "damaged_files": damaged_files,
+    "daily_run": daily_run,
+    "daily_run_stopped": daily_run_stopped,
     "asof_fedfunds": asof_one("FEDFUNDS"),
     "asof_cpiaucsl": asof_one("CPIAUCSL"),
     "asof_vix": asof_one("VIXCLS"),
@@ -680,5 +746,6 @@ QUERIES: dict[str, Query] = {
     "model_roundtrip": model_roundtrip,
     "model_status": model_status,
     "score_latest": score_latest,
+    "score_without_model": score_without_model,
     "recent_anomalies": recent_anomalies,
 }

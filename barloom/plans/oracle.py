@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..settings import FEATURE_COLS, MACRO_SERIES
-from .catalog import (BAD_DAY, BAD_SERIES, BAD_TICKER, DIGITS, EXISTING_BEFORE, INCOMING_FROM,
+from .catalog import (BAD_DAY, BAD_SERIES, BAD_TICKER, DAILY, DIGITS, EXISTING_BEFORE, INCOMING_FROM,
                       MISSING_TICKER, SETTINGS, STALE_AFTER, STALE_TICKER)
 
 AS_OF, CUTOFF = f"DATE '{SETTINGS.as_of}'", f"DATE '{SETTINGS.cutoff}'"
@@ -127,6 +127,12 @@ def _sql(parts: dict[str, str], body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _materialized(parts: dict[str, str], body: str) -> str:
+    """As `_sql`, with every part computed once."""
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({text})" for name, text in parts.items())
+    return f"WITH {ctes}\n{body}"
+
+
 def _round(*columns: str) -> str:
     return ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in columns)
 
@@ -248,6 +254,202 @@ def _drift_parts() -> dict[str, str]:
     }
 
 
+def _scaled() -> dict[str, str]:
+    """Labelled rows with the scaled inputs as a list x."""
+    moments = ", ".join(
+        f"avg({c}) AS mean_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS sd_{c}"
+        for c in FEATURE_COLS)
+    scaled = ", ".join(f"({c} - mean_{c}) / sd_{c}" for c in FEATURE_COLS)
+    return {**_training(), "moments": f"SELECT {moments} FROM train",
+            "xs": f"SELECT ticker, date, target, [{scaled}] AS x FROM labelled, moments"}
+
+
+def _regression(steps: int = 10) -> dict[str, str]:
+    """Newton steps on the penalized loss, each with one elimination of a 12 x 13 system."""
+    k = len(FEATURE_COLS)
+    dot = "list_dot_product(x, w)"
+    parts = {"tx": f"SELECT list_append(x, 1.0::DOUBLE) AS x, target AS y FROM xs WHERE date < {CUTOFF}",
+             "w_0": f"SELECT [0.0::DOUBLE FOR i IN range({k + 1})] AS w"}
+    for t in range(steps):
+        rows = []
+        for i in range(1, k + 2):
+            own = [f"sum(v * x[{min(i, j)}] * x[{max(i, j)}]){' + 1' if i == j <= k else ''}" for j in range(1, k + 2)]
+            rows.append(f"[{', '.join(own)}, sum(r * x[{i}]){f' - any_value(w[{i}])' if i <= k else ''}]")
+        system = (f"SELECT any_value(w) AS w, [{', '.join(rows)}] AS m FROM ("
+                  f"SELECT x, w, y - p AS r, p * (1 - p) AS v FROM ("
+                  f"SELECT x, y, w, 1 / (1 + exp(-{dot})) AS p FROM tx, w_{t}))")
+        for q in range(1, k + 2):
+            system = (f"SELECT w, [CASE WHEN i = {q} THEN [m[{q}][j] / m[{q}][{q}] FOR j IN range(1, {k + 3})] "
+                      f"ELSE [m[i][j] - m[i][{q}] * m[{q}][j] / m[{q}][{q}] FOR j IN range(1, {k + 3})] END "
+                      f"FOR i IN range(1, {k + 2})] AS m FROM ({system})")
+        parts[f"w_{t + 1}"] = f"SELECT [w[i] + m[i][{k + 2}] FOR i IN range(1, {k + 2})] AS w FROM ({system})"
+    names = ", ".join(f"'{c}'" for c in (*FEATURE_COLS, "intercept"))
+    return {**parts, "weights": f"""
+        SELECT CAST(unnest(range({k + 1})) AS INTEGER) AS position, unnest([{names}]) AS feature,
+               unnest(w) AS weight FROM w_{steps}""",
+            "logit": f"SELECT w FROM w_{steps}"}
+
+
+def _share_sql(*inputs: str) -> str:
+    text = " || ':' || ".join(f"CAST({i} AS VARCHAR)" for i in inputs)
+    return f"(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+def _forest(more: str = "") -> dict[str, str]:
+    """The trees level by level, from the same draws, and the scores of the labelled rows and
+    of what `more` selects."""
+    k, trees, size, seed = len(FEATURE_COLS), SETTINGS.trees, SETTINGS.tree_rows, SETTINGS.seed
+    key = ("ticker", "date")
+    path = ("CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 "
+            "ELSE 2.0 * (ln({n} - 1) + 0.5772156649015329) - 2.0 * ({n} - 1) / {n} END")
+    parts = {
+        "fit": f"SELECT ticker, date, x FROM xs WHERE date < {CUTOFF}",
+        "facts": f"""
+            SELECT n, least({size}, n) AS size, {trees} * least(1.0, 3.0 * least({size}, n) / n) AS offered
+            FROM (SELECT count(*) AS n FROM fit)""",
+        "offers": f"""
+            SELECT ticker, date, x, size, offered, draws,
+                   (CAST(floor({_share_sql(str(seed), "'first'", *key)} * {trees}) AS BIGINT)
+                    + unnest(range(draws))) % {trees} AS tree
+            FROM (SELECT *, CAST(ceil(offered) AS BIGINT) AS draws FROM facts), fit""",
+        "l_0": f"""
+            SELECT tree, CAST(0 AS BIGINT) AS node, x FROM offers
+            WHERE {_share_sql(str(seed), "'offer'", "tree", *key)} < offered / draws
+            QUALIFY row_number() OVER (PARTITION BY tree
+                    ORDER BY {_share_sql(str(seed), "'draw'", "tree", *key)}, ticker, date) <= size"""}
+    low = ", ".join(f"min(x[{i}])" for i in range(1, k + 1))
+    high = ", ".join(f"max(x[{i}])" for i in range(1, k + 1))
+    depth = (size - 1).bit_length()
+    for d in range(depth + 1):
+        can = f"[i FOR i IN range(1, {k + 1}) IF hi[i] > lo[i]]" if d < depth else "CAST([] AS BIGINT[])"
+        parts[f"n_{d}"] = f"""
+            SELECT *, lo[f] + {_share_sql(str(seed), "tree", "node", "'threshold'")} * (hi[f] - lo[f]) AS cut FROM (
+                SELECT *, CASE WHEN n > 1 AND len(can) > 0 THEN can[1 + CAST(floor(
+                       {_share_sql(str(seed), "tree", "node", "'feature'")} * len(can)) AS BIGINT)] END AS f
+                FROM (SELECT *, {can} AS can FROM (
+                    SELECT tree, node, count(*) AS n, [{low}] AS lo, [{high}] AS hi FROM l_{d} GROUP BY 1, 2)))"""
+        parts[f"l_{d + 1}"] = f"""
+            SELECT tree, 2 * node + CASE WHEN x[f] <= cut THEN 1 ELSE 2 END AS node, x
+            FROM l_{d} JOIN n_{d} USING (tree, node) WHERE f IS NOT NULL"""
+    parts["nodes"] = "\nUNION ALL\n".join(f"""
+        SELECT tree, node, f, cut, CASE WHEN f IS NULL THEN {d} + {path.format(n="n")} ELSE 0.0 END AS len
+        FROM n_{d}""" for d in range(depth + 1))
+    parts["asked"] = "SELECT ticker, date, x FROM xs" + (f" UNION ALL ({more})" if more else "")
+    walk = f"SELECT ticker, date, x, tree, CAST(0 AS BIGINT) AS node FROM asked, range({trees}) t(tree)"
+    for d in range(depth):
+        parts[f"walk_{d}"] = walk
+        walk = f"""
+            SELECT ticker, date, x, tree, CASE WHEN f IS NULL THEN node
+                   ELSE 2 * node + CASE WHEN x[f] <= cut THEN 1 ELSE 2 END END AS node
+            FROM walk_{d} JOIN nodes USING (tree, node)"""
+    parts["walked"] = walk
+    parts["scores"] = f"""
+        SELECT ticker, date, pow(2, -total / {trees} / normal) AS score FROM (
+            SELECT ticker, date, list_reduce(list(len ORDER BY tree), lambda a, b: a + b, 0.0::DOUBLE) AS total
+            FROM walked JOIN nodes USING (tree, node) GROUP BY 1, 2),
+            (SELECT {path.format(n="size")} AS normal FROM facts)"""
+    parts["flagged"] = f"""
+        SELECT ticker, date, score, score > (
+            SELECT quantile_cont(score, {1 - SETTINGS.contamination}) FROM scores SEMI JOIN fit USING (ticker, date)) AS odd
+        FROM scores"""
+    return parts
+
+
+def _predicted() -> str:
+    return """
+        SELECT ticker, date, target, p, CAST(p > 0.5 AS INTEGER) AS prediction FROM (
+            SELECT ticker, date, target, 1 / (1 + exp(-list_dot_product(list_append(x, 1.0::DOUBLE), w))) AS p
+            FROM xs, logit)"""
+
+
+def _evaluated() -> dict[str, str]:
+    majority = "SELECT target FROM train GROUP BY 1 ORDER BY count(*) DESC, target LIMIT 1"
+    return {**_scaled(), **_regression(), **_forest(), "predicted": _predicted(), "evaluated": f"""
+        SELECT count(*) AS n_rows, round(avg(CAST(y = p AS INTEGER)), 4) AS lr_accuracy,
+               round(coalesce(sum(y * p) / NULLIF(CAST(sum(p) AS DOUBLE), 0), 0), 4) AS lr_precision,
+               round(coalesce(sum(y * p) / NULLIF(CAST(sum(y) AS DOUBLE), 0), 0), 4) AS lr_recall,
+               round(coalesce(2 * sum(y * p) / NULLIF(CAST(sum(y) + sum(p) AS DOUBLE), 0), 0), 4) AS lr_f1,
+               round(avg(CAST(y = ({majority}) AS INTEGER)), 4) AS baseline_accuracy,
+               round(avg(CAST(odd AS INTEGER)), 4) AS iso_anomaly_rate
+        FROM (SELECT target AS y, prediction AS p, odd FROM predicted JOIN flagged USING (ticker, date)
+              WHERE date >= {CUTOFF})"""}
+
+
+def _model_sql(latest: str) -> dict[str, str]:
+    """SQL of the queries that fit models."""
+    names = f"'{','.join(FEATURE_COLS)}'"
+    regression = {**_scaled(), **_regression()}
+    forest = {**_scaled(), **_forest()}
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLS)
+    scaled = ", ".join(f"({c} - mean_{c}) / sd_{c}" for c in FEATURE_COLS)
+    recent = {"recent": f"""
+        SELECT ticker, date, {complete} AS whole, CASE WHEN {complete} THEN [{scaled}] END AS x
+        FROM features, moments
+        QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= {SETTINGS.recent_rows}"""}
+    metadata = f"""
+        SELECT '{SETTINGS.cutoff}' AS train_cutoff_date, {names} AS feature_cols,
+               (SELECT count(*) FROM train) AS n_train_rows, n_rows AS n_test_rows, lr_accuracy, lr_precision,
+               lr_recall, lr_f1, baseline_accuracy, iso_anomaly_rate,
+               CAST((SELECT avg(target) > 0.5 FROM train) AS INTEGER) AS majority_class
+        FROM evaluated"""
+    both = _materialized({**_scaled(), **_regression(), **_forest(), "predicted": _predicted()}, f"""
+        SELECT ticker, date, {_round("probability_fitted", "score_fitted")},
+               round(probability_fitted, {DIGITS}) AS probability_loaded, round(score_fitted, {DIGITS}) AS score_loaded
+        FROM (SELECT ticker, date, p AS probability_fitted, score AS score_fitted
+              FROM predicted JOIN flagged USING (ticker, date) WHERE date >= {CUTOFF})""")
+    return {
+        "logistic_fit": _materialized(regression, f"SELECT position, feature, {_round('weight')} FROM weights"),
+        "feature_weights": _materialized(
+            regression, f"SELECT feature, {_round('weight')} FROM weights WHERE feature <> 'intercept'"),
+        "logistic_predictions": _materialized({**regression, "predicted": _predicted()}, f"""
+            SELECT ticker, date, target, round(p, {DIGITS}) AS probability_up, prediction
+            FROM predicted WHERE date >= {CUTOFF}"""),
+        "score_latest": _materialized({**regression, **_named("expected"), "newest": latest, "asked": f"""
+            SELECT e.ticker, f.date, n.stale, f.date IS NOT NULL AND {complete} AS whole,
+                   CASE WHEN {complete} THEN 1 / (1 + exp(-list_dot_product([{scaled}, 1.0], w))) END AS p
+            FROM expected e LEFT JOIN (SELECT ticker, date, stale FROM newest) n ON n.ticker = e.ticker
+            LEFT JOIN features f ON f.ticker = n.ticker AND f.date = n.date, moments, logit"""}, f"""
+            SELECT ticker, CASE WHEN whole THEN CASE WHEN p >= 0.5 THEN 'up' ELSE 'down' END END AS prediction,
+                   CASE WHEN whole THEN round(p, {DIGITS}) END AS probability_up,
+                   strftime(date, '%Y-%m-%d') AS last_feature_date,
+                   CASE WHEN stale THEN 'stale' WHEN date IS NOT NULL THEN 'ok' END AS feature_freshness,
+                   CASE WHEN date IS NULL THEN 'not_found' WHEN NOT whole THEN 'incomplete_features'
+                        ELSE 'ok' END AS status
+            FROM asked"""),
+        "iforest_fit": _materialized(forest, f"""
+            SELECT CAST(tree AS INTEGER) AS tree_id, CAST(node AS INTEGER) AS node_id,
+                   CAST(coalesce(f - 1, -1) AS INTEGER) AS feature, round(coalesce(cut, 0.0), {DIGITS}) AS threshold,
+                   CAST(CASE WHEN f IS NULL THEN -1 ELSE 2 * node + 1 END AS INTEGER) AS left_id,
+                   CAST(CASE WHEN f IS NULL THEN -1 ELSE 2 * node + 2 END AS INTEGER) AS right_id,
+                   round(len, {DIGITS}) AS path_length FROM nodes"""),
+        "anomaly_scores": _materialized(forest, f"""
+            SELECT ticker, date, CASE WHEN date < {CUTOFF} THEN 'train' ELSE 'test' END AS split,
+                   round(score, {DIGITS}) AS anomaly_score, odd AS is_anomaly FROM flagged"""),
+        "anomaly_sample": _materialized(forest, f"""
+            SELECT ticker, date FROM flagged WHERE odd AND date >= {CUTOFF} ORDER BY ticker, date LIMIT 10"""),
+        "model_evaluation": _materialized(_evaluated(), "SELECT * FROM evaluated"),
+        "model_metadata": _materialized(_evaluated(), metadata),
+        "model_roundtrip": both,
+        "model_status": _materialized(_evaluated(), f"""
+            SELECT 'ok' AS status, '{SETTINGS.cutoff}' AS train_cutoff_date, lr_accuracy, lr_f1, baseline_accuracy,
+                   iso_anomaly_rate, {names} AS feature_cols,
+                   true AS logistic_regression, true AS isolation_forest, true AS scaler
+            FROM evaluated"""),
+        "recent_anomalies": _materialized({
+            **_scaled(), **recent,
+            **_forest("SELECT ticker, date, x FROM recent ANTI JOIN xs USING (ticker, date) WHERE whole"),
+            **_named("expected"), "listed": """
+                SELECT ticker, date, odd, round(avg(CAST(odd AS DOUBLE)) OVER (PARTITION BY ticker), 4) AS rate,
+                       bool_and(whole) OVER (PARTITION BY ticker) AS whole
+                FROM recent LEFT JOIN flagged USING (ticker, date)"""}, f"""
+            SELECT e.ticker, {SETTINGS.recent_rows} AS window_days, rate AS anomaly_rate,
+                   strftime(date, '%Y-%m-%d') AS date, odd AS is_anomaly,
+                   CASE WHEN date IS NULL THEN 'not_found' WHEN NOT whole THEN 'incomplete_features'
+                        ELSE 'ok' END AS status
+            FROM expected e LEFT JOIN listed USING (ticker)"""),
+    }
+
+
 def _window_sql(name: str) -> str:
     column = name if name == "target" else _round(name)
     return _sql({**_named("bars"), **_windows("bars")}, f"SELECT ticker, date, {column} FROM rolled")
@@ -329,6 +531,36 @@ def oracle_sql() -> dict[str, str]:
                 FROM expected e LEFT JOIN bars b ON b.ticker = e.ticker AND b.date < {OLD_END}
                 GROUP BY e.ticker)"""),
         "ingestion_audit": _audit_sql(),
+        "rejected_rows": _sql(_named("bars", "macro"), f"""
+            SELECT 'raw_prices' AS table_name, '20010802_000000' AS run_id, ticker AS entity,
+                   'volume' AS reason, date
+            FROM bars WHERE ticker = '{BAD_TICKER}' AND day(date) = {BAD_DAY} AND date >= {NEW_START}
+            UNION ALL
+            SELECT 'raw_macro', '20010802_000000', series_id, 'value', date
+            FROM macro WHERE series_id = '{BAD_SERIES}' AND day(date) = {BAD_DAY} AND date >= {NEW_START}"""),
+        "damaged_files": _sql(_named("bars"), f"""
+            SELECT '20010802_000000' AS run_id, 'yfinance' AS source, t.ticker,
+                   CAST(count(b.date) AS INTEGER) AS rows_loaded,
+                   CASE WHEN t.ticker = '{BAD_TICKER}' THEN 'failed' ELSE 'success' END AS status,
+                   CASE WHEN t.ticker = '{BAD_TICKER}' THEN '1 row(s) could not be parsed' END AS error_msg
+            FROM (VALUES {TICKERS}) t(ticker) LEFT JOIN bars b
+              ON b.ticker = t.ticker AND b.date >= {NEW_START} AND t.ticker <> '{BAD_TICKER}'
+            GROUP BY t.ticker"""),
+        "daily_run": _sql(_features(), feature_rows),
+        "daily_run_stopped": _sql(_named("bars"), f"""
+            SELECT '20010802_000000' AS run_id, ticker, CAST(1 AS BIGINT) AS findings,
+                   'Ticker ' || ticker || ' data is stale: latest date is ' || strftime(max(date), '%Y-%m-%d')
+                   || ' (' || date_diff('day', max(date), {AS_OF}) || ' days ago)' AS message,
+                   CAST(0 AS BIGINT) AS feature_rows
+            FROM bars WHERE ticker <> '{STALE_TICKER}' OR date <= DATE '{STALE_AFTER}'
+            GROUP BY ticker HAVING date_diff('day', max(date), {AS_OF}) > {DAILY.load_stale_days}"""),
+        "score_without_model": _sql({**_features(), **_named("expected"), "newest": latest}, """
+            SELECT e.ticker, CAST(NULL AS VARCHAR) AS prediction, CAST(NULL AS DOUBLE) AS probability_up,
+                   strftime(n.date, '%Y-%m-%d') AS last_feature_date,
+                   CAST(NULL AS VARCHAR) AS model_train_date,
+                   CASE WHEN n.stale THEN 'stale' WHEN n.date IS NOT NULL THEN 'ok' END AS feature_freshness,
+                   CASE WHEN n.date IS NULL THEN 'not_found' ELSE 'model_unavailable' END AS status
+            FROM expected e LEFT JOIN newest n USING (ticker)"""),
         "asof_chain": _asof_sql(list(MACRO_SERIES)),
         "asof_far_date": _asof_sql(list(MACRO_SERIES)),
         "asof_nulls": _sql({
@@ -436,4 +668,4 @@ def oracle_sql() -> dict[str, str]:
     for name in ("return_1d", "ma_5", "ma_20", "ma_50", "volatility_20", "volume_zscore"):
         out[name] = _window_sql(name)
     out["target_label"] = _window_sql("target")
-    return out
+    return out | _model_sql(latest)

@@ -6,13 +6,12 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.distribution import exact_quantile
 from ..operators.iforest import ForestScorer, fit_forest
-from ..operators.logistic import Logistic, as_expression, fit_logistic, predicted_class
+from ..operators.logistic import Logistic, fit_logistic, predicted_class
 from ..operators.metrics import evaluation_record
 from ..operators.scaler import Scaler, scaler_aggregates
 from ..session import materialize
@@ -54,7 +53,6 @@ class Model:
     scaler: Scaler | None
     logistic: Logistic | None
     forest: Forest | None
-    fitted: LogisticRegressionModel | None = None
     train_date: str | None = None
     n_train: int = 0
     n_test: int = 0
@@ -80,9 +78,9 @@ def train(rows: DataFrame, settings: Settings) -> Model:
                     tuple(facts[f"sd_{c}"] or 1.0 for c in FEATURE_COLS))
     scaled = scaler.transform(rows.where(mine))
 
-    fitted = fit_logistic(scaled, FEATURE_COLS, n)
+    logistic = fit_logistic(scaled, FEATURE_COLS)
     forest = train_forest(scaled, n, settings)
-    return Model(scaler, as_expression(fitted, FEATURE_COLS), forest, fitted,
+    return Model(scaler, logistic, forest,
                  datetime.now(timezone.utc).isoformat(), n, facts["n_test"],
                  int(2 * facts["ones"] > n))
 
@@ -133,7 +131,7 @@ def anomaly_sample(scored: DataFrame, n: int = 10) -> DataFrame:
 def save_model(store: Store, model: Model, settings: Settings) -> None:
     spark = store.spark
     model.scaler.to_frame(spark).coalesce(1).write.mode("overwrite").json(store.path("scaler"))
-    model.fitted.write().overwrite().save(store.path("logistic"))
+    model.logistic.to_frame(spark).coalesce(1).write.mode("overwrite").json(store.path("logistic"))
     model.forest.nodes.write.mode("overwrite").parquet(store.path("forest/nodes"))
     spark.createDataFrame(
         [(model.forest.train_rows, model.forest.tree_rows, model.forest.threshold)],
@@ -176,11 +174,8 @@ def load_model(store: Store) -> Model:
     spark: SparkSession = store.spark
     scaler = _present(lambda: Scaler.from_frame(spark.read.schema(
         "position int, feature string, mean double, sd double").json(store.path("scaler"))))
-    # The model reader fails in its own way without a folder, so its metadata file is
-    # looked for first.
-    fitted = _present(lambda: spark.read.text(store.path("logistic/metadata")))
-    if fitted is not None:
-        fitted = LogisticRegressionModel.load(store.path("logistic"))
+    logistic = _present(lambda: Logistic.from_frame(spark.read.schema(
+        "position int, feature string, weight double").json(store.path("logistic"))))
     params = _present(lambda: spark.read.schema(
         "train_rows long, tree_rows int, threshold double").json(store.path("forest/params")).first())
     nodes = _present(lambda: spark.read.parquet(store.path("forest/nodes")))
@@ -189,6 +184,5 @@ def load_model(store: Store) -> Model:
         forest = Forest(nodes, params.train_rows, params.tree_rows, params.threshold)
     meta = load_metadata(store)
     return Model(
-        scaler, as_expression(fitted, FEATURE_COLS) if fitted is not None else None, forest, fitted,
-        meta.train_date if meta else None, meta.n_train_rows if meta else 0,
+        scaler, logistic, forest, meta.train_date if meta else None, meta.n_train_rows if meta else 0,
         meta.n_test_rows if meta else 0, meta.majority_class if meta else None)

@@ -46,8 +46,22 @@ METADATA = _schema(
     ("majority_class", _I, True),
 )
 
+REJECTED = _schema(
+    ("table_name", _S, False), ("run_id", _S, False),
+    ("entity", _S, True), ("reason", _S, False), ("raw", _S, True),
+)
+
+# The newest stored date of every key, brought up to date by each commit.
+HIGH_WATER = _schema(("table_name", _S, False), ("key", _S, False), ("newest", _D, False))
+
+QUALITY_REPORT = _schema(
+    ("run_id", _S, False), ("ticker", _S, False), ("findings", _L, False), ("message", _S, False),
+)
+
 PRIMARY_KEYS = {"raw_prices": ("ticker", "date"), "raw_macro": ("series_id", "date")}
 BASE_TABLES = {"raw_prices": RAW_PRICES, "raw_macro": RAW_MACRO, "ingestion_log": INGESTION_LOG}
+TABLES = {**BASE_TABLES, "features": FEATURES, "rejected": REJECTED, "high_water": HIGH_WATER,
+          "quality_report": QUALITY_REPORT}
 
 # Columns of a batch, before the load step stamps ingested_at.
 BAR_COLS = tuple(f.name for f in RAW_PRICES if f.name != "ingested_at")

@@ -6,6 +6,8 @@ series then holds at most one row per calendar day, however many source rows it
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,17 +20,27 @@ def _lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None) -> DataFra
     return table(spark, sf_dir, "lineitem") if lines is None else lines
 
 
-def bars(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None,
+         start: date | None = None, end: date | None = None) -> DataFrame:
     """Daily bars, one ticker per order priority; the price is the day's last order.
 
     Lineitem is reduced to one row per order first, so the order join is one-to-one and
-    the join reuses the aggregate's partitioning.
+    the join reuses the aggregate's partitioning. Bounds (start <= date < end) are put on the
+    order's own timestamp, where the file scan can use them; a date made of it cannot be
+    pushed down. Spark adds its runtime Bloom filter of the kept orders to the scan of
+    lineitem when that is large.
     """
     quantity = (
         _lines(spark, sf_dir, lines)
         .groupBy("l_orderkey").agg(F.expr("CAST(sum(l_quantity) AS BIGINT) AS quantity"))
     )
-    orders = table(spark, sf_dir, "orders").selectExpr(
+    orders = table(spark, sf_dir, "orders")
+    moment = orders.schema["o_orderdate"].dataType
+    if start is not None:
+        orders = orders.where(F.col("o_orderdate") >= F.lit(str(start)).cast(moment))
+    if end is not None:
+        orders = orders.where(F.col("o_orderdate") < F.lit(str(end)).cast(moment))
+    orders = orders.selectExpr(
         "o_orderkey", "o_orderpriority AS ticker", "to_date(o_orderdate) AS date", "o_totalprice")
     return (
         orders.join(quantity, F.expr("o_orderkey = l_orderkey"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ MACRO = T.StructType([RAW_MACRO[c] for c in MACRO_COLS])
 TEXT_FORMATS = ("csv", "json")
 CORRUPT = "_corrupt"
 UNREADABLE = "unreadable line"
+DAMAGED = "unreadable file"
 
 
 def as_text(names: Sequence[str]) -> T.StructType:
@@ -65,24 +68,89 @@ def read_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
                  **options: str) -> DataFrame:
     """Read a folder in the table's schema plus `_bad` (empty where the row parsed) and `_raw`.
 
-    A `ticker=X/` folder level supplies the key column of files that lack it.
+    A `ticker=X/` folder level supplies the key column of files that lack it. A Parquet file
+    whose footer cannot be read makes one row of the entity its folder names, with the
+    file's path in `_raw`; without such a folder the entity is NULL. Files without a byte
+    are passed over, as Spark does.
     """
-    return _read(spark, spark.read, path, fmt, schema, options)
+    if fmt in TEXT_FORMATS:
+        return _parsed(_text_source(spark, spark.read, path, fmt, schema, options), schema)
+    if fmt != "parquet":
+        return _typed(spark.read.format(fmt).options(**options).schema(schema).load(path), schema)
+    damaged = [r["path"] for r in damaged_files(spark, path, schema).collect()]
+    reader = spark.read.schema(schema).options(**options)
+    if not damaged:
+        return _typed(reader.parquet(path), schema)
+    every = _files(spark, path).select("path").where(~F.col("path").isin(damaged)).collect()
+    good = (_typed(reader.option("basePath", path).parquet(*[r["path"] for r in every]), schema) if every
+            else _typed(spark.createDataFrame([], schema), schema))
+    key = schema.names[0]
+    folder = F.regexp_extract("path", f"/{key}=([^/]+)/", 1)
+    named = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    rows = spark.createDataFrame([(p,) for p in damaged], "path string")
+    return good.unionByName(rows.select(
+        F.when(folder != "", named).alias(key),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != key],
+        F.lit(DAMAGED).alias("_bad"), F.col("path").alias("_raw")))
 
 
 def stream_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
                    **options: str) -> DataFrame:
-    """`read_landing` as a stream of newly arrived files."""
-    return _read(spark, spark.readStream, path, fmt, schema, options)
+    """`read_landing` as a stream of newly arrived files; a damaged Parquet file stops it."""
+    if fmt in TEXT_FORMATS:
+        return _parsed(_text_source(spark, spark.readStream, path, fmt, schema, options), schema)
+    return _typed(spark.readStream.format(fmt).options(**options).schema(schema).load(path), schema)
 
 
-def _read(spark: SparkSession, reader, path: str, fmt: str, schema: T.StructType,
-          options: dict[str, str]) -> DataFrame:
-    if fmt in TEXT_FORMATS:
-        raw = _text_source(spark, reader, path, fmt, schema, options)
-        return parse_text(raw, schema).select(*schema.names, "_bad", "_raw")
-    return reader.format(fmt).options(**options).schema(schema).load(path).select(
-        *schema.names, F.lit("").alias("_bad"), F.lit(None).cast("string").alias("_raw"))
+def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    return parse_text(raw, schema).select(*schema.names, "_bad", "_raw")
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*schema.names, F.lit("").alias("_bad"), F.lit(None).cast("string").alias("_raw"))
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, file) of every file below a folder; the contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", F.col("_metadata.file_path").alias("file")))
+
+
+def damaged_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(path) of the Parquet files whose footer cannot be read.
+
+    A scan without columns opens the footers in tasks and counts the rows of each file.
+    Files that gave none are empty or damaged; only these are read, to tell which.
+    """
+    opened = (spark.read.schema(schema).option("recursiveFileLookup", "true")
+              .option("ignoreCorruptFiles", "true").parquet(path)
+              .select(F.col("_metadata.file_path").alias("file")).groupBy("file").count())
+    silent = [r["path"] for r in _files(spark, path).join(opened, "file", "left_anti").collect()]
+    if not silent:
+        return spark.createDataFrame([], "path string")
+
+    def without_footer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = []
+            for name, content in zip(*(batch.column(c).to_pylist() for c in ("path", "content"))):
+                try:
+                    pq.read_metadata(pa.BufferReader(content))
+                except (pa.ArrowException, OSError):
+                    bad.append(name)
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["path"])
+
+    contents = spark.read.format("binaryFile").load(silent).select("path", "content")
+    return contents.mapInArrow(without_footer, "path string")
+
+
+def plant_damaged_file(spark: SparkSession, folder: str) -> None:
+    """Put a copy of the folder's first Parquet file there that lacks its end; for trials."""
+    first = spark.read.format("binaryFile").load(folder).select("path", "content").orderBy("path").first()
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder, "cut.parquet")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    out.write(first["content"][:len(first["content"]) // 2])
+    out.close()
 
 
 def select_bars(bars: DataFrame, tickers: Sequence[str], start: date | None = None,

@@ -1,5 +1,6 @@
 """Loads, audit, quality checks, landing folders and stored tables."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -11,9 +12,10 @@ from barloom.operators import quality as Q
 from barloom.operators.audit import LoadError
 from barloom.plans import ingest as G
 from barloom.schemas import BAR_COLS, BASE_TABLES, FEATURES
-from barloom.settings import Settings, parse_list
+from barloom.settings import MACRO_SERIES, Settings, parse_list
 from barloom.sources import landing as L
-from barloom.sources.store import Store
+from barloom.sources.commits import CommitConflict
+from barloom.sources.store import Commit, ConstraintError, Store
 from barloom.streaming.arrivals import load_arrivals
 
 SETTINGS = Settings(as_of=date(2021, 1, 31), cutoff=date(2020, 6, 1), tickers=("A", "B", "C"))
@@ -80,7 +82,7 @@ def test_load_twice_equals_load_once(spark, store):
 def test_watermark_and_its_fallback(spark, store):
     store.create_missing()
     store.append("raw_prices", batch(spark, bar("A", date(2021, 1, 4), 1.0)))
-    got = rows(I.load_watermark(store.read("raw_prices"),
+    got = rows(I.load_watermark(store.high_water("raw_prices"),
                                 G.entity_frame(spark, "ticker", ["A", "B"]), "ticker",
                                 SETTINGS.as_of, 5))
     first = date(2016, 2, 2)      # 1,825 days before 31 January 2021
@@ -161,7 +163,7 @@ def test_lines_that_are_no_record_are_reported(spark, store, tmp_path):
     assert stored(store) == []
     log = {r.ticker: r for r in store.read("ingestion_log").collect()}
     assert log["A"].status == "failed"
-    kept = spark.read.parquet(store.path("rejected")).collect()
+    kept = store.read("rejected").collect()
     assert [(r.entity, r.reason, r.raw) for r in kept] == [
         ("A", L.UNREADABLE, '{"date":"2021-01-05","adj_close": 1.')]
 
@@ -186,7 +188,7 @@ def test_every_row_is_accounted_for(spark, store):
         assert stored(one) == [("B", d, 1.0)]
         log = {r.ticker: (r.rows_loaded, r.status) for r in one.read("ingestion_log").collect()}
         assert log == {"A": (0, "failed"), "B": (1, "success"), "C": (0, "success"), "(unknown)": (0, "failed")}
-        reasons = spark.read.parquet(one.path("rejected")).select("entity", "reason")
+        reasons = one.read("rejected").select("entity", "reason")
         assert rows(reasons) == [(None, "not configured"), ("A", "no date"), ("Z", "not configured")]
 
 
@@ -213,6 +215,163 @@ def test_stream_recovers_rows_of_a_failed_entity(spark, store, tmp_path):
     assert stored(store) == [("A", date(2021, 1, 4), 1.5), ("A", date(2021, 1, 5), 1.5)]
 
 
+def everything(store):
+    """The visible rows of every table that a load writes, without the times."""
+    return {name: rows(store.read(name).drop("ingested_at", "started_at", "finished_at"))
+            for name in ("raw_prices", "ingestion_log", "rejected", "high_water")}
+
+
+@pytest.mark.parametrize("table", ["rejected", "raw_prices", "high_water", "ingestion_log"])
+def test_a_load_that_breaks_off_leaves_nothing_and_can_run_again(spark, tmp_path, monkeypatch, table):
+    d = date(2021, 1, 4)
+    first, second = (batch(spark, bar("A", d, 1.0), bar("Z", d, 1.0)),
+                     batch(spark, bar("A", d, 5.0), bar("B", d, 2.0), bar("B", None, 2.0), bar("C", d, 3.0)))
+    smooth, broken = Store(spark, str(tmp_path / "smooth")), Store(spark, str(tmp_path / "broken"))
+    for store in (smooth, broken):
+        G.run_load(store, G.PRICES, first, SETTINGS, "r1", False)
+    G.run_load(smooth, G.PRICES, second, SETTINGS, "r2", False)
+
+    before, files = everything(broken), sorted(p.name for p in (tmp_path / "broken" / table).iterdir())
+    add = Commit.add
+
+    def breaks(self, name, *args, **kwargs):
+        out = add(self, name, *args, **kwargs)
+        if name == table:
+            raise OSError("lost")
+        return out
+    with monkeypatch.context() as patched:
+        patched.setattr(Commit, "add", breaks)
+        with pytest.raises(OSError):
+            G.run_load(broken, G.PRICES, second, SETTINGS, "r2", False)
+    assert everything(broken) == before
+    assert sorted(p.name for p in (tmp_path / "broken" / table).iterdir()) == files
+    G.run_load(broken, G.PRICES, second, SETTINGS, "r2", False)
+    assert everything(broken) == everything(smooth)
+
+
+def test_of_two_writers_the_second_fails(spark, store):
+    store.append("raw_prices", batch(spark, bar("A", date(2021, 1, 4), 1.0)))
+    slow = store.begin()
+    slow.add("raw_prices", batch(spark, bar("B", date(2021, 1, 4), 2.0)))
+    store.append("raw_prices", batch(spark, bar("B", date(2021, 1, 4), 3.0)))
+    with pytest.raises(CommitConflict):
+        slow.publish()
+    assert stored(store) == [("A", date(2021, 1, 4), 1.0), ("B", date(2021, 1, 4), 3.0)]
+    with pytest.raises(CommitConflict, match="committed already"):
+        with store.begin("r1"):
+            pass
+        store.begin("r1")
+
+
+@pytest.mark.parametrize("items, message", [
+    ([bar("A", date(2021, 1, 5), None)], "NULL in adj_close"),
+    ([bar(None, date(2021, 1, 5), 1.0)], "NULL in ticker"),
+    ([bar("B", date(2021, 1, 5), 1.0), bar("B", date(2021, 1, 5), 2.0)], "repeated"),
+    ([bar("A", date(2021, 1, 4), 9.0), bar("C", date(2021, 1, 4), 9.0)], "stored already")])
+def test_the_sink_refuses_broken_constraints(spark, store, items, message):
+    store.append("raw_prices", batch(spark, bar("A", date(2021, 1, 4), 1.0)))
+    with pytest.raises(ConstraintError, match=message):
+        store.append("raw_prices", batch(spark, *items))
+    assert stored(store) == [("A", date(2021, 1, 4), 1.0)]
+    assert rows(store.high_water("raw_prices")) == [("A", date(2021, 1, 4))]
+
+
+def test_a_count_beyond_the_log_column_fails(spark, store):
+    long = spark.createDataFrame([("r", "s", "A", 2 ** 31, "success", None)],
+                                 "run_id string, source string, ticker string, rows_loaded long, status string, "
+                                 "error_msg string").withColumns({"started_at": F.current_timestamp(),
+                                                                  "finished_at": F.current_timestamp()})
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        store.append("ingestion_log", long)
+    assert store.read("ingestion_log").count() == 0
+
+
+def test_the_watermark_does_not_read_the_table(spark, store):
+    G.run_load(store, G.PRICES, batch(spark, bar("A", date(2021, 1, 4), 1.0)), SETTINGS, "r1")
+    marks = I.load_watermark(store.high_water("raw_prices"), G.entity_frame(spark, "ticker", ["A"]),
+                             "ticker", SETTINGS.as_of, 5)
+    files = marks.inputFiles()
+    assert files and all("/high_water/" in f for f in files)
+
+
+def test_marks_of_every_table_are_kept(spark, store):
+    G.run_load(store, G.PRICES, batch(spark, bar("A", date(2021, 1, 4), 1.0), bar("B", date(2021, 1, 6), 1.0)),
+               SETTINGS, "r1", False)
+    G.run_load(store, G.MACRO, macro_batch(spark, ("FEDFUNDS", date(2021, 1, 1), 1.0, 1, "")), SETTINGS, "r1", False)
+    G.run_load(store, G.PRICES, batch(spark, bar("A", date(2021, 1, 8), 1.0), bar("B", date(2021, 1, 2), 1.0)),
+               SETTINGS, "r2", False)
+    assert rows(store.read("high_water")) == [
+        ("raw_macro", "FEDFUNDS", date(2021, 1, 1)), ("raw_prices", "A", date(2021, 1, 8)),
+        ("raw_prices", "B", date(2021, 1, 6))]
+
+
+def test_a_rebuild_that_fails_leaves_the_old_table(spark, store, sf_dir):
+    from barloom.plans import catalog
+    built = catalog._features(spark, sf_dir).where("ticker = '5-LOW'")
+    store.replace_features(built)
+    was = built.count()
+    broken = built.withColumn("ma_5", F.raise_error(F.lit("half-way")).cast("double"))
+    with pytest.raises(Exception, match="half-way"):
+        store.replace_features(broken)
+    assert store.read("features").count() == was
+    old = store.read("features")
+    store.replace_features(built.limit(7))
+    assert store.read("features").count() == 7 and old.count() == was       # a reader under way
+    gone = store.sweep(older_than_hours=0)
+    assert any(g.startswith("features/") for g in gone) and store.read("features").count() == 7
+
+
+def test_folders_of_a_table_are_compacted(spark, store):
+    for d in (4, 5, 6):
+        store.append("raw_prices", batch(spark, bar("A", date(2021, 1, d), float(d))))
+    was = rows(store.read("raw_prices"))
+    store.compact("raw_prices")
+    assert rows(store.read("raw_prices")) == was and len(store.log.latest().tables["raw_prices"]) == 1
+    assert rows(store.high_water("raw_prices")) == [("A", date(2021, 1, 6))]
+
+
+def test_a_damaged_parquet_file_fails_its_entity(spark, store, tmp_path):
+    landing = str(tmp_path / "in")
+    d = date(2021, 1, 4)
+    items = batch(spark, bar("A", d, 1.0), bar("B", d, 2.0), bar("C", d, 3.0)).select(*BAR_COLS)
+    items.write.partitionBy("ticker").parquet(landing)
+    items.where("false").drop("ticker").write.mode("append").parquet(f"{landing}/ticker=A")    # empty, but sound
+    assert L.read_landing(spark, landing, "parquet", L.BARS).where("_bad <> ''").count() == 0
+    L.plant_damaged_file(spark, f"{landing}/ticker=B")
+    (tmp_path / "in" / "ticker=D+E%3A").mkdir()
+    (tmp_path / "in" / "ticker=D+E%3A" / "x.parquet").write_bytes(b"no parquet")
+    got = L.read_landing(spark, landing, "parquet", L.BARS)
+    assert rows(got.select("ticker", "adj_close", "_bad")) == [
+        ("A", 1.0, ""), ("B", None, L.DAMAGED), ("B", 2.0, ""), ("C", 3.0, ""), ("D+E:", None, L.DAMAGED)]
+    G.run_load(store, G.PRICES, got.withColumn("ingest_seq", F.lit(1)), SETTINGS, "r1", False)
+    assert stored(store) == [("A", d, 1.0), ("C", d, 3.0)]
+    log = {r.ticker: r.status for r in store.read("ingestion_log").collect()}
+    assert log == {"A": "success", "B": "failed", "C": "success", "(unknown)": "failed"}
+    assert "cut.parquet" in store.read("rejected").where("entity = 'B'").first().raw
+
+
+def test_only_damaged_files(spark, tmp_path):
+    folder = tmp_path / "in" / "ticker=A"
+    folder.mkdir(parents=True)
+    (folder / "x.parquet").write_bytes(b"PAR1")
+    got = L.read_landing(spark, str(tmp_path / "in"), "parquet", L.BARS)
+    assert rows(got.select("ticker", "date", "_bad")) == [("A", None, L.DAMAGED)]
+
+
+def test_the_gate_stops_between_load_and_build(spark, store):
+    days = [date(2021, 1, d) for d in range(1, 31)]
+    macro = macro_batch(spark, *[(s, date(2020, 12, 1), 1.0, 1, "") for s in MACRO_SERIES])
+    settings = replace(SETTINGS, tickers=("A", "B"))
+    old = batch(spark, *[bar("A", d, 1.0 + d.day) for d in days], bar("B", days[0], 1.0))
+    with pytest.raises(Q.QualityError):
+        G.daily_run(store, old, macro, settings, "r1")
+    assert rows(store.read("quality_report").select("run_id", "ticker")) == [("r1", "B")]
+    assert store.read("features").count() == 0 and store.read("raw_prices").count() == 31
+    more = batch(spark, *[bar("B", d, 1.0) for d in days[1:]])
+    assert G.daily_run(store, more, macro, settings, "r2").count() == 60
+    assert rows(store.read("quality_report").select("run_id", "ticker")) == [("r1", "B")]
+
+
 def test_quality_report_and_error(spark):
     bars = spark.createDataFrame(
         [("A", date(2021, 1, 30), 1.0), ("A", date(2021, 1, 29), None),

@@ -15,7 +15,7 @@ from barloom.operators import drift as D
 from barloom.operators import iforest as I
 from barloom.operators import metrics as M
 from barloom.operators.distribution import cumulative_counts, exact_quantile
-from barloom.operators.logistic import as_expression, feature_weights, fit_logistic
+from barloom.operators.logistic import Logistic, feature_weights, fit_logistic
 from barloom.operators.recent import last_rows_per_key, latest_per_key
 from barloom.operators.scaler import Scaler, fit_scaler
 from barloom.plans import scoring as V
@@ -55,30 +55,46 @@ def test_scaler_uses_population_deviation_and_keeps_constants(spark):
 
 def test_regression_reaches_the_optimum(spark):
     df, x, y = feature_rows(spark)
-    model = as_expression(fit_logistic(df, FEATURE_COLS, len(y)), FEATURE_COLS)
+    model = fit_logistic(df, FEATURE_COLS)
     w = np.zeros(x.shape[1] + 1)
     full = np.column_stack([x, np.ones(len(y))])
     keep = np.diag([1.0] * x.shape[1] + [0.0])
     for _ in range(30):
         p = 1 / (1 + np.exp(-full @ w))
         w -= np.linalg.solve(full.T @ (full * (p * (1 - p))[:, None]) + keep, full.T @ (p - y) + keep @ w)
-    np.testing.assert_allclose([*model.weights, model.intercept], w, atol=1e-6)
+    np.testing.assert_allclose([*model.weights, model.intercept], w, atol=1e-9)
+    assert Logistic.from_frame(model.to_frame(spark)) == model
     ranked = [r.feature for r in feature_weights(spark, model).collect()]
     assert ranked[0] == "return_1d" and len(ranked) == len(FEATURE_COLS)
 
 
-def test_expression_equals_the_fitted_model(spark, trained):
+def test_regression_equals_the_library(spark, trained):
     df, model, *_ = trained
+    from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    scaled = model.scaler.transform(df)
+    scaled = model.scaler.transform(df).withColumn("target", F.col("target").cast("double"))
     vectors = VectorAssembler(inputCols=list(FEATURE_COLS), outputCol="features").transform(scaled)
+    train = vectors.where(R.is_train(SETTINGS))
+    library = LogisticRegression(labelCol="target", regParam=1.0 / train.count(), standardization=False,
+                                 maxIter=1000, tol=1e-12).fit(train)
     ours = R.with_prediction(df, model).select("date", "probability_up", F.col("prediction").alias("ours"))
-    theirs = model.fitted.transform(vectors).select(
+    theirs = library.transform(vectors).select(
         "date", vector_to_array("probability")[1].alias("p"), "prediction")
     gap = ours.join(theirs, "date").agg(F.max(F.abs(F.col("p") - F.col("probability_up"))),
                                         F.count_if(F.col("ours") != F.col("prediction"))).first()
-    assert gap[0] < 1e-12 and gap[1] == 0
+    assert gap[0] < 1e-5 and gap[1] == 0
+
+
+def test_regression_on_separable_and_equal_columns(spark):
+    df = spark.createDataFrame([(float(i), float(i), 1e9 * i, int(i > 4)) for i in range(10)],
+                               "a double, b double, c double, y int")
+    model = fit_logistic(df.withColumn("c", F.col("c") / 1e9), ["a", "b", "c"], label="y")
+    assert model.weights[0] == pytest.approx(model.weights[1]) and 0 < model.weights[0] < 10
+    far = fit_logistic(df, ["c"], label="y")
+    assert far.weights[0] > 0 and np.isfinite(far.intercept)
+    with pytest.raises(ValueError):
+        fit_logistic(df.where("false"), ["a"], label="y")
 
 
 def test_facts_of_the_training_run(trained):

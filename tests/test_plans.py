@@ -32,6 +32,14 @@ def test_windows_share_one_exchange(spark, sf_dir):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
 
 
+def test_scan_bounds_reach_the_files(spark, sf_dir):
+    text = catalog.scan_bars(spark, sf_dir)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = [line for line in text.splitlines() if "PushedFilters" in line and "o_orderdate" in line]
+    assert pushed and all("GreaterThanOrEqual(o_orderdate,1998-01-01" in line and "LessThan(o_orderdate," in line
+                          and "In(o_orderpriority" in line for line in pushed)
+
+
 def test_feature_plan(spark, sf_dir):
     text = plan(catalog._features(spark, sf_dir))
     # Keyed by ticker once, for the windows before and after the as-of join alike.
