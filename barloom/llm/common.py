@@ -56,6 +56,32 @@ def fold(doc_id: str | Column, parts: int) -> Column:
                    else doc_id.cast("string")) % parts
 
 
+SIEVE = 1 << 20                   # words of 64 bits
+
+
+def sieved(df: DataFrame, hashed: Column, keys: DataFrame, key_hash: Column, how: str, words: int = SIEVE
+           ) -> DataFrame:
+    """The rows of df whose hash may be among the keys' (how = "maybe"), or is surely not ("never").
+
+    The keys make a Bloom filter of at most `words` words, two bits a key, which is joined to df
+    as a broadcast of that many rows: rows are told apart where they lie, before anything of
+    them is shuffled. What may be among the keys needs an exact join, an inner or outer one,
+    since Spark would move a semi join below the filter.
+    """
+    names = hidden(df, "h", "word", "bits", "held")
+    h, word, bits, held = (names[n] for n in ("h", "word", "bits", "held"))
+
+    def marked(rows: DataFrame, value: Column) -> DataFrame:
+        rows = rows.withColumn(h, value)
+        bit = [F.expr(f"shiftleft(1L, CAST(shiftrightunsigned({h}, {by}) & 63 AS INT))") for by in (40, 50)]
+        return rows.withColumn(word, F.pmod(h, F.lit(words))).withColumn(bits, bit[0].bitwiseOR(bit[1]))
+
+    table = marked(keys, key_hash).groupBy(word).agg(F.bit_or(bits).alias(held))
+    inside = F.coalesce(F.col(held).bitwiseAND(F.col(bits)) == F.col(bits), F.lit(False))
+    joined = marked(df, hashed).join(F.broadcast(table), word, "inner" if how == "maybe" else "left")
+    return joined.where(inside if how == "maybe" else ~inside).select(*[f"`{c}`" for c in df.columns])
+
+
 def hidden(df: DataFrame, *names: str) -> dict[str, str]:
     """Names for working columns that no column of df has, whatever its case."""
     taken = {c.lower() for c in df.columns}

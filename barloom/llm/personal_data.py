@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import hidden
+from .common import hidden, sieved
 
 # The kinds in their order, with their patterns. Possessive repeats and the
 # look-behinds read the same matches in linear time.
@@ -218,15 +218,21 @@ def find_spans(docs: DataFrame, text: str = "text", out: str = "spans",
     places = materialize(accepted_places(occurrences, settings), "places")
     fresh = occurrences.where("NOT seed").join(places, list(_PLACE), "left_semi").groupBy(uid).agg(
         F.collect_set(F.struct("start", "end")).alias(more))
+    fresh = materialize(fresh, "fresh")
     if fresh.isEmpty():
         return base.withColumnRenamed(seeds, out)
-    key = F.concat_ws("-", F.xxhash64(F.col(text)), F.md5(F.col(text)))
-    joined = base.withColumn(uid, key).join(fresh, uid, "left")
+    # Texts without a find stay where they are; the few others meet their finds in a join.
+    first = F.regexp_extract(uid, "^(-?[0-9]+)-", 1).cast("long")
+    h1, plain = F.xxhash64(F.col(text)), docs.drop(out)
+    key = F.concat_ws("-", h1, F.md5(F.col(text)))
+    never = sieved(plain, h1, fresh, first, "never").withColumn(more, F.lit(None).cast(fresh.schema[more].dataType))
+    maybe = sieved(plain, h1, fresh, first, "maybe").withColumn(uid, key).join(fresh, uid, "left").drop(uid)
+    joined = never.unionByName(maybe).withColumn(seeds, seed_spans(F.coalesce(F.col(text), F.lit(""))))
     found = F.transform(F.coalesce(more, F.array().cast("array<struct<start:int,end:int>>")), lambda m: F.struct(
         m["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), m["end"].alias("end"),
         F.lit(FOUND).alias("kind"),
         F.substring(F.col(text), m["start"] + 1, m["end"] - m["start"]).alias("match")))
-    return joined.withColumn(out, F.array_sort(F.concat(seeds, found))).drop(uid, seeds, more)
+    return joined.withColumn(out, F.array_sort(F.concat(seeds, found))).drop(seeds, more)
 
 
 def digest(spans: Column) -> Column:

@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SLICE_BYTES, U64, _stream, byte_codes, encoded, fold, mix, ship, slices, texts_of, word_hashes
+from .common import (SIEVE, SLICE_BYTES, U64, _stream, byte_codes, encoded, fold, mix, ship, sieved, slices,
+                     texts_of, word_hashes)
 
 ORDER = 5
 EDGE = "￿"
@@ -49,7 +50,6 @@ _FACTOR = _stream(61, ORDER) | U64(1)              # of the last character, the
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _GAPS = b" \t\n\x0b\x0c\r"
-SIEVE = 1 << 20                    # words of 64 bits
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -327,21 +327,10 @@ def _joined(rows: DataFrame, tables: Tables) -> DataFrame:
     return grams.join(weights, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("w")).alias("log_p"))
 
 
-def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in ids, without shuffling the texts of the others.
-
-    The ids make a Bloom filter of at most `SIEVE` words, two bits an id, which is joined to the
-    documents as a broadcast of that many rows. What passes it meets the ids in an exact join,
-    an inner one: Spark would move a semi join below the filter. ids holds no id twice.
-    """
-    def marked(df: DataFrame, column: str) -> DataFrame:
-        df = df.withColumn("_h", F.xxhash64(column))
-        bit = [F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(_h, {by}) & 63 AS INT))") for by in (40, 50)]
-        return df.withColumn("_word", F.pmod("_h", F.lit(SIEVE))).withColumn("_bits", bit[0].bitwiseOR(bit[1]))
-
-    words = marked(ids, "id").groupBy("_word").agg(F.bit_or("_bits").alias("_held"))
-    maybe = marked(docs, "doc_id").join(F.broadcast(words), "_word").where(
-        F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits"))
+def chosen(docs: DataFrame, ids: DataFrame, words: int = SIEVE) -> DataFrame:
+    """The rows of docs whose doc_id is in ids, which holds none twice. Texts of the others are
+    not shuffled."""
+    maybe = sieved(docs, F.xxhash64("doc_id"), ids, F.xxhash64("id"), "maybe", words)
     return maybe.join(ids, F.col("doc_id") == F.col("id")).select(*docs.columns)
 
 

@@ -332,11 +332,10 @@ def test_bands_reject_by_language_and_leave_clean_text_alone(spark):
 
 
 @pytest.mark.parametrize("words", [1, 4, 1 << 20])
-def test_chosen_documents_are_exactly_those_named(spark, monkeypatch, words):
-    monkeypatch.setattr(quality_rules, "SIEVE", words)
+def test_chosen_documents_are_exactly_those_named(spark, words):
     docs = spark.range(200).selectExpr("CASE WHEN id > 0 THEN id % 150 END AS doc_id", "'x' AS text")
     ids = spark.range(3, 400, 7)
-    got = [r.doc_id for r in quality_rules.chosen(docs, ids).collect()]
+    got = [r.doc_id for r in quality_rules.chosen(docs, ids, words).collect()]
     assert sorted(got) == sorted(i % 150 for i in range(1, 200) if i % 150 in range(3, 400, 7))
 
 
