@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,7 @@ JOB_CONF = {
 }
 
 _local_scratch: dict[str, str] = {}
+_collecting: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
@@ -56,7 +59,31 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the scratch folder that no other run uses."""
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
+    folder = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    for paths in _collecting:
+        paths.append(folder)
+    return f"{folder}/{name}"
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The scratch folders that the block asks for, so that they can be dropped once nothing
+    reads them any more."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def drop_scratch(spark: SparkSession, paths: Iterable[str], keep: DataFrame | None = None) -> None:
+    """Delete scratch folders, but for those that `keep` reads."""
+    used = [] if keep is None else keep.inputFiles()
+    for folder in paths:
+        if not any(f"{folder.rsplit('/', 1)[-1]}/" in file for file in used):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
