@@ -2,29 +2,52 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next stage's docs. All but the last return the columns of `documents`.
+Since a stage begins when the one before is written, it first drops the scratch tables of that
+one, except what its own docs are read from.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import language_id, ngram_join, packing, personal_data
+from barloom.llm.common import hidden
 from barloom.llm.decontaminate import find_overlaps
-from barloom.session import materialize
+from barloom.session import collecting, drop_scratch, materialize
 
 TOKENIZER = "word_bpe_49k.json"
 BROADCAST_IDS = 1_000_000
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_scratch: dict[str, list[str]] = {}              # of the stage before, by application
+
+
+def tidy(stage: Stage) -> Stage:
+    """The stage, dropping what the one before has left in the scratch folder."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        drop_scratch(spark, _scratch.pop(app, []), keep=docs)
+        with collecting() as paths:
+            out = stage(spark, docs, sf_dir)
+        _scratch[app] = paths
+        return out
+    return run
 
 
+@tidy
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognized; the others, and those without a letter, go."""
     model = language_id.fit_on(docs, F.lit(True))
-    return language_id.identify(docs, model, lang="_lang", score="_score", accepted="_accepted").where(
-        "_accepted").select(*docs.columns)
+    names = hidden(docs, "lang", "score", "accepted")
+    return language_id.identify(docs, model, **names).where(names["accepted"]).select(*docs.columns)
 
 
+@tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one of smallest id.
 
@@ -46,24 +69,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.select(*docs.columns)
 
 
+@tidy
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return find_overlaps(docs, benchmark, out="_overlaps").where(
-        F.size("_overlaps") == 0).select(*docs.columns)
+    out = hidden(docs, "overlaps")["overlaps"]
+    return find_overlaps(docs, benchmark, out=out).where(F.size(out) == 0).select(*docs.columns)
 
 
+@tidy
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data replaced by its kind."""
-    found = personal_data.find_spans(docs, out="_spans")
-    text = personal_data.masked(F.col("text"), F.col("_spans"))
+    names = hidden(docs, "spans", "text", "n_chars")
+    spans = names["spans"]
+    found = personal_data.find_spans(docs, out=spans)
+    text = personal_data.masked(F.col("text"), F.col(spans))
     changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.size("_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return found.select("*", *[c.alias(f"_new_{n}") for n, c in changed.items()]).select(
-        *[F.col(f"_new_{c}").alias(c) if c in changed else F.col(c) for c in docs.columns])
+        changed["n_chars"] = F.when(F.size(spans) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return found.select("*", *[c.alias(names[n]) for n, c in changed.items()]).select(
+        *[F.col(names[c]).alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
 
+@tidy
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
     return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
