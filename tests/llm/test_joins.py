@@ -230,6 +230,8 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
              (10_004, "12345 !!", "en", "s", 1), (10_005, None, None, None, None), (None, "the and that of", "en", "s", 1),
              (10_006, "repeated the row and of it", "en", "s", 1), (10_006, "repeated the row and of it", "en", "s", 1)]
     docs = docs.unionAll(spark.createDataFrame(extra, docs.schema)).repartition(3)
+    for name in ("_lang", "_score", "_accepted", "_overlaps", "_spans", "_text", "_n_chars", "Spans"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
     before = docs
     for name, stage in corpus_pipeline.STAGES:
         path = str(tmp_path / name)
@@ -239,6 +241,7 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
             break
         assert docs.columns == before.columns
         ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+        assert docs.where("_lang <> concat('_lang', doc_id) OR _spans <> concat('_spans', doc_id)").isEmpty()
         if name == "language":
             assert not {10_004, 10_005} & set(ids) and None in ids
         if name == "near_duplicates":
@@ -249,4 +252,6 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
             row = docs.where("doc_id = 10003").first()
             assert "<EMAIL>" in row["text"] and row["n_chars"] == len(row["text"])
             final = len(ids)
+    left = sum(corpus_pipeline._scratch.values(), [])
+    assert left and len(left) < 12                  # of the last stage only
     assert docs.where("piece = 0").count() == final and docs.where("length > 4096").count() == 0
