@@ -75,8 +75,9 @@ def run_load(store: Store, feed: Feed, batch: DataFrame, settings: Settings, run
             audit_rows(staged, entities, feed.key, feed.required, feed.source, run_id)
             .withColumn("started_at", F.current_timestamp()), f"{feed.table}_audit")
         good = loadable(staged, audit, feed.key, [*feed.columns, "ingest_seq"], feed.required)
-        commit.add("rejected", rejected(staged, entities, feed.key).withColumns(
-            {"table_name": F.lit(feed.table), "run_id": F.lit(run_id)}))
+        if not audit.where("status = 'failed'").isEmpty():       # else every row can be loaded
+            commit.add("rejected", rejected(staged, entities, feed.key).withColumns(
+                {"table_name": F.lit(feed.table), "run_id": F.lit(run_id)}))
         if pending is not None:
             loadable(staged, audit, feed.key, [*feed.columns, "ingest_seq"], feed.required,
                      "failed").write.mode("overwrite").parquet(pending)

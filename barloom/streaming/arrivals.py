@@ -17,8 +17,8 @@ def load_arrivals(spark: SparkSession, path: str, fmt: str, store: Store, settin
     """Load every file that the checkpoint has not seen, then stop.
 
     Each micro-batch is one run of the batch load without the date watermark: the file
-    log decides what is new. A batch that is repeated after a failure inserts nothing
-    twice, because stored keys are left alone. Good rows of an entity that failed are held
+    log decides what is new. A batch that is repeated after a failure changes nothing, since
+    a run is committed once. Good rows of an entity that failed are held
     and join the next micro-batch, since their files will not be read again. Within a micro-batch the first copy of a
     key is the one from the oldest file, the lowest file name among equals, and the
     earliest line in it.
@@ -36,7 +36,10 @@ def load_arrivals(spark: SparkSession, path: str, fmt: str, store: Store, settin
         if batch_id:
             held = spark.read.parquet(held_at(batch_id - 1))
             batch = batch.unionByName(held.withColumn("_bad", F.lit("")), allowMissingColumns=True)
-        run_load(store, feed, batch, settings, run_id=f"stream_{batch_id}", incremental=False,
+        # The stream's id is kept in its checkpoint, so a repeated batch is the same run and
+        # another stream's batch another.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_load(store, feed, batch, settings, run_id=f"stream_{stream}_{batch_id}", incremental=False,
                  pending=held_at(batch_id))
 
     return (

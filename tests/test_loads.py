@@ -151,6 +151,16 @@ def test_stream_loads_each_file_once(spark, store, tmp_path):
     assert len(stored(store)) == 2
 
 
+def test_streams_into_one_store_are_runs_of_their_own(spark, store, tmp_path):
+    for ticker, day in (("A", 4), ("B", 5)):
+        landing = str(tmp_path / ticker)
+        batch(spark, bar(ticker, date(2021, 1, day), 1.0)).select(*BAR_COLS).write.partitionBy("ticker").json(landing)
+        load_arrivals(spark, landing, "json", store, SETTINGS, f"{landing}_log").awaitTermination()
+    assert [r[0] for r in stored(store)] == ["A", "B"]
+    runs = [r.run_id for r in store.read("ingestion_log").select("run_id").distinct().collect()]
+    assert len(runs) == 2 and not any("None" in r for r in runs)
+
+
 def test_lines_that_are_no_record_are_reported(spark, store, tmp_path):
     folder = tmp_path / "in" / "ticker=A"
     folder.mkdir(parents=True)
