@@ -1,16 +1,18 @@
 """Quality classification by an interpolated modified Kneser-Ney trigram model.
 
-The model is trained on trusted text: a bounded number of documents labelled as good, those
-of smallest id hash. Its counts are Spark aggregates over n-gram hashes, sharded by them:
-raw counts for trigrams, continuation counts (how many different words come before) for
-bigrams and words, and three discounts per order from the counts of counts. Each order's
-discounted probability is interpolated with the next lower one, the lowest with a uniform
-share for unknown words.
-
-The model's tables are bounded by the trusted sample, so scoring joins every whole text to
-them where it lies, without a shuffle, and gives the perplexity per document. A document is
-kept when its perplexity is at most its language's threshold: a high quantile over that
-language's trusted documents that the model has not read, with a margin.
+The model is trained on the trusted documents, but for one in five, which only the thresholds
+are taken from. Its counts are Spark aggregates over word hashes: raw counts for trigrams,
+continuation counts (how many different words come before) for bigrams and words, and three
+discounts per order from the counts of counts. Each order's discounted probability is
+interpolated with the next lower one, the lowest with a uniform share for unknown words.
+
+A model of few entries is broadcast, and every whole text is scored where it lies. A larger one
+stays where it is, as one table of what each word, pair and trigram adds to the log probability
+of a text; the keys of all texts are joined to it, but for the most frequent, which are
+broadcast, and those that a bit map of fixed size shows not to be there. Both ways give the
+same perplexities. A document is kept when its perplexity is at
+most its language's threshold: a high quantile over that language's trusted documents that the
+model has not read, with a margin.
 
 Cases: NULL and empty texts have the end as their only token. A NULL language is a group of
 its own; a language without trusted documents takes the threshold of all. Without any
@@ -25,12 +27,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import U64, as_i64, byte_codes, encoded, hidden, mix, ship, slices, texts_of, word_hashes
+from .common import U64, as_i64, byte_codes, encoded, fold, hidden, mix, ship, slices, texts_of, word_hashes
+from .quality_rules import chosen
+from .suffix_tree import key_bits, marked
 
 BEGIN, END = (mix(np.array([x], dtype=U64))[0] for x in (0xB0, 0xE0))
 _CODES = byte_codes(lower=False)
@@ -38,9 +43,12 @@ _CODES = byte_codes(lower=False)
 
 @dataclass(frozen=True)
 class Settings:
-    trusted_most: int = 1000      # documents the model is trained on: the bound of the sample
+    trusted_most: int | None = None               # documents the model is trained on; None: no bound
+    unread: int = 5               # one in so many trusted documents is not learned from
     quantile: float = 0.99        # of the trusted perplexities of a language
     margin: float = 1.25          # a perplexity is rejected from so many times the quantile
+    broadcast_entries: int = 6_000_000            # of 12 bytes
+    hot_entries: int = 1 << 20    # of 16 bytes, of a model that is not broadcast
 
 
 def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -61,17 +69,23 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return two, one, token, bounds
 
 
-def _discounted(counts: DataFrame, context: str, word: str, c: str) -> tuple[DataFrame, DataFrame]:
-    """(context, word, discounted share) and (context, mass left for the lower order)."""
+def _taken(counts: DataFrame, c: str) -> Column:
+    """The discount of a count, of three kinds, from the counts of counts."""
     ones = counts.agg(*[F.count_if(F.col(c) == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
     n = [max(1, ones[f"n{k}"] or 0) for k in (1, 2, 3, 4)]
     y = n[0] / (n[0] + 2 * n[1])
     d = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
-    taken = F.when(F.col(c) == 1, d[0]).when(F.col(c) == 2, d[1]).otherwise(d[2])
-    total = counts.groupBy(context).agg(F.sum(c).alias("total"), F.sum(taken).alias("taken"))
-    share = counts.join(total.select(context, "total"), context).select(
-        context, word, ((F.col(c) - taken) / F.col("total")).alias("p"))
-    return share, total.select(context, (F.col("taken") / F.col("total")).alias("mass"))
+    return F.when(F.col(c) == 1, d[0]).when(F.col(c) == 2, d[1]).otherwise(d[2])
+
+
+def _discounted(counts: DataFrame, context: list[str], c: str) -> tuple[DataFrame, DataFrame]:
+    """(context, token, c, discounted share p, mass) and (context, mass left for the lower order)."""
+    taken = _taken(counts, c)
+    total = counts.groupBy(*context).agg(F.sum(c).alias("total"), F.sum(taken).alias("taken"))
+    mass = (F.col("taken") / F.col("total")).alias("mass")
+    share = counts.join(total, context).select(
+        *context, "token", c, ((F.col(c) - taken) / F.col("total")).alias("p"), mass)
+    return share, total.select(*context, mass)
 
 
 @dataclass
@@ -97,45 +111,67 @@ class Model:
         return np.add.reduceat(np.log(p), bounds[:-1]) if len(texts) else np.zeros(0), np.diff(bounds)
 
 
-def _table(df: DataFrame, key: Column, value: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = df.select(key.alias("k"), F.col(value).alias("v")).toArrow()
-    keys = rows.column("k").to_numpy().astype(np.int64).view(U64)
-    values = rows.column("v").to_numpy().astype(np.float32)
-    order = np.argsort(keys)
-    return keys[order], values[order]
+@dataclass
+class Tables:
+    """The same model where Spark has it, over word hashes, with the count c behind each share."""
+    word: DataFrame               # token, c, p
+    pair: DataFrame               # one, token, c, p, mass
+    pair_mass: DataFrame          # one, mass
+    triple: DataFrame             # two, one, token, c, p, mass
+    triple_mass: DataFrame        # two, one, mass
+    unknown: float
+    entries: int                  # rows of all tables, at most
 
 
-def fit(trusted: DataFrame, text: str = "text") -> Model:
-    """Train on the given documents; what reaches the driver is bounded by their number."""
+def learn(trusted: DataFrame, text: str = "text") -> Tables:
+    """Train on all of the given documents; one row of counts an order reaches the driver."""
     ship(trusted.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t"):
-            two, one, token, _ = trigrams(texts_of(batch, "t"))
-            context = pair_key(two, one)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(as_i64(x)) for x in (context, one, token, pair_key(one, token),
-                                               pair_key(context, token))],
-                names=["context", "one", "token", "pair", "triple"])
-
-    grams = trusted.select(F.col(text).alias("t")).mapInArrow(
-        run, "context long, one long, token long, pair long, triple long")
-    raw = materialize(grams.groupBy("context", "triple", "one", "pair", "token").agg(
-        F.count(F.lit(1)).alias("c")), "trigrams")
-    before = raw.groupBy("one", "pair", "token").agg(F.count(F.lit(1)).alias("c"))
-    before = materialize(before, "bigrams")
-    spread = before.groupBy("token").agg(F.count(F.lit(1)).alias("c")).withColumn("all", F.lit(0))
-    triple, triple_mass = _discounted(raw, "context", "triple", "c")
-    pair, pair_mass = _discounted(before, "one", "pair", "c")
-    word, word_mass = _discounted(spread, "all", "token", "c")
-    left = word_mass.first()
-    words = _table(word, F.col("token"), "p")
-    floor = (left["mass"] if left else 1.0) / (len(words[0]) + 1)
-    words = words[0], (words[1] + floor).astype(np.float32)
-    return Model({"word": words, "pair": _table(pair, F.col("pair"), "p"),
-                  "pair_mass": _table(pair_mass, F.col("one"), "mass"),
-                  "triple": _table(triple, F.col("triple"), "p"),
-                  "triple_mass": _table(triple_mass, F.col("context"), "mass")}, floor)
+                [pa.array(as_i64(x)) for x in trigrams(texts_of(batch, "t"))[:3]], names=["two", "one", "token"])
+
+    grams = trusted.select(F.col(text).alias("t")).mapInArrow(run, "two long, one long, token long")
+    raw = materialize(grams.groupBy("two", "one", "token").agg(F.count(F.lit(1)).alias("c")), "trigrams")
+    before = materialize(raw.groupBy("one", "token").agg(F.count(F.lit(1)).alias("c")), "bigrams")
+    spread = materialize(before.groupBy("token").agg(F.count(F.lit(1)).alias("c")), "unigrams")
+    triple, triple_mass = _discounted(raw, ["two", "one"], "c")
+    pair, pair_mass = _discounted(before, ["one"], "c")
+    taken = _taken(spread, "c")
+    total, left, words = spread.agg(F.sum("c"), F.sum(taken), F.count(F.lit(1))).first()
+    floor = (left / total if words else 1.0) / (words + 1)
+    word = spread.select("token", "c", ((F.col("c") - taken) / F.lit(total) + F.lit(floor)).alias("p"))
+    return Tables(word, pair, pair_mass, triple, triple_mass, floor, raw.count() + 2 * (before.count() + words))
+
+
+def _key(names: list[str], columns: list[np.ndarray]) -> np.ndarray:
+    """The key of a word, a pair, or a trigram, from its words' hashes."""
+    hashed = [c.astype(np.int64).view(U64) for c in columns]
+    key = hashed[0]
+    for word in hashed[1:]:
+        key = pair_key(key, word)
+    return key
+
+
+def collected(tables: Tables) -> Model:
+    """The model on the driver, for one of few entries."""
+    def table(df: DataFrame, names: list[str], value: str) -> tuple[np.ndarray, np.ndarray]:
+        rows = df.select(*names, value).toArrow()
+        keys = _key(names, [rows.column(n).to_numpy() for n in names])
+        order = np.argsort(keys)
+        return keys[order], rows.column(value).to_numpy().astype(np.float32)[order]
+
+    return Model({"word": table(tables.word, ["token"], "p"),
+                  "pair": table(tables.pair, ["one", "token"], "p"),
+                  "pair_mass": table(tables.pair_mass, ["one"], "mass"),
+                  "triple": table(tables.triple, ["two", "one", "token"], "p"),
+                  "triple_mass": table(tables.triple_mass, ["two", "one"], "mass")}, tables.unknown)
+
+
+def fit(trusted: DataFrame, text: str = "text") -> Model:
+    """Train on documents that are few enough for a model on the driver."""
+    return collected(learn(trusted, text))
 
 
 def perplexity(df: DataFrame, model: Model, text: str = "text", out: str = "perplexity") -> DataFrame:
@@ -156,6 +192,125 @@ def perplexity(df: DataFrame, model: Model, text: str = "text", out: str = "perp
     return plain.mapInArrow(run, schema)
 
 
+# --- a model of any size ---------------------------------------------------------------
+
+def weights(tables: Tables) -> DataFrame:
+    """(key, c, w): what each word, pair and trigram of the model adds to the log probability of a
+    text that has it, over all words being unknown.
+
+    A word adds its own share and, for the word after it, the mass its pairs leave; a pair
+    replaces both by its share and adds the mass its trigrams leave; a trigram replaces the two.
+    What the model lacks adds nothing.
+    """
+    words = tables.word.join(tables.pair_mass.withColumnRenamed("one", "token"), "token", "full").select(
+        "token", "c", "p", "mass")
+    word = words.select(F.array("token").alias("words"), "c", (
+        F.coalesce(F.log("p") - F.log(F.lit(tables.unknown)), F.lit(0.0))
+        + F.coalesce(F.log("mass"), F.lit(0.0))).alias("w"))
+    of = words.where("p IS NOT NULL").select("token", F.col("p").alias("word_p"))
+    lower = tables.pair.join(of, "token").select(
+        "one", "token", "c", (F.col("p") + F.col("mass") * F.col("word_p")).alias("p"),
+        (F.col("mass") * F.col("word_p")).alias("instead"))
+    lower = materialize(lower, "pair_shares")
+    left = tables.triple_mass.select(F.col("two").alias("one"), F.col("one").alias("token"), "mass")
+    pair = lower.join(left, ["one", "token"], "full").select(F.array("one", "token").alias("words"), "c", (
+        F.coalesce(F.log("p") - F.log("instead"), F.lit(0.0)) + F.coalesce(F.log("mass"), F.lit(0.0))).alias("w"))
+    instead = F.col("mass") * F.col("pair_p")
+    triple = tables.triple.join(
+        lower.select("one", "token", F.col("p").alias("pair_p")), ["one", "token"]).select(
+        F.array("two", "one", "token").alias("words"), "c", (F.log(F.col("p") + instead) - F.log(instead)).alias("w"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            flat, size = words.flatten().to_numpy(), words.value_lengths().to_numpy()
+            if len(size):
+                names = ["two", "one", "token"][-size[0]:]         # one kind of rows in each branch
+                key = _key(names, [flat[k::size[0]] for k in range(size[0])])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(as_i64(key)), batch.column("c"), batch.column("w")], names=["key", "c", "w"])
+
+    keyed = [part.mapInArrow(run, "key long, c long, w double") for part in (word, pair, triple)]
+    return materialize(keyed[0].unionAll(keyed[1]).unionAll(keyed[2]), "weights")
+
+
+def _most_frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of greatest counts, at most so many, and the others."""
+    level = F.coalesce(F.floor(F.log2("c") * 8), F.lit(0)).cast("int")
+    least, rows = 1 << 30, 0
+    for r in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):      # some 500 at most
+        rows += r["count"]
+        if rows > most:
+            break
+        least = r["level"]
+    return table.where(level >= least), table.where(level < least)
+
+
+def text_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, text it is in) of every word, pair and trigram, the beginnings included, and tokens
+    of each text."""
+    two, one, token, bounds = trigrams(texts)
+    count = np.diff(bounds)
+    owner, every = np.repeat(np.arange(len(count)), count), np.arange(len(count))
+    start = np.full(len(count), BEGIN)
+    keys = [token, start, pair_key(one, token), pair_key(start, start), pair_key(pair_key(two, one), token)]
+    return np.concatenate(keys), np.concatenate([owner, every, owner, every, owner]), count
+
+
+def perplexity_joined(docs: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+    """(doc_id, lang, perplexity) of every row of (doc_id, text, lang), by joins with the weights.
+
+    The most frequent keys are broadcast, the others of all texts shuffled to their weights. A
+    row's number is its task's and its place there; both passes read the same rows in order.
+    """
+    every = weights(tables)
+    hot, others = _most_frequent(every, settings.hot_entries)
+    found = hot.select("key", "w").toArrow()
+    key = found.column("key").to_numpy().astype(np.int64).view(U64)
+    order = np.argsort(key)
+    # Some twelve bits a key, of a bounded number: false ones go on to the inner join.
+    size = min(27, max(15, int(others.count() * 12).bit_length()))
+    bits = key_bits(others.select("key"), size)
+    shared = docs.sparkSession.sparkContext.broadcast((key[order], found.column("w").to_numpy()[order], bits))
+    floor = float(np.log(tables.unknown))
+
+    def looked(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        keys, owner, count = text_keys(texts)
+        known, w, _ = shared.value
+        if not len(known):
+            return keys, owner, count, np.zeros(len(keys), bool), np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[at] == keys
+        return keys, owner, count, hit, np.where(hit, w[at], 0.0)
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in slices(batches, "text"):
+            keys, owner, count, hit, _ = looked(texts_of(batch, "text"))
+            hit |= ~marked(shared.value[2], keys)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row + owner[~hit]), pa.array(as_i64(keys[~hit]))], names=["row", "key"])
+            row += len(count)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in slices(batches, "text"):
+            _, owner, count, _, w = looked(texts_of(batch, "text"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("lang"), pa.array(np.arange(row, row + len(count))),
+                 pa.array(count), pa.array(np.bincount(owner, w, len(count)) + floor * count)],
+                names=["doc_id", "lang", "row", "size", "log_p"])
+            row += len(count)
+
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "lang")}
+    more = docs.select("text").mapInArrow(rest, "row long, key long").join(others.select("key", "w"), "key").groupBy(
+        "row").agg(F.sum("w").alias("more"))
+    rows = docs.select("doc_id", "lang", "text").mapInArrow(
+        own, f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, row long, size long, log_p double")
+    log_p = F.col("log_p") + F.coalesce("more", F.lit(0.0))
+    return rows.join(more, "row", "left").select("doc_id", "lang", F.exp(-log_p / F.col("size")).alias("perplexity"))
+
+
 def classify(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
              lang: str = "lang", settings: Settings = Settings()) -> DataFrame:
     """(doc_id, lang, perplexity, threshold, keep) of every row of docs.
@@ -163,13 +318,21 @@ def classify(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text:
     trusted holds the ids of documents known as good, in a column named as doc_id.
     """
     ids = trusted.select(F.col(doc_id).alias("id")).where(F.col("id").isNotNull()).distinct()
-    first = ids.orderBy(F.xxhash64("id"), "id").limit(settings.trusted_most)
-    chosen = materialize(first.withColumn("read", F.lit(True)), "chosen")
+    unread = fold("id", settings.unread) == 0
+    first = ids.where(~unread)
+    if first.isEmpty():
+        first = ids
+    if settings.trusted_most is not None:
+        first = first.orderBy(F.xxhash64("id"), "id").limit(settings.trusted_most)
+    read = materialize(first.withColumn("read", F.lit(True)), "chosen")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    learn = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["id"])       # bounded by the setting
-    model = fit(learn)
-    scored = materialize(perplexity(rows, model).select("doc_id", "lang", "perplexity"), "perplexity")
-    fresh = ids.join(chosen, "id", "left").select("id", F.coalesce("read", F.lit(False)).alias("read"))
+    tables = learn(chosen(rows.select("doc_id", "text"), read.select("id")))
+    if tables.entries <= settings.broadcast_entries:
+        scored = perplexity(rows, collected(tables)).select("doc_id", "lang", "perplexity")
+    else:
+        scored = perplexity_joined(rows, tables, settings)
+    scored = materialize(scored, "perplexity")
+    fresh = ids.join(read, "id", "left").select("id", F.coalesce("read", F.lit(False)).alias("read"))
     known = scored.join(fresh, scored["doc_id"] == fresh["id"]).select("lang", "perplexity", "read")
     # A language whose trusted documents were all read takes what there is.
     cut = F.percentile_approx(F.when(~F.col("read"), F.col("perplexity")), settings.quantile, 10_000)

@@ -346,6 +346,29 @@ def _log_terms(model, texts):
                   + model.look("triple_mass", context, 1) * p)
 
 
+def test_quality_learns_from_all_trusted_documents(spark):
+    texts = [" ".join(f"d{i}w{k % 6}" for k in range(24)) for i in range(1300)]
+    docs = frame(spark, texts).withColumn("lang", F.lit("xx"))
+    out = kneser_ney.classify(docs, docs.select("doc_id"))
+    read = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+    most, least = out.agg(F.max(F.when(read, F.col("perplexity"))),
+                          F.min(F.when(~read, F.col("perplexity")))).first()
+    assert most < least / 10                     # each has words of its own, known only if it was read
+
+
+def test_quality_is_the_same_by_broadcast_and_by_joins(spark):
+    random.seed(6)
+    texts = [" ".join(random.choice("abcdefgh") * random.randint(1, 3) for _ in range(random.randint(1, 40)))
+             for _ in range(60)]
+    docs = frame(spark, [*texts, "", None, "never seen", texts[0]]).withColumn("lang", F.lit("xx"))
+    near, *far = [sorted(tuple(r) for r in kneser_ney.classify(
+        docs, docs.select("doc_id").limit(40), settings=kneser_ney.Settings(**s)).collect())
+        for s in ({}, {"broadcast_entries": 0, "hot_entries": 50}, {"broadcast_entries": 0, "hot_entries": 0})]
+    for other in far:
+        for x, y in zip(near, other, strict=True):
+            assert x[:2] == y[:2] and x[4] == y[4] and x[2:4] == pytest.approx(y[2:4], rel=1e-4)
+
+
 def test_quality_keeps_good_and_rejects_junk(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
