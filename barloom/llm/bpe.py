@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+
 MAX_TRANSITIONS = 400_000
 NEVER = 1 << 60
 
@@ -183,6 +185,78 @@ class Transducer:
         return out[::-1]
 
 
+class Merges:
+    """The merges of a transducer's vocabulary, applied to many short pieces at once.
+
+    In every piece the merge of least rank, the leftmost of equal ones, is made in each step,
+    as `Transducer.merge` does. Places of merged symbols die; the others are linked.
+    """
+
+    def __init__(self, machine: Transducer):
+        number: dict[str, int] = {}
+        symbol = lambda text: number.setdefault(text, len(number))       # noqa: E731
+        self.first = np.array([symbol(chr(c)) for c in range(512)], dtype=np.int64)
+        rows = sorted((symbol(a) << 32 | symbol(b), rank, symbol(a + b)) for (a, b), rank in machine.rank.items())
+        self.pairs, self.ranks, self.made = np.array(rows, dtype=np.int64).reshape(-1, 3).T.copy()
+        self.never = int(self.ranks.max(initial=-1)) + 1
+        self.ids = np.array([machine.ids.get(text, -1) for text in number], dtype=np.int64)
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank of a pair's merge, or never; its row)."""
+        if not len(self.pairs):
+            return np.full(len(left), self.never), np.zeros(len(left), np.int64)
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.ranks[at], self.never), at
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, whose last byte ends a word, as little-endian unsigned 32-bit numbers."""
+        if not pieces:
+            return []
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        wide = int(size.max()) + 1                       # the last place of a row is the end
+        column = np.arange(wide)
+        alive = column < size[:, None]
+        code = np.zeros(alive.shape, np.int64)
+        code[alive] = np.frombuffer(b"".join(pieces), np.uint8)
+        code[np.arange(len(size)), size - 1] += 256
+        code = self.first[code].ravel()
+        alive = alive.ravel()
+        after = np.tile(np.minimum(column + 1, wide - 1), len(size))
+        before = np.tile(column - 1, len(size))
+        rank = np.full(len(code), self.never)
+        made = np.zeros(len(code), np.int64)
+        inner = np.flatnonzero(alive[:-1] & alive[1:])
+        rank[inner], made[inner] = self._find(code[inner], code[inner + 1])
+        by_row = rank.reshape(len(size), wide)
+        rows = np.arange(len(size))
+        while len(rows):
+            column_at = by_row[rows].argmin(axis=1)
+            at = rows * wide + column_at
+            some = rank[at] < self.never
+            rows, at = rows[some], at[some]
+            start = rows * wide
+            gone = start + after[at]
+            code[at] = self.made[made[at]]
+            alive[gone] = False
+            rank[gone] = self.never
+            after[at] = after[gone]
+            following = start + after[at]
+            before[following] = at - start
+            rank[at] = self.never
+            has = alive[following]
+            rank[at[has]], made[at[has]] = self._find(code[at[has]], code[following[has]])
+            back = before[at] >= 0
+            preceding, here = (start + before[at])[back], at[back]
+            rank[preceding], made[preceding] = self._find(code[preceding], code[here])
+        ids = self.ids[code[alive]]
+        if (ids < 0).any():
+            raise KeyError("a symbol is no token")
+        cut = np.concatenate(([0], np.cumsum(alive.reshape(len(size), wide).sum(axis=1)))) * 4
+        every = ids.astype("<u4").tobytes()
+        return [every[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+
 class Recent:
     """A bounded memo of two generations: what is in use survives a turn-over."""
 

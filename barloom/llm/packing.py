@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import materialize
-from .bpe import Recent, Transducer
+from .bpe import Merges, Recent, Transducer
 from .common import hidden, ship, slices, texts_of
 from .token_counts import E, L, LETTER, NUMBER, OTHER, QUOTE, R, SPACE, STMD, V, class_table
 
@@ -61,27 +61,38 @@ def word_classes() -> np.ndarray:
 class WordTokenizer:
     """Ids of a lower-casing BPE with word ends, as the public library gives them."""
 
-    def __init__(self, path: str, memo: int = 150_000):
+    def __init__(self, path: str, memo: int = 300_000):
         self.machine = Transducer.from_file(path)
+        self.merges = Merges(self.machine)
         with open(path, encoding="utf-8") as source:
             added = json.load(source).get("added_tokens", [])
         self.special = {t["content"]: t["id"] for t in added}
         self.memo = Recent(memo)
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of one piece, as little-endian unsigned 32-bit numbers."""
-        ids = self.memo.get(piece)
-        if ids is None:
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of every piece, as little-endian unsigned 32-bit numbers."""
+        out = list(map(self.memo.young.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        found, fresh = {}, {}
+        for piece in {pieces[i] for i in missing}:
+            ids = self.memo.get(piece)
+            if ids is not None:
+                found[piece] = ids
+                continue
             raw = piece.encode("utf-8", "surrogatepass")
-            symbols = raw[:-1].decode("latin-1") + chr(256 + raw[-1])
-            if len(symbols) < 40:
-                found = [self.machine.ids[t] for t in self.machine.merge(symbols)]
+            if len(raw) < 40:
+                fresh[piece] = raw
             else:
-                found = self.machine.encode(symbols)
-            ids = np.array(found, dtype="<u4").tobytes()
-            if len(symbols) < 40:
-                self.memo.put(piece, ids)
-        return ids
+                symbols = raw[:-1].decode("latin-1") + chr(256 + raw[-1])
+                found[piece] = np.array(self.machine.encode(symbols), dtype="<u4").tobytes()
+        raws, some = list(fresh.values()), 8192              # at a time, of 40 places each
+        made = [ids for i in range(0, len(raws), some) for ids in self.merges.encode(raws[i:i + some])]
+        for piece, ids in zip(fresh, made):
+            self.memo.put(piece, ids)
+            found[piece] = ids
+        for i in missing:
+            out[i] = found[pieces[i]]
+        return out
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         """Ids of texts without special strings."""
@@ -102,9 +113,7 @@ class WordTokenizer:
         start, stop = cut[:-1], cut[1:]
         inside = kind[start] != GAP
         start, stop = start[inside], stop[inside]
-        known, slow = self.memo.young, self.piece
-        ids = [known.get(p) or slow(p) for p in
-               [joined[a:b] for a, b in zip(start.tolist(), stop.tolist())]]
+        ids = self.pieces([joined[a:b] for a, b in zip(start.tolist(), stop.tolist())])
         sizes = np.fromiter(map(len, clean), np.int64, len(clean)) + 1
         bounds = np.searchsorted(start, np.concatenate(([0], np.cumsum(sizes)))).tolist()
         return [b"".join(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]

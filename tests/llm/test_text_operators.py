@@ -13,7 +13,7 @@ import public_tokenizers
 import tokenizers
 from pyspark.sql import functions as F
 
-from barloom.llm import (decontaminate, kneser_ney, language_id, packing, suffix_tree, token_counts)
+from barloom.llm import (bpe, decontaminate, kneser_ney, language_id, packing, suffix_tree, token_counts)
 
 DOCS = "doc_id long, text string, lang string, _text string, n_tokens string"
 ODD = ["'s", "'t", "'re", "'ve", "'ll", "'d", "'m", "'r", "'", "''", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "a",
@@ -346,6 +346,27 @@ def _log_terms(model, texts):
                   + model.look("triple_mass", context, 1) * p)
 
 
+def test_many_pieces_are_merged_as_one_by_one():
+    machine = bpe.Transducer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    random.seed(8)
+    pieces = [bytes(random.choices(b"aaathenoingrs'1\xc3\xa9\xe4", k=random.randint(1, 39))) for _ in range(3000)]
+    expected = [[machine.ids[t] for t in machine.merge(p[:-1].decode("latin-1") + chr(256 + p[-1]))] for p in pieces]
+    merges = bpe.Merges(machine)
+    assert [np.frombuffer(b, "<u4").tolist() for b in merges.encode(pieces)] == expected
+    assert merges.encode([]) == []
+
+
+def test_pieces_beyond_the_memo_and_a_batch_keep_their_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    random.seed(9)
+    texts = [" ".join("".join(random.choices("abcdehinorst", k=random.randint(1, 50))) for _ in range(5000))
+             for _ in range(4)]
+    library = tokenizers.Tokenizer.from_file(path)
+    made = packing.WordTokenizer(path, memo=3000).encode(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in made] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_quality_learns_from_all_trusted_documents(spark):
     texts = [" ".join(f"d{i}w{k % 6}" for k in range(24)) for i in range(1300)]
     docs = frame(spark, texts).withColumn("lang", F.lit("xx"))
