@@ -12,8 +12,8 @@ links are contracted to components, and only pairs from different components, wh
 leader has settled, meet after that. So a large group of near copies makes pairs in
 proportion to its size, and no link between different components is missed.
 
-A pair is verified in two steps: bitmaps of hashed shingles, whose bit counts bound the
-overlap from above, and the exact intersection of the sorted arrays.
+A pair is verified in two steps: parity bitmaps of hashed shingles, whose differing bits bound
+the overlap from above, and the exact intersection of the sorted arrays.
 
 Cases: texts without words, empty or NULL have an empty set and link with nothing. Fewer
 words than a shingle make one shingle of all. NULL ids are documents of their own and never
@@ -69,11 +69,10 @@ def set_keys(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """One bit per shingle in at least four times as many bits, a power of two."""
-    bits = max(64, 1 << int(4 * len(shingles) - 1).bit_length()) if len(shingles) else 64
-    flags = np.zeros(bits, dtype=bool)
-    flags[(shingles & U64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(flags, bitorder="little").tobytes()
+    """The parity of the shingles that share a bit, in as many bits or more, a power of two."""
+    bits = max(64, 1 << int(len(shingles) - 1).bit_length()) if len(shingles) else 64
+    flags = np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flags.astype(np.uint8), bitorder="little").tobytes()
 
 
 def short_bitmaps(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -87,14 +86,13 @@ def short_bitmaps(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def overlap_bound(left: bytes, right: bytes, n_left: int, n_right: int) -> int:
-    """No more shingles than this are in both: a bit that only one side has is at least one
-    shingle that the other lacks."""
+    """No more shingles than this are in both: what both have cancels out, so every bit that
+    differs is one shingle at least that only one side has."""
     a, b = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
     size = min(len(a), len(b))
-    a = np.bitwise_or.reduce(a.reshape(-1, size), axis=0)      # fold to the shorter map
-    b = np.bitwise_or.reduce(b.reshape(-1, size), axis=0)
-    return min(n_left - int(np.bitwise_count(a & ~b).sum()),
-               n_right - int(np.bitwise_count(b & ~a).sum()))
+    a = np.bitwise_xor.reduce(a.reshape(-1, size), axis=0)     # fold to the shorter map
+    b = np.bitwise_xor.reduce(b.reshape(-1, size), axis=0)
+    return (n_left + n_right - int(np.bitwise_count(a ^ b).sum())) // 2
 
 
 def enough(shared: int, n_left: int, n_right: int, percent: int) -> bool:

@@ -101,6 +101,16 @@ def test_bitmaps_bound_the_overlap_from_above():
         assert bound >= len(np.intersect1d(a, b))
 
 
+def test_bitmaps_are_short_and_reject_pairs_well_below_the_bound():
+    rng = np.random.default_rng(1)
+    for n in (100, 256, 400, 2000):
+        pool = np.unique(rng.integers(0, 1 << 63, 3 * n).astype(np.uint64))
+        a, b = pool[:n], pool[n // 3:n // 3 + n]                   # a similarity of one half
+        x, y = ngram_join.bitmap(a), ngram_join.bitmap(b)
+        assert len(x) <= n / 4 and ngram_join.overlap_bound(x, x, n, n) == n
+        assert not ngram_join.enough(ngram_join.overlap_bound(x, y, n, n), n, n, 80)
+
+
 def test_components_of_paths_and_stars(spark):
     random.seed(2)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 60)] + [(5, 5), (3000, 2999)]
