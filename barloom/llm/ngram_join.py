@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import materialize
+from ..session import materialize, release
 from .common import U64, Tally, as_i64, encoded, lists, mix, shingle_hashes, ship, slices, texts_of, word_hashes
 from .components import connected
 
@@ -166,7 +166,8 @@ def _ragged(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """(uid, shingles) of the wanted classes (uid, s1, s2), made again from the texts."""
+    """(s1, s2, shingles) of the wanted classes (uid, s1, s2), and maybe of others that share an
+    s1 with them, made again from the texts."""
     keys = None
     if wanted.count() <= settings.filter_most:            # else every text passes on to the join
         keys = np.sort(wanted.select("s1").toArrow().column(0).to_numpy())
@@ -193,8 +194,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
                 [pa.array(s1[out]), pa.array(s2[out]), _ragged(parts)], names=["s1", "s2", "shingles"])
 
     made = texts.mapInArrow(run, "s1 long, s2 long, shingles array<long>")
-    one = made.groupBy("s1", "s2").agg(F.first("shingles").alias("shingles"))
-    return wanted.join(one, ["s1", "s2"]).select("uid", "shingles")
+    return made.groupBy("s1", "s2").agg(F.first("shingles").alias("shingles"))
 
 
 # --- pairs -----------------------------------------------------------------------------
@@ -230,9 +230,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, settings: Set
     near = materialize(near, "near")
     ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     wanted = materialize(ends.join(rows.select("uid", "s1", "s2"), "uid"), "wanted")
-    sets = materialize(_sets(texts, wanted, settings), "arrays")
-    return (near.join(side(sets, "b", "shingles"), "b").join(side(sets, "a", "shingles"), "a")
-            .mapInArrow(exact, "a long, b long"))
+    sets = _sets(texts, wanted, settings)
+    keyed = near
+    for end in ("a", "b"):
+        keyed = keyed.join(side(wanted, end, "s1", "s2"), end)
+    # The arrays stay where the aggregate has them, by (s1, s2), and are shuffled with the pairs once.
+    for end in ("b", "a"):
+        keyed = keyed.join(sets.select(*[F.col(c).alias(f"{c}_{end}") for c in sets.columns]), [f"s1_{end}", f"s2_{end}"])
+    return keyed.mapInArrow(exact, "a long, b long")
 
 
 def _tiles(reps: DataFrame, leaders: int) -> DataFrame:
@@ -241,7 +246,8 @@ def _tiles(reps: DataFrame, leaders: int) -> DataFrame:
     different leaders, since their members differ."""
     heads = [F.min(F.struct((F.xxhash64("uid", F.lit(k)) if k else F.col("uid")).alias("o"), "uid", "n"))
              for k in range(leaders)]
-    rare = reps.select(F.explode("rare").alias("token"), "uid", "n")
+    # Dealt out before the orders are worked out, so that a row is shuffled with three numbers.
+    rare = reps.select(F.explode("rare").alias("token"), "uid", "n").repartition("token")
     over = Window.partitionBy("token")                     # few documents each, by construction
     rare = rare.select("token", "uid", "n", F.max("uid").over(over).alias("last"),
                        *[h.over(over).alias(f"l{k}") for k, h in enumerate(heads)])
@@ -292,12 +298,14 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         others = F.broadcast(others)
     reps = rows.where("n > 0").join(others, "uid", "left_anti")
     tiles = materialize(_tiles(reps, settings.leaders), "tiles")
+    release(docs.sparkSession)
 
     led = tiles.select("uid", "n", F.explode("leaders").alias("l")).where(
         (F.col("l.uid") != F.col("uid")) & (100 * F.col("n") >= percent * F.col("l.n"))
         & (100 * F.col("l.n") >= percent * F.col("n")))
     first = led.select(F.least("uid", "l.uid").alias("a"), F.greatest("uid", "l.uid").alias("b")).distinct()
     labels = connected(_verified(first, rows, texts.select("t"), settings))
+    release(docs.sparkSession)
 
     placed = tiles.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
         "root", F.coalesce("root", "uid"))

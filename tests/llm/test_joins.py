@@ -63,6 +63,24 @@ def copies(seed):
     return list(enumerate(rows))
 
 
+def test_join_shuffles_plain_prefix_rows_and_keyed_arrays_once(spark):
+    """Prefix shingles are dealt out as (token, uid, n), without the orders worked out from them,
+    and arrays of shingles meet their pairs without being dealt out by uid."""
+    reps = spark.createDataFrame([(1, 3, [5, 6], [9]), (2, 3, [5, 7], [9])],
+                                 "uid long, n long, rare array<long>, hot array<long>")
+    plan = ngram_join._tiles(reps, 4)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if " Window " in line)
+    at = next(i for i in range(at, len(plan)) if "Exchange hashpartitioning(token" in plan[i])
+    assert "xxhash64" not in "".join(plan[at:at + 4]).split("Union")[0]
+    ngram_join.ship(spark)
+    texts = spark.createDataFrame([("a b c d e f",), ("a b c d e f",), ("g h",)], "t string")
+    rows = ngram_join._features(texts.selectExpr("1L AS d", "t"), ngram_join.frequent_shingles(
+        texts, ngram_join.Settings()), ngram_join.Settings()).select("uid", "s1", "s2")
+    sets = ngram_join._sets(texts, rows, ngram_join.Settings())
+    assert sets.columns == ["s1", "s2", "shingles"]
+    assert sorted(len(r.shingles) for r in sets.collect()) == [1, 2]
+
+
 @pytest.mark.parametrize("seed,frequent,small,leaders", [(1, 2, 16, 4), (2, 1000, 2, 1), (3, 5, 0, 2)])
 def test_groups_equal_brute_force(spark, seed, frequent, small, leaders):
     rows = copies(seed) + [(None, "a b c"), (None, None), (3, "w1 w2 w3 w4 w5 w6")]
