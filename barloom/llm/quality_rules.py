@@ -7,9 +7,10 @@ count their grams, Spark adds them up and derives continuation counts, discounts
 the mass left to the lower order as joins and aggregates over the distinct grams, whose
 number grows with the alphabet rather than with the corpus.
 
-The finished probabilities and back-off masses are sorted arrays of 64-bit hashes, which
-every task searches for the distinct grams of a slice. The arrays are broadcast if the model
-has at most `broadcast_entries` entries. A larger model stays where it is: the distinct
+The finished probabilities and back-off masses are sorted arrays of 64-bit hashes, found by
+the leading bits of a hash. A task looks every character of a slice up among the grams of the
+highest order; only the distinct grams that are not there go through the lower orders. The
+arrays are broadcast if the model has at most `broadcast_entries` entries. A larger model stays where it is: the distinct
 grams of all texts are joined to its tables, order by order, and the documents' grams to
 the result. Both ways give the same figures.
 
@@ -28,6 +29,7 @@ is read.
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -61,7 +63,7 @@ class Settings:
     high: float = 0.998
     margin: float = 1.15          # the band reaches so many times beyond them
     unread: int = 5               # one in so many trusted documents is not learned from
-    broadcast_entries: int = 6_000_000            # of 16 bytes
+    broadcast_entries: int = 6_000_000            # of 16 bytes, 24 in a task
     held: int = 400_000           # different grams that a task counts before it hands them on
 
 
@@ -106,8 +108,8 @@ def failed(settings: Settings = Settings()) -> Column:
 
 # --- grams -----------------------------------------------------------------------------
 
-class Grams:
-    """The characters of some texts with the distinct grams that end at each."""
+class Characters:
+    """The characters of some texts, and the places of those that are predicted."""
 
     def __init__(self, texts: list[str]):
         joined = "".join([_PAD + t + EDGE for t in texts])
@@ -120,7 +122,24 @@ class Grams:
         for k in range(1, ORDER):
             skip[ends - sizes - 1 - k] = True
         self.place = np.flatnonzero(~skip)                 # of every predicted character
-        key = self._hash(self.place, ORDER)
+
+    def grams(self) -> np.ndarray:
+        """The hash of the gram that ends at each place."""
+        n = max(0, len(self.code) - ORDER + 1)
+        return gram_hash([self.code[ORDER - 1 - k:ORDER - 1 - k + n] for k in range(ORDER)], n)[
+            self.place - ORDER + 1]
+
+    def hash(self, end: np.ndarray, n: int) -> np.ndarray:
+        """The hash of the n characters up to each of some places."""
+        return gram_hash([self.code[end - k] for k in range(n)], len(end))
+
+
+class Grams(Characters):
+    """The distinct grams among those that end at each character."""
+
+    def __init__(self, texts: list[str]):
+        super().__init__(texts)
+        key = self.grams()
         order = np.argsort(key)
         fresh = np.ones(len(key), dtype=bool)
         fresh[1:] = key[order[1:]] != key[order[:-1]]
@@ -131,13 +150,6 @@ class Grams:
     def spelled(self) -> list[str]:
         return [self.text[i - ORDER + 1:i + 1] for i in self.sample.tolist()]
 
-    def key(self, back: int, n: int) -> np.ndarray:
-        """Of every distinct gram, the hash of the n characters that end `back` before its end."""
-        return self._hash(self.sample - back, n)
-
-    def _hash(self, end: np.ndarray, n: int) -> np.ndarray:
-        return gram_hash([self.code[end - k] for k in range(n)], len(end))
-
 
 def gram_hash(backwards: list[np.ndarray], size: int) -> np.ndarray:
     """The hash of grams given by their characters, the last one first."""
@@ -225,41 +237,77 @@ def fit(trusted: DataFrame, text: str = "text", settings: Settings = Settings())
     return tables
 
 
+class Lookup:
+    """Values by 64-bit hash. The keys are sorted; leading bits tell where to begin to look."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], U64(0xFFFFFFFFFFFFFFFF))      # where every search ends
+        self.values = np.append(values[order], 0.0)
+        self.bits = max(1, len(keys).bit_length())
+
+    @functools.cached_property
+    def start(self) -> np.ndarray:
+        """The first key with each run of leading bits. Every Python worker makes its own."""
+        first = np.arange(1 << self.bits, dtype=U64) << U64(64 - self.bits)
+        return np.searchsorted(self.keys[:-1], first).astype(np.int32)
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of every key among the values, whether it is there)."""
+        at = self.start[key >> U64(64 - self.bits)]
+        have = self.keys[at]
+        live = np.flatnonzero(have < key)
+        ahead, asked = at[live], key[live]
+        while len(live):
+            ahead += 1
+            at[live] = ahead
+            have[live] = seen = self.keys[ahead]
+            more = np.flatnonzero(seen < asked)
+            live, ahead, asked = live[more], ahead[more], asked[more]
+        return at, (have == key) & (at < len(self.keys) - 1)
+
+    def get(self, key: np.ndarray, default: np.ndarray | float) -> np.ndarray:
+        at, hit = self.find(key)
+        return np.where(hit, self.values[at], default)
+
+
 @dataclass
 class Arrays:
-    """The tables as sorted hashes with values."""
-    p: dict[int, tuple[np.ndarray, np.ndarray]]
-    mass: dict[int, tuple[np.ndarray, np.ndarray]]
+    """The tables by hash. Those of the highest order have the logarithms of their probabilities."""
+    p: dict[int, Lookup]
+    mass: dict[int, Lookup]
     floor: float
 
     @classmethod
     def of(cls, tables: Tables) -> Arrays:
-        def sort(df: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+        def table(df: DataFrame, n: int, log: bool = False) -> Lookup:
             rows = df.toArrow()
-            keys = hash_of(rows.column(0).to_pylist(), n)
-            order = np.argsort(keys)
-            return keys[order], rows.column(1).to_numpy()[order]
-        return cls({n: sort(df, n) for n, df in tables.p.items()},
-                   {n: sort(df, n - 1) for n, df in tables.mass.items()}, tables.floor)
+            values = rows.column(1).to_numpy()
+            return Lookup(hash_of(rows.column(0).to_pylist(), n), np.log(values) if log else values)
+        return cls({n: table(df, n, n == ORDER) for n, df in tables.p.items()},
+                   {n: table(df, n - 1) for n, df in tables.mass.items()}, tables.floor)
 
     def log_p(self, texts: list[str]) -> np.ndarray:
         """The log probability of each text with its end."""
-        grams = Grams(texts)
-        p = np.full(len(grams.sample), self.floor)
+        read = Characters(texts)
+        key = read.grams()
+        at, known = self.p[ORDER].find(key)
+        each = self.p[ORDER].values[at]
+        rest = np.flatnonzero(~known)
+        _, first, kind = np.unique(key[rest], return_index=True, return_inverse=True)
+        each[rest] = np.log(self._backed_off(read, read.place[rest[first]]))[kind]
+        upto = np.concatenate(([0.0], np.cumsum(each)))
+        return upto[read.bounds[1:]] - upto[read.bounds[:-1]]
+
+    def _backed_off(self, read: Characters, end: np.ndarray) -> np.ndarray:
+        """The probabilities of characters whose grams the model lacks in the highest order."""
+        p = np.full(len(end), self.floor)
         for n in range(1, ORDER + 1):
             if n > 1:
-                p = p * _look(self.mass[n], grams.key(1, n - 1), 1.0)
-            p = _look(self.p[n], grams.key(0, n), p)
-        upto = np.concatenate(([0.0], np.cumsum(np.log(p)[grams.kind])))
-        return upto[grams.bounds[1:]] - upto[grams.bounds[:-1]]
-
-
-def _look(table: tuple[np.ndarray, np.ndarray], key: np.ndarray, default: np.ndarray | float) -> np.ndarray:
-    keys, values = table
-    if not len(keys):
-        return np.broadcast_to(default, key.shape).astype(float)
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return np.where(keys[at] == key, values[at], default)
+                p = p * self.mass[n].get(read.hash(end - 1, n - 1), 1.0)
+            if n < ORDER:
+                p = self.p[n].get(read.hash(end, n), p)
+        return p
 
 
 # --- measuring -------------------------------------------------------------------------

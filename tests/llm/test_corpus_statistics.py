@@ -299,6 +299,32 @@ def test_perplexity_equals_brute_force(spark, entries):
         {i: want(t or "") for i, t in enumerate(asked)}, rel=1e-9)
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 500])
+def test_hashes_are_found_by_their_leading_bits(n):
+    rng = np.random.default_rng(n)
+    last = np.uint64(0xFFFFFFFFFFFFFFFF)
+    near = np.arange(n // 2, dtype=np.uint64) + np.uint64(1 << 63)               # all with the same leading bits
+    keys = rng.permutation(np.concatenate([near, rng.integers(0, last, n - n // 2, np.uint64)]))
+    for held in (keys, np.append(keys, [last, np.uint64(0)])):
+        want = {int(k): i + 0.5 for i, k in enumerate(held)}
+        asked = np.concatenate([held, near + np.uint64(n), rng.integers(0, last, 50, np.uint64), [last, np.uint64(0)]])
+        found = quality_rules.Lookup(held, np.arange(len(held)) + 0.5).get(asked, -1.0)
+        assert found.tolist() == [want.get(int(k), -1.0) for k in asked]
+
+
+def test_only_grams_that_the_model_lacks_go_through_the_lower_orders(spark):
+    learn = sample_texts(40, 6)
+    arrays = quality_rules.Arrays.of(quality_rules.fit(frame(spark, learn)))
+    asked = []
+    for n, table in [*list(arrays.p.items())[:-1], *arrays.mass.items()]:
+        table.get = lambda key, default, table=table: asked.append(len(key)) or type(table).get(table, key, default)
+    _, want = model_of(learn)
+    got = lambda texts: np.exp(-arrays.log_p(texts) / [len(t) + 1 for t in texts]).tolist()        # noqa: E731
+    assert got(learn) == pytest.approx([want(t) for t in learn], rel=1e-9) and sum(asked) == 0
+    other = [learn[0] + "\U0001F600"] * 9                 # two new grams, nine times each
+    assert got(other) == pytest.approx([want(t) for t in other], rel=1e-9) and set(asked) == {0, 2}
+
+
 def test_probabilities_sum_to_one():
     texts = sample_texts(30, 8, "abc")
     p, _ = model_of(texts)
