@@ -3,6 +3,7 @@
 import collections
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from barloom.llm import (bpe, decontaminate, kneser_ney, language_id, packing, suffix_tree, token_counts)
+from barloom.session import collecting
 
 DOCS = "doc_id long, text string, lang string, _text string, n_tokens string"
 ODD = ["'s", "'t", "'re", "'ve", "'ll", "'d", "'m", "'r", "'", "''", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "a",
@@ -254,6 +256,16 @@ def test_tree_learns_word_order(spark):
     assert len(none) == 60 and all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in none)
 
 
+def test_tree_keeps_on_disk_only_what_scores_need(spark):
+    texts = [" ".join(random.Random(i).choice(["a b", "c d", f"e{i % 7}"]) for _ in range(40)) for i in range(60)]
+    with collecting() as folders:
+        rows = suffix_tree.score(frame(spark, texts), F.col("doc_id") % 3 > 0,
+                                 settings=suffix_tree.Settings(head=3, hot_grams=1)).collect()
+    assert len(rows) == len(texts)
+    left = [name for folder in folders if os.path.isdir(folder) for name in os.listdir(folder)]
+    assert "kept" in left and not {"grams", "totals"} & set(left)
+
+
 # --- Kneser-Ney ------------------------------------------------------------------------
 
 def test_tree_scores_equal_a_walk_in_python(spark):
