@@ -6,11 +6,10 @@ continuation counts (how many different words come before) for bigrams and words
 discounts per order from the counts of counts. Each order's discounted probability is
 interpolated with the next lower one, the lowest with a uniform share for unknown words.
 
-A model of few entries is broadcast, and every whole text is scored where it lies. A larger one
-stays where it is, as one table of what each word, pair and trigram adds to the log probability
-of a text; the keys of all texts are joined to it, but for the most frequent, which are
-broadcast, and those that a bit map of fixed size shows not to be there. Both ways give the
-same perplexities. A document is kept when its perplexity is at
+A model of few entries is broadcast, and every whole text is scored where it lies. For a larger
+one the texts are cut into slices, whose words, pairs and trigrams are counted and looked up by
+exchanging arrays of their hashes (`exchange`); no part of the model is a table or is broadcast.
+Both ways give the same perplexities. A document is kept when its perplexity is at
 most its language's threshold: a high quantile over that language's trusted documents that the
 model has not read, with a margin.
 
@@ -22,22 +21,26 @@ Repeated rows are scored each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
-from .common import U64, as_i64, byte_codes, encoded, fold, hidden, mix, ship, slices, texts_of, word_hashes
+from ..session import collecting, drop_scratch, materialize, release
+from .common import (U64, as_i64, byte_codes, encoded, fold, hidden, mix, ship, sieved, slices, texts_of,
+                     word_hashes)
+from .exchange import REQUEST, Plan, distinct, in_rounds, sliced, token_arrays, token_data
 from .quality_rules import chosen
-from .suffix_tree import key_bits, marked
 
-BEGIN, END = (mix(np.array([x], dtype=U64))[0] for x in (0xB0, 0xE0))
+BEGIN, END, UNKNOWN = (mix(np.array([x], dtype=U64))[0] for x in (0xB0, 0xE0, 0xD0))
+BROADCAST_IDS = 1_000_000
+SHARES = 6                        # slices are shuffled to their answers in so many jobs at most
 _CODES = byte_codes(lower=False)
 
 
@@ -48,18 +51,23 @@ class Settings:
     quantile: float = 0.99        # of the trusted perplexities of a language
     margin: float = 1.25          # a perplexity is rejected from so many times the quantile
     broadcast_entries: int = 6_000_000            # of 12 bytes
-    hot_entries: int = 1 << 20    # of 16 bytes, of a model that is not broadcast
+    hot_entries: int = 1 << 20    # has no use any more: what is not broadcast is exchanged
+    rounds: int = 5               # in which keys are exchanged, at most
 
 
 def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * U64(0x9E3779B97F4A7C15) + right)
 
 
+def text_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Every word and one end per text, and bounds."""
+    words, bounds, _, _ = word_hashes(encoded(texts), _CODES)
+    return np.insert(words, bounds[1:], END), bounds + np.arange(len(bounds))
+
+
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(two back, one back, token) for every word and one end per text, and bounds."""
-    words, bounds, _, _ = word_hashes(encoded(texts), _CODES)
-    token = np.insert(words, bounds[1:], END)
-    bounds = bounds + np.arange(len(bounds))
+    token, bounds = text_tokens(texts)
     one, two = np.empty_like(token), np.empty_like(token)
     one[1:], two[2:] = token[:-1], token[:-2]
     first = bounds[:-1]
@@ -69,12 +77,17 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return two, one, token, bounds
 
 
+def discounts(times: Sequence[int]) -> list[float]:
+    """Of counts of 1, of 2 and above, from how many are 1, 2, 3 and 4."""
+    n = [max(1, int(k)) for k in times]
+    y = n[0] / (n[0] + 2 * n[1])
+    return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
+
+
 def _taken(counts: DataFrame, c: str) -> Column:
     """The discount of a count, of three kinds, from the counts of counts."""
     ones = counts.agg(*[F.count_if(F.col(c) == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n = [max(1, ones[f"n{k}"] or 0) for k in (1, 2, 3, 4)]
-    y = n[0] / (n[0] + 2 * n[1])
-    d = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
+    d = discounts([ones[f"n{k}"] or 0 for k in (1, 2, 3, 4)])
     return F.when(F.col(c) == 1, d[0]).when(F.col(c) == 2, d[1]).otherwise(d[2])
 
 
@@ -194,121 +207,249 @@ def perplexity(df: DataFrame, model: Model, text: str = "text", out: str = "perp
 
 # --- a model of any size ---------------------------------------------------------------
 
-def weights(tables: Tables) -> DataFrame:
-    """(key, c, w): what each word, pair and trigram of the model adds to the log probability of a
-    text that has it, over all words being unknown.
+class Grams:
+    """The words, pairs and trigrams of a slice; a context is a pair, or two beginnings.
 
-    A word adds its own share and, for the word after it, the mass its pairs leave; a pair
-    replaces both by its share and adds the mass its trigrams leave; a trigram replaces the two.
-    What the model lacks adds nothing.
+    What has an unknown word is in no model and not asked for.
     """
-    words = tables.word.join(tables.pair_mass.withColumnRenamed("one", "token"), "token", "full").select(
-        "token", "c", "p", "mass")
-    word = words.select(F.array("token").alias("words"), "c", (
-        F.coalesce(F.log("p") - F.log(F.lit(tables.unknown)), F.lit(0.0))
-        + F.coalesce(F.log("mass"), F.lit(0.0))).alias("w"))
-    of = words.where("p IS NOT NULL").select("token", F.col("p").alias("word_p"))
-    lower = tables.pair.join(of, "token").select(
-        "one", "token", "c", (F.col("p") + F.col("mass") * F.col("word_p")).alias("p"),
-        (F.col("mass") * F.col("word_p")).alias("instead"))
-    lower = materialize(lower, "pair_shares")
-    left = tables.triple_mass.select(F.col("two").alias("one"), F.col("one").alias("token"), "mass")
-    pair = lower.join(left, ["one", "token"], "full").select(F.array("one", "token").alias("words"), "c", (
-        F.coalesce(F.log("p") - F.log("instead"), F.lit(0.0)) + F.coalesce(F.log("mass"), F.lit(0.0))).alias("w"))
-    instead = F.col("mass") * F.col("pair_p")
-    triple = tables.triple.join(
-        lower.select("one", "token", F.col("p").alias("pair_p")), ["one", "token"]).select(
-        F.array("two", "one", "token").alias("words"), "c", (F.log(F.col("p") + instead) - F.log(instead)).alias("w"))
 
+    def __init__(self, data: bytes):
+        words, self.token, self.size = token_arrays(data)
+        self.words = np.append(words, BEGIN)                       # the beginning is the last one
+        self.start = np.cumsum(self.size) - self.size
+        self.one = np.empty_like(self.token)
+        self.one[1:] = self.token[:-1]
+        self.one[self.start] = len(words)
+        known = words[self.token] != UNKNOWN
+        before = np.ones(len(known), bool)
+        before[1:] = known[:-1]
+        before[self.start] = True
+        self.asked = known & before                                # pairs
+        context = np.ones(len(known), bool)
+        context[1:] = self.asked[:-1]
+        context[self.start] = True
+        self.asked_triple = known & context
+        self.pair = pair_key(self.words[self.one], self.words[self.token])
+        self.begin = pair_key(self.words[-1:], self.words[-1:])
+        context = np.empty_like(self.pair)
+        context[1:] = self.pair[:-1]
+        context[self.start] = self.begin
+        self.triple = pair_key(context, self.words[self.token])
+
+    def triples(self) -> np.ndarray:
+        return self.triple[self.asked_triple]
+
+    def contexts(self) -> np.ndarray:
+        """All pairs, and the two beginnings as the last one."""
+        return np.append(self.pair[self.asked], self.begin)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(the distinct pairs in order, the number of each token's pair, that of its context)."""
+        every, _, kind = distinct(self.contexts())
+        own = np.full(len(self.pair), len(every))                  # the number of what is not asked for
+        own[self.asked] = kind[:-1]
+        before = np.empty(len(own), np.int64)
+        before[1:] = own[:-1]
+        before[self.start] = kind[-1]
+        return every, own, before
+
+
+def _once(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and their times."""
+    key = np.sort(key)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return key[new], np.diff(np.append(np.flatnonzero(new), len(key)))
+
+
+def _sums(kind: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(kind, values, size).astype(np.int64)
+
+
+def _kinds(context: np.ndarray, c: np.ndarray, size: int) -> list[np.ndarray]:
+    """Of each context how many counts are 1, 2 and more, and by how much their sum exceeds 1, 2 and 0."""
+    of = [np.bincount(context[x], minlength=size) for x in (c == 1, c == 2, c > 2)]
+    return [*of, _sums(context, c, size) - of[0] - 2 * of[1]]
+
+
+def _census(sums: list[np.ndarray]) -> list[int]:
+    """Of the first count: how many are 1, 2, 3, 4, how many there are, and their sum."""
+    return [*[int((sums[0] == k).sum()) for k in (1, 2, 3, 4)], int((sums[0] > 0).sum()), int(sums[0].sum())]
+
+
+def _shares(c: np.ndarray, d: list[float]) -> np.ndarray:
+    """Counts without their discounts."""
+    return np.where(c > 0, c - np.choose(np.minimum(np.maximum(c, 1), 3) - 1, d), 0.0)
+
+
+def _mass(kinds: list[np.ndarray], d: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """(the sum of a context's counts or 1, the mass left to the lower order)."""
+    ones, twos, others, more = kinds
+    total = ones + 2 * twos + more
+    some = np.maximum(total, 1)
+    return some, np.where(total > 0, (d[0] * ones + d[1] * twos + d[2] * others) / some, 1.0)
+
+
+def _asked(found: DataFrame, keys: Callable[[bytes], np.ndarray], number: int, plan: Plan) -> DataFrame:
+    """What slices ask in a round for their keys; those that are learned from count their times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("words")
-            flat, size = words.flatten().to_numpy(), words.value_lengths().to_numpy()
-            if len(size):
-                names = ["two", "one", "token"][-size[0]:]         # one kind of rows in each branch
-                key = _key(names, [flat[k::size[0]] for k in range(size[0])])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_i64(key)), batch.column("c"), batch.column("w")], names=["key", "c", "w"])
-
-    keyed = [part.mapInArrow(run, "key long, c long, w double") for part in (word, pair, triple)]
-    return materialize(keyed[0].unionAll(keyed[1]).unionAll(keyed[2]), "weights")
-
-
-def _most_frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of greatest counts, at most so many, and the others."""
-    level = F.coalesce(F.floor(F.log2("c") * 8), F.lit(0)).cast("int")
-    least, rows = 1 << 30, 0
-    for r in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):      # some 500 at most
-        rows += r["count"]
-        if rows > most:
-            break
-        least = r["level"]
-    return table.where(level >= least), table.where(level < least)
-
-
-def text_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, text it is in) of every word, pair and trigram, the beginnings included, and tokens
-    of each text."""
-    two, one, token, bounds = trigrams(texts)
-    count = np.diff(bounds)
-    owner, every = np.repeat(np.arange(len(count)), count), np.arange(len(count))
-    start = np.full(len(count), BEGIN)
-    keys = [token, start, pair_key(one, token), pair_key(start, start), pair_key(pair_key(two, one), token)]
-    return np.concatenate(keys), np.concatenate([owner, every, owner, every, owner]), count
-
-
-def perplexity_joined(docs: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    """(doc_id, lang, perplexity) of every row of (doc_id, text, lang), by joins with the weights.
-
-    The most frequent keys are broadcast, the others of all texts shuffled to their weights. A
-    row's number is its task's and its place there; both passes read the same rows in order.
+            for row, learned, data in zip(*[batch.column(c).to_pylist() for c in ("slice", "learned", "data")]):
+                key = keys(data)
+                key, times = _once(key[plan.of_round(key, number)])
+                yield plan.pieces(row, key, [times] if learned else [])
+    return found.select("slice", "learned", "data").mapInArrow(run, REQUEST)
+
+
+def _with_answers(found: DataFrame, answers: DataFrame, run: Callable, schema: str | T.StructType, name: str,
+                  parts: int, by: str | None = None) -> DataFrame:
+    """run(key, slice, its answers) of every slice, for a part of the slices at a time: what is
+    shuffled for one is gone before the next."""
+    made = []
+    for part in range(parts):
+        some = found.where(F.pmod(F.xxhash64("slice"), F.lit(parts)) == part)
+        mine = answers.join(F.broadcast(some.select("slice")), "slice", "left_semi")
+        made.append(materialize(some.groupBy("slice").cogroup(mine.groupBy("slice")).applyInArrow(run, schema), name, by))
+        release(found.sparkSession)
+    return functools.reduce(DataFrame.unionAll, made)
+
+
+def _known_words(found: DataFrame, plan: Plan, shares: int) -> DataFrame:
+    """Slices that are not learned from, with one word for all that the model lacks."""
+    answers, _ = in_rounds(lambda number: _asked(found, lambda data: token_arrays(data)[0], number, plan),
+                           1, plan.rounds, "known", _census)
+    others = found.where("NOT learned")
+    names = others.columns
+
+    def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        words, kind, size = token_arrays(rows.column("data")[0].as_py())
+        order = np.argsort(words)
+        known = np.empty(len(words), bool)
+        known[order] = plan.answered(answers, words[order])[0] > 0
+        place = np.where(known, np.cumsum(known) - 1, known.sum())
+        data = token_data(np.append(words[known], UNKNOWN), place[kind], size)
+        return rows.set_column(names.index("data"), "data", pa.array([data], pa.binary()))
+
+    return _with_answers(others, answers, run, others.schema, "known", shares)
+
+
+def perplexity_exchanged(rows: DataFrame, settings: Settings) -> DataFrame | None:
+    """(doc_id, lang, perplexity) of texts (t, learned, doc_id, lang), by counts exchanged with all
+    others, and nothing if the tokens that are learned from are few enough for a broadcast.
+
+    Words that no learned text has are told apart first. Then trigrams are counted. Each one is
+    counted once, by the slice that owns it, for its pair and its context, and each pair for its
+    words; then every slice has the counts of all it holds.
     """
-    every = weights(tables)
-    hot, others = _most_frequent(every, settings.hot_entries)
-    found = hot.select("key", "w").toArrow()
-    key = found.column("key").to_numpy().astype(np.int64).view(U64)
-    order = np.argsort(key)
-    # Some twelve bits a key, of a bounded number: false ones go on to the inner join.
-    size = min(27, max(15, int(others.count() * 12).bit_length()))
-    bits = key_bits(others.select("key"), size)
-    shared = docs.sparkSession.sparkContext.broadcast((key[order], found.column("w").to_numpy()[order], bits))
-    floor = float(np.log(tables.unknown))
-
-    def looked(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        keys, owner, count = text_keys(texts)
-        known, w, _ = shared.value
-        if not len(known):
-            return keys, owner, count, np.zeros(len(keys), bool), np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        hit = known[at] == keys
-        return keys, owner, count, hit, np.where(hit, w[at], 0.0)
-
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, "text"):
-            keys, owner, count, hit, _ = looked(texts_of(batch, "text"))
-            hit |= ~marked(shared.value[2], keys)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + owner[~hit]), pa.array(as_i64(keys[~hit]))], names=["row", "key"])
-            row += len(count)
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, "text"):
-            _, owner, count, _, w = looked(texts_of(batch, "text"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(np.arange(row, row + len(count))),
-                 pa.array(count), pa.array(np.bincount(owner, w, len(count)) + floor * count)],
-                names=["doc_id", "lang", "row", "size", "log_p"])
-            row += len(count)
-
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "lang")}
-    more = docs.select("text").mapInArrow(rest, "row long, key long").join(others.select("key", "w"), "key").groupBy(
-        "row").agg(F.sum("w").alias("more"))
-    rows = docs.select("doc_id", "lang", "text").mapInArrow(
-        own, f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, row long, size long, log_p double")
-    log_p = F.col("log_p") + F.coalesce("more", F.lit(0.0))
-    return rows.join(more, "row", "left").select("doc_id", "lang", F.exp(-log_p / F.col("size")).alias("perplexity"))
+    spark = rows.sparkSession
+    with collecting() as paths:
+        found = materialize(sliced(rows, text_tokens), "slices", "learned")
+    path = f"{paths[0]}/slices"
+    release(spark)
+    tokens, learned = found.agg(F.sum("tokens"), F.sum(F.when(F.col("learned"), F.col("tokens")))).first()
+    # A token makes a trigram, and a pair and a word that are contexts, too.
+    if 5 * (learned or 0) <= settings.broadcast_entries:
+        drop_scratch(spark, [path])
+        return None
+    plan, few, shares = Plan.of(tokens, settings.rounds), Plan.of(tokens, 1), Plan.of(tokens, SHARES).rounds
+    read = found.where("learned")
+    with collecting() as paths:
+        others = _known_words(found, few, shares)
+    drop_scratch(spark, paths, others)
+    drop_scratch(spark, [f"{path}/learned=false"])
+    found = read.unionAll(others)
+
+    triples, n3 = in_rounds(lambda number: _asked(found, lambda data: Grams(data).triples(), number, plan),
+                            1, plan.rounds, "triples", _census)
+    d3 = discounts(n3[:4])
+
+    def count_pairs(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        grams = Grams(rows.column("data")[0].as_py())
+        every, first, _ = distinct(grams.triple)
+        c, own = plan.answered(answers, every)
+        pairs, kind, before = grams.pairs()
+        at, c = first[own > 0], c[own > 0]
+        counts = [np.bincount(kind[at], minlength=len(pairs)), *_kinds(before[at], c, len(pairs))]
+        out = []
+        for number in range(plan.rounds):
+            mine = plan.of_round(pairs, number)
+            out.append(plan.pieces(key[0].as_py(), pairs[mine], [x[mine] for x in counts]))
+        return pa.Table.from_batches(out).append_column(
+            "round", pa.array(np.repeat(np.arange(plan.rounds), [x.num_rows for x in out]), pa.int32()))
+
+    with collecting() as paths:
+        counted = _with_answers(read.select("slice", "data"), triples, count_pairs, f"{REQUEST}, round int", "counted",
+                                shares, "round")
+
+    def ask_pairs(number: int) -> DataFrame:
+        drop_scratch(spark, [f"{folder}/counted/round={number - 1}" for folder in paths])
+        return counted.where(F.col("round") == number).drop("round").unionAll(
+            _asked(others, lambda data: Grams(data).contexts(), number, plan))
+
+    pairs, n2 = in_rounds(ask_pairs, 5, plan.rounds, "pairs", _census)
+    drop_scratch(spark, paths)
+    d2 = discounts(n2[:4])
+
+    def count_words(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        grams = Grams(rows.column("data")[0].as_py())
+        every, first, _ = distinct(grams.contexts())
+        c, *_, own = plan.answered(answers, every)
+        some = (own > 0) & (c > 0)                   # a pair of beginnings comes before no word
+        at, c = first[some], c[some]
+        size = len(grams.words)
+        counts = [np.bincount(grams.token[at], minlength=size), *_kinds(grams.one[at], c, size)]
+        order = np.argsort(grams.words)
+        return pa.Table.from_batches([few.pieces(key[0].as_py(), grams.words[order], [x[order] for x in counts])])
+
+    with collecting() as paths:
+        counted = _with_answers(read.select("slice", "data"), pairs, count_words, REQUEST, "counted", shares)
+    words, n1 = in_rounds(lambda number: counted.unionAll(
+        _asked(others, lambda data: Grams(data).words, number, few)), 5, few.rounds, "words", _census)
+    drop_scratch(spark, paths)
+    d1 = discounts(n1[:4])
+    known, total = int(n1[4]), max(1, int(n1[5]))
+    left = d1[0] * n1[0] + d1[1] * n1[1] + d1[2] * (known - n1[0] - n1[1])
+    floor = (float(left) / total if known else 1.0) / (known + 1)
+
+    kinds = {c: found.schema[c].dataType.elementType.simpleString() for c in ("doc_id", "lang")}
+    answers = functools.reduce(DataFrame.unionAll, [
+        df.withColumn("order", F.lit(k)) for k, df in enumerate((words, pairs, triples))])
+
+    def scores(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        grams = Grams(rows.column("data")[0].as_py())
+        told = [answers.filter(pa.compute.equal(answers.column("order"), k)) for k in range(3)]
+        order = np.argsort(grams.words)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        c, *of, _ = few.answered(told[0], grams.words[order])
+        p1 = (_shares(c, d1) / total + floor)[place]
+        sum2, mass2 = (x[place] for x in _mass(of, d2))
+        every, kind, before = grams.pairs()
+        c, *of, _ = (np.append(x, 0) for x in plan.answered(told[1], every))
+        sum3, mass3 = _mass(of, d3)
+        p = _shares(c, d2)[kind] / sum2[grams.one] + mass2[grams.one] * p1[grams.token]
+        every, _, kind = distinct(grams.triples())
+        c = np.zeros(len(p))
+        if len(every):
+            c[grams.asked_triple] = _shares(plan.answered(told[2], every)[0], d3)[kind]
+        p = c / sum3[before] + mass3[before] * p
+        log_p = np.add.reduceat(np.log(p), grams.start)
+        own = [pa.concat_arrays(rows.column(c).chunks).flatten() for c in ("doc_id", "lang")]
+        return pa.table([*own, pa.array(np.exp(-log_p / grams.size))], names=["doc_id", "lang", "perplexity"])
+
+    return _with_answers(found.select("slice", "data", "doc_id", "lang"), answers, scores,
+                         f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, perplexity double", "scores", shares)
+
+
+def _flagged(rows: DataFrame, read: DataFrame) -> DataFrame:
+    """(t, learned, doc_id, lang) of all rows; texts that are surely not read are not shuffled."""
+    flag = [F.col("text").alias("t"), F.coalesce("read", F.lit(False)).alias("learned"), "doc_id", "lang"]
+    if read.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(read), F.col("doc_id") == F.col("id"), "left").select(*flag)
+    hashed = F.xxhash64("doc_id"), read, F.xxhash64("id")
+    never = sieved(rows, *hashed, "never").withColumn("read", F.lit(False))
+    return sieved(rows, *hashed, "maybe").join(read, F.col("doc_id") == F.col("id"), "left").select(*flag).unionAll(
+        never.select(*flag))
 
 
 def classify(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -317,6 +458,7 @@ def classify(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text:
 
     trusted holds the ids of documents known as good, in a column named as doc_id.
     """
+    ship(docs.sparkSession)
     ids = trusted.select(F.col(doc_id).alias("id")).where(F.col("id").isNotNull()).distinct()
     unread = fold("id", settings.unread) == 0
     first = ids.where(~unread)
@@ -326,12 +468,13 @@ def classify(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text:
         first = first.orderBy(F.xxhash64("id"), "id").limit(settings.trusted_most)
     read = materialize(first.withColumn("read", F.lit(True)), "chosen")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    tables = learn(chosen(rows.select("doc_id", "text"), read.select("id")))
-    if tables.entries <= settings.broadcast_entries:
-        scored = perplexity(rows, collected(tables)).select("doc_id", "lang", "perplexity")
-    else:
-        scored = perplexity_joined(rows, tables, settings)
-    scored = materialize(scored, "perplexity")
+    with collecting() as paths:
+        scored = perplexity_exchanged(_flagged(rows, read), settings)
+        if scored is None:
+            tables = learn(chosen(rows.select("doc_id", "text"), read.select("id")))
+            scored = perplexity(rows, collected(tables)).select("doc_id", "lang", "perplexity")
+            scored = materialize(scored, "perplexity")
+    drop_scratch(docs.sparkSession, paths, scored)
     fresh = ids.join(read, "id", "left").select("id", F.coalesce("read", F.lit(False)).alias("read"))
     known = scored.join(fresh, scored["doc_id"] == fresh["id"]).select("lang", "perplexity", "read")
     # A language whose trusted documents were all read takes what there is.
