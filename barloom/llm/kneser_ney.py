@@ -22,7 +22,7 @@ Repeated rows are scored each.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 from ..session import collecting, drop_scratch, materialize, release
 from .common import (U64, as_i64, byte_codes, encoded, fold, hidden, mix, ship, sieved, slices, texts_of,
                      word_hashes)
-from .exchange import REQUEST, Plan, distinct, in_rounds, sliced, token_arrays, token_data
+from .exchange import (REQUEST, Plan, asked_by, distinct, in_rounds, sliced, token_arrays, token_data,
+                       with_answers)
 from .quality_rules import chosen
 
 BEGIN, END, UNKNOWN = (mix(np.array([x], dtype=U64))[0] for x in (0xB0, 0xE0, 0xD0))
@@ -254,14 +255,6 @@ class Grams:
         return every, own, before
 
 
-def _once(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys in order, and their times."""
-    key = np.sort(key)
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    return key[new], np.diff(np.append(np.flatnonzero(new), len(key)))
-
-
 def _sums(kind: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(kind, values, size).astype(np.int64)
 
@@ -290,34 +283,10 @@ def _mass(kinds: list[np.ndarray], d: list[float]) -> tuple[np.ndarray, np.ndarr
     return some, np.where(total > 0, (d[0] * ones + d[1] * twos + d[2] * others) / some, 1.0)
 
 
-def _asked(found: DataFrame, keys: Callable[[bytes], np.ndarray], number: int, plan: Plan) -> DataFrame:
-    """What slices ask in a round for their keys; those that are learned from count their times."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, learned, data in zip(*[batch.column(c).to_pylist() for c in ("slice", "learned", "data")]):
-                key = keys(data)
-                key, times = _once(key[plan.of_round(key, number)])
-                yield plan.pieces(row, key, [times] if learned else [])
-    return found.select("slice", "learned", "data").mapInArrow(run, REQUEST)
-
-
-def _with_answers(found: DataFrame, answers: DataFrame, run: Callable, schema: str | T.StructType, name: str,
-                  parts: int, by: str | None = None) -> DataFrame:
-    """run(key, slice, its answers) of every slice, for a part of the slices at a time: what is
-    shuffled for one is gone before the next."""
-    made = []
-    for part in range(parts):
-        some = found.where(F.pmod(F.xxhash64("slice"), F.lit(parts)) == part)
-        mine = answers.join(F.broadcast(some.select("slice")), "slice", "left_semi")
-        made.append(materialize(some.groupBy("slice").cogroup(mine.groupBy("slice")).applyInArrow(run, schema), name, by))
-        release(found.sparkSession)
-    return functools.reduce(DataFrame.unionAll, made)
-
-
 def _known_words(found: DataFrame, plan: Plan, shares: int) -> DataFrame:
     """Slices that are not learned from, with one word for all that the model lacks."""
-    answers, _ = in_rounds(lambda number: _asked(found, lambda data: token_arrays(data)[0], number, plan),
-                           1, plan.rounds, "known", _census)
+    answers, _ = in_rounds(lambda number: asked_by(found, lambda data: token_arrays(data)[0], number, plan),
+                           [np.add], plan.rounds, "known", _census)
     others = found.where("NOT learned")
     names = others.columns
 
@@ -330,7 +299,7 @@ def _known_words(found: DataFrame, plan: Plan, shares: int) -> DataFrame:
         data = token_data(np.append(words[known], UNKNOWN), place[kind], size)
         return rows.set_column(names.index("data"), "data", pa.array([data], pa.binary()))
 
-    return _with_answers(others, answers, run, others.schema, "known", shares)
+    return with_answers(others, answers, run, others.schema, "known", shares)
 
 
 def perplexity_exchanged(rows: DataFrame, settings: Settings) -> DataFrame | None:
@@ -359,8 +328,8 @@ def perplexity_exchanged(rows: DataFrame, settings: Settings) -> DataFrame | Non
     drop_scratch(spark, [f"{path}/learned=false"])
     found = read.unionAll(others)
 
-    triples, n3 = in_rounds(lambda number: _asked(found, lambda data: Grams(data).triples(), number, plan),
-                            1, plan.rounds, "triples", _census)
+    triples, n3 = in_rounds(lambda number: asked_by(found, lambda data: Grams(data).triples(), number, plan),
+                            [np.add], plan.rounds, "triples", _census)
     d3 = discounts(n3[:4])
 
     def count_pairs(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
@@ -378,15 +347,15 @@ def perplexity_exchanged(rows: DataFrame, settings: Settings) -> DataFrame | Non
             "round", pa.array(np.repeat(np.arange(plan.rounds), [x.num_rows for x in out]), pa.int32()))
 
     with collecting() as paths:
-        counted = _with_answers(read.select("slice", "data"), triples, count_pairs, f"{REQUEST}, round int", "counted",
+        counted = with_answers(read.select("slice", "data"), triples, count_pairs, f"{REQUEST}, round int", "counted",
                                 shares, "round")
 
     def ask_pairs(number: int) -> DataFrame:
         drop_scratch(spark, [f"{folder}/counted/round={number - 1}" for folder in paths])
         return counted.where(F.col("round") == number).drop("round").unionAll(
-            _asked(others, lambda data: Grams(data).contexts(), number, plan))
+            asked_by(others, lambda data: Grams(data).contexts(), number, plan))
 
-    pairs, n2 = in_rounds(ask_pairs, 5, plan.rounds, "pairs", _census)
+    pairs, n2 = in_rounds(ask_pairs, [np.add] * 5, plan.rounds, "pairs", _census)
     drop_scratch(spark, paths)
     d2 = discounts(n2[:4])
 
@@ -402,9 +371,9 @@ def perplexity_exchanged(rows: DataFrame, settings: Settings) -> DataFrame | Non
         return pa.Table.from_batches([few.pieces(key[0].as_py(), grams.words[order], [x[order] for x in counts])])
 
     with collecting() as paths:
-        counted = _with_answers(read.select("slice", "data"), pairs, count_words, REQUEST, "counted", shares)
+        counted = with_answers(read.select("slice", "data"), pairs, count_words, REQUEST, "counted", shares)
     words, n1 = in_rounds(lambda number: counted.unionAll(
-        _asked(others, lambda data: Grams(data).words, number, few)), 5, few.rounds, "words", _census)
+        asked_by(others, lambda data: Grams(data).words, number, few)), [np.add] * 5, few.rounds, "words", _census)
     drop_scratch(spark, paths)
     d1 = discounts(n1[:4])
     known, total = int(n1[4]), max(1, int(n1[5]))
@@ -437,7 +406,7 @@ def perplexity_exchanged(rows: DataFrame, settings: Settings) -> DataFrame | Non
         own = [pa.concat_arrays(rows.column(c).chunks).flatten() for c in ("doc_id", "lang")]
         return pa.table([*own, pa.array(np.exp(-log_p / grams.size))], names=["doc_id", "lang", "perplexity"])
 
-    return _with_answers(found.select("slice", "data", "doc_id", "lang"), answers, scores,
+    return with_answers(found.select("slice", "data", "doc_id", "lang"), answers, scores,
                          f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, perplexity double", "scores", shares)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.llm import exchange, kneser_ney
+from barloom.llm import exchange, kneser_ney, suffix_tree
 from barloom.llm.common import U64
 from barloom.session import collecting
 
@@ -45,7 +45,7 @@ def test_totals_are_those_of_all_slices_that_learn(spark):
             rows += plan.pieces(s, key, counts).to_pylist()
         return spark.createDataFrame(rows, exchange.REQUEST)
 
-    answers, census = exchange.in_rounds(requests, 1, plan.rounds, "totals", lambda sums: [len(sums[0]), sums[0].sum()])
+    answers, census = exchange.in_rounds(requests, [np.add], plan.rounds, "totals", lambda sums: [len(sums[0]), sums[0].sum()])
     want = sum((asked[s] for s in sorted(learned)), collections.Counter())
     assert census.tolist() == [len(want), want.total()]
     owners = collections.Counter()
@@ -78,3 +78,18 @@ def test_large_models_leave_no_counts_on_disk(spark):
     assert {r["doc_id"]: r["perplexity"] for r in got} == pytest.approx(want, rel=1e-4)
     left = {name for folder in folders if os.path.isdir(folder) for name in os.listdir(folder)}
     assert left <= {"chosen", "scores", "thresholds"}
+
+
+def test_trees_are_the_same_by_many_slices_and_leave_no_counts_on_disk(spark):
+    """Counts of words, grams and states were kept as tables until the session ended."""
+    texts = [" ".join(random.Random(i).choice(["a b c", "c d", "x b d", f"e{i % 7}"]) for _ in range(40))
+             for i in range(80)]
+    docs = frame(spark, [*texts, "", None, "never seen"])
+    got = []
+    for most in (1 << 20, 300):
+        with collecting() as folders:
+            rows = suffix_tree.score(docs, F.col("doc_id") % 3 > 0, settings=suffix_tree.Settings(slice_tokens=most))
+            got.append({r["doc_id"]: (r["n_known"], r["base_score"], r["score"]) for r in rows.collect()})
+        left = {name for folder in folders if os.path.isdir(folder) for name in os.listdir(folder)}
+        assert left == {"kept"}
+    assert all(got[1][i] == pytest.approx(row, rel=1e-9) for i, row in got[0].items()) and len(got[0]) == 83
